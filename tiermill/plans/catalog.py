@@ -65,3 +65,71 @@ def q_dept_performance(spark, sf_dir):
 @register
 def q_quarantine_employees(spark, sf_dir):
     return layers(spark, sf_dir)["quarantine"].select(*QUARANTINE_COLUMNS)
+
+
+# -- audits and quality checks ----------------------------------------------
+from ..operators import quality  # noqa: E402
+from ..sources.readers import testdata  # noqa: E402
+
+
+@register
+def q_rejections_by_reason(spark, sf_dir):
+    return quality.rejections_by_reason(layers(spark, sf_dir)["quarantine"])
+
+
+@register
+def q_rejected_audit(spark, sf_dir):
+    return quality.rejected_audit(layers(spark, sf_dir)["quarantine"])
+
+
+@register
+def q_layer_counts(spark, sf_dir):
+    L = layers(spark, sf_dir)
+    return quality.layer_counts(
+        {"raw": L["raw"], "staging": L["staging"], "quarantine": L["quarantine"]}, raw=L["raw"])
+
+
+@register
+def q_split_counts(spark, sf_dir):
+    return quality.split_counts(layers(spark, sf_dir)["raw"])
+
+
+@register
+def q_quality_pct(spark, sf_dir):
+    L = layers(spark, sf_dir)
+    return quality.quality_pct(L["raw"], L["staging"])
+
+
+@register
+def q_not_null_checks(spark, sf_dir):
+    return quality.not_null_checks(layers(spark, sf_dir)["staging"],
+                                   ["id", "department_id", "job_id"])
+
+
+@register
+def q_unique_check(spark, sf_dir):
+    return quality.unique_check(layers(spark, sf_dir)["staging"], ["id"])
+
+
+@register
+def q_duplicate_lineitem_keys(spark, sf_dir):
+    return quality.duplicate_keys(testdata(spark, sf_dir, "lineitem"),
+                                  ["l_orderkey", "l_linenumber"])
+
+
+@register
+def q_orphan_departments(spark, sf_dir):
+    L = layers(spark, sf_dir)
+    return quality.orphan_count(L["staging"], "department_id", L["departments"])
+
+
+@register
+def q_orphan_jobs(spark, sf_dir):
+    L = layers(spark, sf_dir)
+    return quality.orphan_count(L["staging"], "job_id", L["jobs"])
+
+
+@register
+def q_staging_checks(spark, sf_dir):
+    L = layers(spark, sf_dir)
+    return quality.staging_checks(L["staging"], L["departments"], L["jobs"])
