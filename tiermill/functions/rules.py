@@ -108,26 +108,34 @@ MODELS = {
 ALL_FIELDS = tuple(dict.fromkeys(f.name for fs in MODELS.values() for f in fs))
 
 
+# Shapes of number text: casts run only on text of the right shape, since a
+# failed cast builds (and drops) an exception -- costly when it is per row.
+INTEGER_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
+NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def as_number(text: Column) -> Column:
+    """Text of a JSON number (or numeric string) as a double, else null."""
+    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+
+
 def integral(text: Column) -> Column:
     """Text of a JSON number/string as a long when it is a whole number."""
-    as_double = text.try_cast("double")
-    return F.coalesce(
-        text.try_cast("bigint"),
-        F.when(as_double == F.floor(as_double), as_double.try_cast("bigint")),
-    )
+    as_double = as_number(text)
+    return (F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
+            .when(as_double == F.floor(as_double), as_double.try_cast("bigint")))
 
 
-def _field_error(f: Field, present: Column, text: Column) -> Column:
-    """Message for one field, null when the field is valid."""
+def _field_error(f: Field, present: Column, text: Column, as_long: Column) -> Column:
+    """Message for one field, null when the field is valid.  ``as_long`` is
+    the field's integral value (only used for id fields)."""
     missing = F.when(~present, F.lit(MSG_REQUIRED))
     if f.kind == "id":
-        as_double = text.try_cast("double")
-        value = integral(text)
         err = (missing
                .when(text.isNull(), F.lit(MSG_INT))
-               .when(as_double.isNotNull() & value.isNull(), F.lit(MSG_INT_FRACTION))
-               .when(value.isNull(), F.lit(MSG_INT))
-               .when(value <= 0, F.lit(MSG_GT0)))
+               .when(as_long.isNull() & as_number(text).isNotNull(), F.lit(MSG_INT_FRACTION))
+               .when(as_long.isNull(), F.lit(MSG_INT))
+               .when(as_long <= 0, F.lit(MSG_GT0)))
     elif f.kind == "text":
         err = (missing
                .when(text.isNull(), F.lit(MSG_STR))
@@ -142,29 +150,46 @@ def _field_error(f: Field, present: Column, text: Column) -> Column:
     return F.when(err.isNotNull(), F.concat(F.lit(f.name + ": "), err))
 
 
-def record_errors(table: str, fields: Column, keys: Column) -> Column:
-    """``array<string>`` of every failing rule of a record of ``table``.
+def field_plan() -> list[tuple[str, Field, tuple[str, ...]]]:
+    """Every distinct (column, rule) of the record models with the tables it
+    applies to, in an order that keeps each model's declaration order."""
+    plan: dict[tuple[str, Field], list[str]] = {}
+    for table, fields in MODELS.items():
+        for f in fields:
+            plan.setdefault((f.name, f), []).append(table)
+    return [(name, f, tuple(tables)) for (name, f), tables in plan.items()]
+
+
+ERROR_SEP = "; "
+
+
+def feed_errors(table: Column, text_of, present_of, long_of) -> tuple[Column, Column]:
+    """(number of failing rules, their messages joined by ``ERROR_SEP``) of
+    each record of a mixed feed.  ``text_of(name)``, ``present_of(name)``
+    and ``long_of(name)`` give a field's text, presence and integral value.
 
-    ``fields`` is the record parsed with every field as text; ``keys`` the
-    array of keys present in the record (absent and null differ)."""
-    checks = [
-        _field_error(f, F.array_contains(keys, f.name), fields[f.name])
-        for f in MODELS[table]
-    ]
-    return F.array_compact(F.array(*checks))
+    Built from ``concat_ws`` (which skips nulls) and a sum of flags rather
+    than an array filter: higher-order functions have no code generation and
+    would evaluate the whole rule tree row by row in interpreted mode."""
+    checks = []
+    for name, f, tables in field_plan():
+        err = _field_error(f, present_of(name), text_of(name), long_of(name))
+        checks.append(F.when(table.isin(*tables), err))
+    n = sum((c.isNotNull().cast("int") for c in checks[1:]), checks[0].isNotNull().cast("int"))
+    return n, F.concat_ws(ERROR_SEP, *checks)
 
 
-def valid_projection(table: str, fields: Column) -> list[Column]:
-    """Typed columns stored for a valid record (text stripped, ids as long)."""
+def valid_projection(table: str) -> list[Column]:
+    """Typed columns stored for a valid record (text stripped, ids as long),
+    over the ``f_<name>`` / ``v_<name>`` columns of an evaluated feed."""
     out = []
     for f in MODELS[table]:
-        text = fields[f.name]
         if f.kind == "id":
-            out.append(integral(text).alias(f.name))
+            out.append(F.col(f"v_{f.name}").alias(f.name))
         elif f.kind == "text":
-            out.append(strip_ws(text).alias(f.name))
+            out.append(strip_ws(F.col(f"f_{f.name}")).alias(f.name))
         else:
-            out.append(text.alias(f.name))
+            out.append(F.col(f"f_{f.name}").alias(f.name))
     return out
 
 

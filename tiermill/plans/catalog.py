@@ -133,3 +133,38 @@ def q_orphan_jobs(spark, sf_dir):
 def q_staging_checks(spark, sf_dir):
     L = layers(spark, sf_dir)
     return quality.staging_checks(L["staging"], L["departments"], L["jobs"])
+
+
+# -- record-batch ingest -----------------------------------------------------
+from ..operators import ingest  # noqa: E402
+
+
+def evaluated_feed(spark, sf_dir):
+    ensure_conventions(spark)
+    return ingest.evaluate(feed.record_feed(spark, sf_dir))
+
+
+@register
+def q_batch_guard(spark, sf_dir):
+    ensure_conventions(spark)
+    return ingest.batch_verdicts(feed.record_feed(spark, sf_dir))
+
+
+@register
+def q_unknown_table_guard(spark, sf_dir):
+    return q_batch_guard(spark, sf_dir).filter("NOT accepted").drop("accepted")
+
+
+@register
+def q_ingest_valid(spark, sf_dir):
+    return ingest.valid_records(evaluated_feed(spark, sf_dir), "employees")
+
+
+@register
+def q_ingest_rejected(spark, sf_dir):
+    return ingest.rejected_records(evaluated_feed(spark, sf_dir))
+
+
+@register
+def q_ingest_summary(spark, sf_dir):
+    return ingest.summary(evaluated_feed(spark, sf_dir))

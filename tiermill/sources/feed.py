@@ -25,11 +25,11 @@ HIRE_TIME = "T10:20:30Z"
 FEED_YEAR = 1997
 
 
-def employees_from_orders(orders: DataFrame) -> DataFrame:
-    """Raw employees (id, name, datetime, department_id, job_id) from orders."""
+def employee_columns() -> list:
+    """The raw employee fields as expressions over an orders row."""
     k = F.col("o_orderkey")
     none = F.lit(None)
-    return orders.select(
+    return [
         F.when(k % DIRTY_ID == 0, none).otherwise(k).alias("id"),
         F.when(k % DIRTY_NAME_NULL == 0, none)
          .when(k % DIRTY_NAME_BLANK == 0, F.lit("   "))
@@ -42,7 +42,12 @@ def employees_from_orders(orders: DataFrame) -> DataFrame:
          .otherwise(F.col("o_custkey") % DEPARTMENT_SPAN).alias("department_id"),
         F.when(k % DIRTY_JOB == 0, none.cast("double"))
          .otherwise((k % JOB_SPAN).cast("double")).alias("job_id"),
-    )
+    ]
+
+
+def employees_from_orders(orders: DataFrame) -> DataFrame:
+    """Raw employees (id, name, datetime, department_id, job_id) from orders."""
+    return orders.select(*employee_columns())
 
 
 def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,3 +68,29 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"employees": raw_employees(spark, sf_dir),
             "departments": raw_departments(spark, sf_dir),
             "jobs": raw_jobs(spark, sf_dir)}
+
+
+def record_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mixed ingest feed (table, batch_id, seq, record) over the driver's
+    tables: every raw employee of :func:`raw_employees` as a JSON record
+    (null fields left out) batched per customer, every nation as a
+    department batched per region, every part as a job batched per brand,
+    and every supplier addressed to a table the ingest does not know,
+    batched per nation."""
+    def records(name, table, batch_prefix, batch_col, seq_col, fields):
+        return testdata(spark, sf_dir, name).select(
+            F.lit(table).alias("table"),
+            F.concat(F.lit(batch_prefix), F.col(batch_col).cast("string")).alias("batch_id"),
+            F.col(seq_col).cast("bigint").alias("seq"),
+            F.to_json(F.struct(*fields)).alias("record"))
+
+    emp = records("orders", "employees", "customer-", "o_custkey", "o_orderkey",
+                  employee_columns())
+    dep = records("nation", "departments", "region-", "n_regionkey", "n_nationkey",
+                  [F.col("n_nationkey").cast("bigint").alias("id"),
+                   F.col("n_name").alias("department")])
+    job = records("part", "jobs", "brand-", "p_brand", "p_partkey",
+                  [F.col("p_partkey").alias("id"), F.col("p_name").alias("job")])
+    sup = records("supplier", "suppliers", "nation-", "s_nationkey", "s_suppkey",
+                  [F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")])
+    return emp.unionByName(dep).unionByName(job).unionByName(sup)
