@@ -5,9 +5,12 @@ they are the only non-deterministic columns."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_conventions
 from ..sources import feed
@@ -168,3 +171,140 @@ def q_ingest_rejected(spark, sf_dir):
 @register
 def q_ingest_summary(spark, sf_dir):
     return ingest.summary(evaluated_feed(spark, sf_dir))
+
+
+# -- sinks, dead-letter queue, snapshots ---------------------------------------
+import uuid  # noqa: E402
+
+from .. import schemas  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import readers, writers  # noqa: E402
+from ..operators import dlq, snapshots  # noqa: E402
+
+AS_OF = "2024-01-01 00:00:00"
+AS_OF_LATER = "2024-01-02 00:00:00"
+DELETE_ABOVE_ID = 4540
+RAW_COLUMNS = [f.name for f in schemas.RAW_EMPLOYEES.fields]
+
+
+def run_root(spark) -> str:
+    """A fresh folder for one run of a writing query, under the shared
+    checkpoint folder of the session."""
+    return scratch_path(spark, "runs", uuid.uuid4().hex)
+
+
+@register
+def q_csv_roundtrip(spark, sf_dir):
+    raw = layers(spark, sf_dir)["raw"]
+    path = writers.write_csv(raw, run_root(spark) + "/raw/employees")
+    return readers.read_csv(spark, path + "/*.csv", "employees")
+
+
+@register
+def q_csv_inferred_types(spark, sf_dir):
+    raw = layers(spark, sf_dir)["raw"]
+    path = writers.write_csv(raw, run_root(spark) + "/raw/employees")
+    return readers.read_csv(spark, path, infer=True)
+
+
+@register
+def q_json_append(spark, sf_dir):
+    """Valid records appended twice: an append is not idempotent."""
+    valid = q_ingest_valid(spark, sf_dir).select(*[f.name for f in schemas.DECLARED_EMPLOYEES])
+    path = run_root(spark) + "/raw/employees"
+    writers.write_json(valid, path, mode="append")
+    writers.write_json(valid, path, mode="append")
+    return readers.read_json_records(spark, path, schemas.DECLARED_EMPLOYEES, strict=True)
+
+
+@register
+def q_dlq_roundtrip(spark, sf_dir):
+    rejected = q_ingest_rejected(spark, sf_dir)
+    path = dlq.write_rejects(rejected, run_root(spark), "r0", as_of=AS_OF)
+    return readers.read_table(spark, path, fmt="json").select(
+        "table", "batch_id", "index", "record", "error", "error_type")
+
+
+@register
+def q_dlq_envelope(spark, sf_dir):
+    return dlq.envelopes(q_ingest_rejected(spark, sf_dir), as_of=AS_OF)
+
+
+QUARANTINE_EXPORT = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
+    T.StructField("datetime", T.StringType()), T.StructField("department_id", T.LongType()),
+    T.StructField("job_id", T.LongType()), T.StructField("rejection_reason", T.StringType()),
+    T.StructField("quarantine_at", T.StringType()),
+])
+
+
+@register
+def q_quarantine_export(spark, sf_dir):
+    ensure_conventions(spark)
+    raw = feed.raw_employees(spark, sf_dir)
+    path = dlq.write_quarantine_export(staging.quarantine_employees(raw, as_of=AS_OF),
+                                       run_root(spark), as_of=AS_OF)
+    return readers.read_table(spark, path, fmt="json", schema=QUARANTINE_EXPORT)
+
+
+def _raw_table(spark, sf_dir):
+    table = snapshots.VersionedTable(spark, run_root(spark), "employees")
+    snapshots.overwrite(table, layers(spark, sf_dir)["raw"])
+    return table
+
+
+@register
+def q_backup_restore(spark, sf_dir):
+    """backup -> delete -> restore gives the table back."""
+    table = _raw_table(spark, sf_dir)
+    root = os.path.dirname(os.path.dirname(table.location))
+    snapshots.backup(table.read(), root, "employees", as_of=AS_OF)
+    snapshots.delete_where(table, F.col("id") > DELETE_ABOVE_ID)
+    snapshots.restore(table, root, schema=schemas.RAW_EMPLOYEES)
+    return table.read()
+
+
+@register
+def q_latest_snapshot(spark, sf_dir):
+    L = layers(spark, sf_dir)
+    root = run_root(spark)
+    for as_of in (AS_OF, AS_OF_LATER):
+        snapshots.backup(L["raw"], root, "employees", as_of=as_of)
+    snapshots.backup(L["departments"], root, "departments", as_of=AS_OF)
+    return snapshots.latest_snapshots(snapshots.manifest(spark, root)).select("table", "ts", "rows")
+
+
+@register
+def q_delete_rows(spark, sf_dir):
+    table = _raw_table(spark, sf_dir)
+    snapshots.delete_where(table, F.col("id") > DELETE_ABOVE_ID)
+    return table.read()
+
+
+@register
+def q_truncate_table(spark, sf_dir):
+    table = _raw_table(spark, sf_dir)
+    snapshots.truncate(table)
+    return table.log().select("version", "operation", "rows")
+
+
+@register
+def q_upsert_by_id(spark, sf_dir):
+    """Valid ingest records upserted into the raw table by id."""
+    table = _raw_table(spark, sf_dir)
+    batch = q_ingest_valid(spark, sf_dir).withColumn("job_id", F.col("job_id").cast("double"))
+    snapshots.upsert(table, batch, "id", ["batch_id", "index"])
+    return table.read()
+
+
+@register
+def q_row_counts(spark, sf_dir):
+    """Row counts of the stored raw tables, read from their commit logs."""
+    raw = feed.raw_layer(spark, sf_dir)
+    root = run_root(spark)
+    parts = []
+    for name, df in raw.items():
+        t = snapshots.VersionedTable(spark, root, name)
+        snapshots.overwrite(t, df)
+        parts.append(t.log().select(F.lit(name).alias("table"), "rows"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
