@@ -23,7 +23,12 @@ QUARTERS = (1, 2, 3, 4)
 
 
 def _in_year_fact(fact: DataFrame, time_col: str, year: int) -> DataFrame:
-    return fact.filter(in_year(time_col, year))
+    """Rows of ``year``; a stored staging table partitioned by ``hire_year``
+    is pruned to that one directory as well."""
+    cond = in_year(time_col, year)
+    if "hire_year" in fact.columns:
+        cond = cond & (F.col("hire_year") == year)
+    return fact.filter(cond)
 
 
 def quarterly_hires(fact: DataFrame, departments: DataFrame, jobs: DataFrame,

@@ -308,3 +308,50 @@ def q_row_counts(spark, sf_dir):
         snapshots.overwrite(t, df)
         parts.append(t.log().select(F.lit(name).alias("table"), "rows"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# -- serving, streaming ingest, full refresh --------------------------------------
+from . import refresh as refresh_plan, serving  # noqa: E402
+from ..streaming import ingest_stream  # noqa: E402
+
+
+def _published(spark, sf_dir):
+    root = run_root(spark)
+    refresh_plan.refresh(spark, feed.raw_layer(spark, sf_dir), root, YEAR, gate=False)
+    return root, refresh_plan.tables(spark, root)
+
+
+@register
+def q_serve_quarterly(spark, sf_dir):
+    _, t = _published(spark, sf_dir)
+    return serving.quarterly_hires(t["marts/quarterly_hires"].read())
+
+
+@register
+def q_serve_dept_performance(spark, sf_dir):
+    _, t = _published(spark, sf_dir)
+    return serving.dept_performance(t["marts/dept_performance"].read())
+
+
+@register
+def q_preview_top5(spark, sf_dir):
+    L = layers(spark, sf_dir)
+    mart = marts.quarterly_hires(L["staging"], L["departments"], L["jobs"], YEAR)
+    return serving.preview(serving.quarterly_hires(mart), 5)
+
+
+@register
+def q_full_refresh(spark, sf_dir):
+    root, _ = _published(spark, sf_dir)
+    return refresh_plan.table_counts(spark, root)
+
+
+@register
+def q_stream_ingest(spark, sf_dir):
+    """availableNow stream over record files = the batch ingest."""
+    ensure_conventions(spark)
+    root = run_root(spark)
+    source = ingest_stream.write_feed(feed.record_feed(spark, sf_dir), root + "/incoming")
+    ingest_stream.run_available(spark, source, root + "/out", root + "/_checkpoint",
+                                max_files_per_trigger=2)
+    return ingest_stream.ingested(spark, root + "/out", "employees").drop("batch")
