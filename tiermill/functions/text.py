@@ -15,7 +15,10 @@ STAMP_FORMAT = "yyyyMMdd_HHmmss"
 # also accepts "2021", "2021-11" and a bare time of day (taken as today).
 DATE_GUARD = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ Tt].*)?$"
 
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# The whitespace characters stripped from text fields (the
+# characters for which Python's ``str.isspace`` holds), in code point order.
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003"
+              "\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def col_of(c: str | Column) -> Column:
@@ -23,9 +26,9 @@ def col_of(c: str | Column) -> Column:
 
 
 def strip_ws(c: str | Column) -> Column:
-    """Remove leading/trailing whitespace of any kind (``trim`` strips only
-    spaces)."""
-    return F.regexp_replace(col_of(c), _EDGE_WS, "")
+    """Remove leading/trailing whitespace of any kind (plain ``trim`` strips
+    only spaces); a character-set trim, much cheaper than a regex."""
+    return F.trim(col_of(c), F.lit(WHITESPACE))
 
 
 def is_blank(c: str | Column) -> Column:

@@ -29,17 +29,37 @@ def register(fn):
     return fn
 
 
-def layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """raw / staging / quarantine / dimension frames over ``sf_dir``."""
-    ensure_conventions(spark)
-    raw = feed.raw_layer(spark, sf_dir)
-    return {
-        "raw": raw["employees"],
-        "staging": staging.staging_employees(raw["employees"]),
-        "quarantine": staging.quarantine_employees(raw["employees"]),
-        "departments": staging.staging_dimension(raw["departments"], "department"),
-        "jobs": staging.staging_dimension(raw["jobs"], "job"),
-    }
+class Layers:
+    """raw / staging / quarantine / dimension frames over ``sf_dir``, built
+    on first use (each frame costs plan analysis on the driver)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        ensure_conventions(spark)
+        self.spark, self.sf_dir, self._frames = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = getattr(self, "_" + name)()
+        return self._frames[name]
+
+    def _raw(self):
+        return feed.raw_employees(self.spark, self.sf_dir)
+
+    def _staging(self):
+        return staging.staging_employees(self["raw"])
+
+    def _quarantine(self):
+        return staging.quarantine_employees(self["raw"])
+
+    def _departments(self):
+        return staging.staging_dimension(feed.raw_departments(self.spark, self.sf_dir), "department")
+
+    def _jobs(self):
+        return staging.staging_dimension(feed.raw_jobs(self.spark, self.sf_dir), "job")
+
+
+def layers(spark: SparkSession, sf_dir: str) -> Layers:
+    return Layers(spark, sf_dir)
 
 
 @register
