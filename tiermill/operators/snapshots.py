@@ -85,8 +85,9 @@ def _count_written(spark: SparkSession, path: str, fmt: str) -> int:
 class VersionedTable:
     """A named table under ``<root>/tables/<name>``."""
 
-    def __init__(self, spark: SparkSession, root: str, name: str, fmt: str = "parquet"):
-        self.spark, self.name, self.fmt = spark, name, fmt
+    def __init__(self, spark: SparkSession, root: str, name: str, fmt: str = "parquet",
+                 partition_by: list[str] | None = None):
+        self.spark, self.name, self.fmt, self.partition_by = spark, name, fmt, partition_by
         self.location = os.path.join(root, "tables", name)
         self.log_path = os.path.join(self.location, "_commits")
 
@@ -113,7 +114,7 @@ class VersionedTable:
         head = self.current()
         version = 0 if head is None else head["version"] + 1
         path = os.path.join(self.location, f"v{version:08d}")
-        write_table(df, path, self.fmt)
+        write_table(df, path, self.fmt, partition_by=self.partition_by)
         rows = _count_written(self.spark, path, self.fmt)
         entry = {"version": version, "operation": operation, "path": path, "rows": rows,
                  "committed_at": _now_stamp()}

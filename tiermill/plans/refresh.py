@@ -25,7 +25,10 @@ def tables(spark: SparkSession, root: str) -> dict[str, VersionedTable]:
     names = ["raw/employees", "raw/departments", "raw/jobs",
              "staging/employees", "staging/departments", "staging/jobs",
              "quarantine/employees", "marts/quarterly_hires", "marts/dept_performance"]
-    return {n: VersionedTable(spark, root, n) for n in names}
+    # staging is partitioned by hire year: the marts read one year, so the
+    # scan is pruned to one directory.
+    partitioning = {"staging/employees": ["hire_year"]}
+    return {n: VersionedTable(spark, root, n, partition_by=partitioning.get(n)) for n in names}
 
 
 def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, year: int,
