@@ -147,7 +147,7 @@ def _field_error(f: Field, present: Column, text: Column, as_long: Column) -> Co
                .when(text.isNull(), F.lit(MSG_STR))
                .when((F.length(text) < MIN_DATETIME_CHARS)
                      | safe_timestamp(text).isNull(), F.lit(MSG_DATETIME)))
-    return F.when(err.isNotNull(), F.concat(F.lit(f.name + ": "), err))
+    return F.concat(F.lit(f.name + ": "), err)  # null when err is null
 
 
 def field_plan() -> list[tuple[str, Field, tuple[str, ...]]]:
@@ -163,20 +163,24 @@ def field_plan() -> list[tuple[str, Field, tuple[str, ...]]]:
 ERROR_SEP = "; "
 
 
-def feed_errors(table: Column, text_of, present_of, long_of) -> tuple[Column, Column]:
-    """(number of failing rules, their messages joined by ``ERROR_SEP``) of
-    each record of a mixed feed.  ``text_of(name)``, ``present_of(name)``
-    and ``long_of(name)`` give a field's text, presence and integral value.
-
-    Built from ``concat_ws`` (which skips nulls) and a sum of flags rather
-    than an array filter: higher-order functions have no code generation and
-    would evaluate the whole rule tree row by row in interpreted mode."""
-    checks = []
-    for name, f, tables in field_plan():
-        err = _field_error(f, present_of(name), text_of(name), long_of(name))
-        checks.append(F.when(table.isin(*tables), err))
-    n = sum((c.isNotNull().cast("int") for c in checks[1:]), checks[0].isNotNull().cast("int"))
-    return n, F.concat_ws(ERROR_SEP, *checks)
+def field_errors(table: Column, text_of, present_of, long_of) -> list[Column]:
+    """One message column per (field, rule set) of the record models, null
+    when that field is valid or the record's table has no such field.
+    ``text_of(name)``, ``present_of(name)`` and ``long_of(name)`` give a
+    field's text, presence and integral value as columns."""
+    return [F.when(table.isin(*tables), _field_error(f, present_of(name), text_of(name), long_of(name)))
+            for name, f, tables in field_plan()]
+
+
+ERROR_SEP = "; "
+
+
+def count_and_join(messages: list[Column]) -> tuple[Column, Column]:
+    """(number of non-null messages, messages joined by ``ERROR_SEP``).
+    ``concat_ws`` skips nulls; no array filter (higher-order functions have
+    no code generation)."""
+    n = sum((m.isNotNull().cast("int") for m in messages[1:]), messages[0].isNotNull().cast("int"))
+    return n, F.concat_ws(ERROR_SEP, *messages)
 
 
 def valid_projection(table: str) -> list[Column]:

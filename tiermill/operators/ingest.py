@@ -67,15 +67,22 @@ def evaluate(feed: DataFrame) -> DataFrame:
           for n in rules.ALL_FIELDS])
     ids = sorted({n for n, f, _ in rules.field_plan() if f.kind == "id"})
     typed = fields.select("*", *[rules.integral(F.col(f"f_{n}")).alias(f"v_{n}") for n in ids])
-    n_rules, messages = rules.feed_errors(
+    # Each field's message is its own column, so counting and joining them
+    # below reads columns instead of evaluating every rule twice.
+    checks = rules.field_errors(
         F.col("table"), lambda n: F.col(f"f_{n}"), lambda n: F.col(f"p_{n}"),
         lambda n: F.col(f"v_{n}") if n in ids else F.lit(None))
+    messages = typed.select(
+        *BATCH_KEY, "seq", "record", "_is_object",
+        *[F.col(f"f_{n}") for n in rules.ALL_FIELDS], *[F.col(f"v_{n}") for n in ids],
+        *[c.alias(f"_e{i}") for i, c in enumerate(checks)])
+    n_rules, joined = rules.count_and_join([F.col(f"_e{i}") for i in range(len(checks))])
     is_object = F.col("_is_object")
-    checked = typed.select(
+    checked = messages.select(
         *BATCH_KEY, "seq", "record",
         *[F.col(f"f_{n}") for n in rules.ALL_FIELDS], *[F.col(f"v_{n}") for n in ids],
         F.when(is_object, n_rules).otherwise(1).alias("n_errors"),
-        F.when(is_object, messages).otherwise(F.lit(ERR_NOT_OBJECT)).alias("error_list"))
+        F.when(is_object, joined).otherwise(F.lit(ERR_NOT_OBJECT)).alias("error_list"))
     position = Window.partitionBy(*BATCH_KEY).orderBy("seq")
     return checked.withColumn("index", F.row_number().over(position) - 1)
 
