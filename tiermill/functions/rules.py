@@ -9,6 +9,7 @@ Two families of rules run over whole DataFrames as column expressions:
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -199,3 +200,44 @@ def valid_projection(table: str) -> list[Column]:
 
 def table_is_known(c: str | Column) -> Column:
     return col_of(c).isin(*MODELS.keys())
+
+
+# -- cached expressions over the standard column names -------------------------
+# Building a Column costs driver round trips to the JVM; the fixed rule trees
+# are built once per process and reused (they hold only unresolved names).
+
+@functools.cache
+def parsed_datetime() -> Column:
+    return safe_timestamp("datetime")
+
+
+@functools.cache
+def staging_filter(blank_name_to_staging: bool = True) -> Column:
+    return staging_predicate(parsed_datetime(), blank_name_to_staging)
+
+
+@functools.cache
+def quarantine_filter() -> Column:
+    return quarantine_predicate(parsed_datetime())
+
+
+@functools.cache
+def reason() -> Column:
+    return quarantine_reason(parsed_datetime())
+
+
+ID_FIELDS = tuple(sorted({n for n, f, _ in field_plan() if f.kind == "id"}))
+
+
+@functools.cache
+def id_values() -> tuple:
+    """``v_<name>``: integral value of each id field over ``f_<name>``."""
+    return tuple(integral(F.col(f"f_{n}")).alias(f"v_{n}") for n in ID_FIELDS)
+
+
+@functools.cache
+def record_checks() -> tuple:
+    """Per-field message columns over ``table``, ``f_*``, ``p_*``, ``v_*``."""
+    return tuple(field_errors(
+        F.col("table"), lambda n: F.col(f"f_{n}"), lambda n: F.col(f"p_{n}"),
+        lambda n: F.col(f"v_{n}") if n in ID_FIELDS else F.lit(None)))

@@ -65,13 +65,11 @@ def evaluate(feed: DataFrame) -> DataFrame:
         *[F.col(f"f_{n}") for n in rules.ALL_FIELDS],
         *[F.coalesce(F.array_contains("_keys", n), F.lit(False)).alias(f"p_{n}")
           for n in rules.ALL_FIELDS])
-    ids = sorted({n for n, f, _ in rules.field_plan() if f.kind == "id"})
-    typed = fields.select("*", *[rules.integral(F.col(f"f_{n}")).alias(f"v_{n}") for n in ids])
+    ids = rules.ID_FIELDS
+    typed = fields.select("*", *rules.id_values())
     # Each field's message is its own column, so counting and joining them
     # below reads columns instead of evaluating every rule twice.
-    checks = rules.field_errors(
-        F.col("table"), lambda n: F.col(f"f_{n}"), lambda n: F.col(f"p_{n}"),
-        lambda n: F.col(f"v_{n}") if n in ids else F.lit(None))
+    checks = rules.record_checks()
     messages = typed.select(
         *BATCH_KEY, "seq", "record", "_is_object",
         *[F.col(f"f_{n}") for n in rules.ALL_FIELDS], *[F.col(f"v_{n}") for n in ids],

@@ -77,6 +77,12 @@ def snapshot_format(spark: SparkSession, preferred: str = "avro") -> str:
     return preferred
 
 
+def _one_row(spark: SparkSession, values: dict, schema: T.StructType) -> DataFrame:
+    """A one-row frame of literals (built in the JVM, no Python data)."""
+    return spark.range(1).select(*[F.lit(values[f.name]).cast(f.dataType).alias(f.name)
+                                   for f in schema.fields])
+
+
 def _count_written(spark: SparkSession, path: str, fmt: str) -> int:
     """Rows of a written directory (parquet answers from footers)."""
     return spark.read.format(fmt).load(path).count()
@@ -90,16 +96,22 @@ class VersionedTable:
         self.spark, self.name, self.fmt, self.partition_by = spark, name, fmt, partition_by
         self.location = os.path.join(root, "tables", name)
         self.log_path = os.path.join(self.location, "_commits")
+        self._head: dict | None = None  # newest commit made through this object
 
     def log(self) -> DataFrame:
         if not _exists(self.spark, self.log_path):
             return self.spark.createDataFrame([], COMMIT_LOG)
         return self.spark.read.schema(COMMIT_LOG).parquet(self.log_path)
 
-    def current(self) -> dict | None:
-        """The newest commit (one row, so collecting it is bounded)."""
-        row = self.log().orderBy(F.desc("version")).limit(1).collect()
-        return row[0].asDict() if row else None
+    def current(self, refresh: bool = False) -> dict | None:
+        """The newest commit (one row, so collecting it is bounded).  After a
+        commit through this object the entry is known without a log read."""
+        if self._head is None or refresh:
+            if not _exists(self.spark, self.log_path):
+                return None
+            row = self.log().orderBy(F.desc("version")).limit(1).collect()
+            self._head = row[0].asDict() if row else None
+        return self._head
 
     def read(self, version: int | None = None) -> DataFrame:
         entry = self.current() if version is None else (
@@ -118,8 +130,8 @@ class VersionedTable:
         rows = _count_written(self.spark, path, self.fmt)
         entry = {"version": version, "operation": operation, "path": path, "rows": rows,
                  "committed_at": _now_stamp()}
-        (self.spark.createDataFrame([entry], COMMIT_LOG).coalesce(1)
-         .write.mode("append").parquet(self.log_path))
+        _one_row(self.spark, entry, COMMIT_LOG).write.mode("append").parquet(self.log_path)
+        self._head = entry
         return entry
 
 
@@ -180,8 +192,7 @@ def backup(df: DataFrame, root: str, table: str, as_of: str | None = None,
     write_table(df, path, fmt)
     rows = _count_written(spark, path, fmt)
     entry = {"table": table, "ts": ts, "path": path, "format": fmt, "rows": rows}
-    (spark.createDataFrame([entry], MANIFEST).coalesce(1)
-     .write.mode("append").parquet(manifest_path(root)))
+    _one_row(spark, entry, MANIFEST).write.mode("append").parquet(manifest_path(root))
     return {"status": "success", "table": table, "backup_uri": path, "timestamp": ts,
             "rows_backed_up": rows}
 

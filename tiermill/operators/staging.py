@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import audit_time, canonical_text, safe_timestamp, strip_ws, round_to_long
+from ..functions.text import audit_time, canonical_text, strip_ws, round_to_long
 
 
 def staging_employees(raw: DataFrame, as_of: str | None = None,
@@ -21,9 +21,8 @@ def staging_employees(raw: DataFrame, as_of: str | None = None,
     rounded to an integer, audit stamp.  ``hired_at`` keeps the parsed time
     (seconds precision) beside the text so that the marts filter on a typed
     column that reaches the parquet reader."""
-    ts = safe_timestamp("datetime")
-    kept = raw.filter(rules.staging_predicate(ts, blank_name_to_staging))
-    ts_kept = safe_timestamp("datetime")
+    kept = raw.filter(rules.staging_filter(blank_name_to_staging))
+    ts_kept = rules.parsed_datetime()
     return kept.select(
         F.col("id"),
         strip_ws("name").alias("name"),
@@ -37,12 +36,11 @@ def staging_employees(raw: DataFrame, as_of: str | None = None,
 
 def quarantine_employees(raw: DataFrame, as_of: str | None = None) -> DataFrame:
     """Rejected raw rows with the first failing rule as the reason."""
-    ts = safe_timestamp("datetime")
-    return raw.filter(rules.quarantine_predicate(ts)).select(
+    return raw.filter(rules.quarantine_filter()).select(
         "id", "name",
         F.col("datetime").alias("original_datetime_string"),
         "department_id", "job_id",
-        rules.quarantine_reason(safe_timestamp("datetime")).alias("rejection_reason"),
+        rules.reason().alias("rejection_reason"),
         audit_time(as_of).alias("quarantined_at"),
     )
 

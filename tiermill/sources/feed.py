@@ -9,6 +9,8 @@ reason occurs.  The same rule is written in the oracle SQL.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +27,13 @@ HIRE_TIME = "T10:20:30Z"
 FEED_YEAR = 1997
 
 
-def employee_columns() -> list:
-    """The raw employee fields as expressions over an orders row."""
+@functools.cache
+def employee_columns() -> tuple:
+    """The raw employee fields as expressions over an orders row (built once
+    per process: a Column is an immutable, unresolved expression tree)."""
     k = F.col("o_orderkey")
     none = F.lit(None)
-    return [
+    return (
         F.when(k % DIRTY_ID == 0, none).otherwise(k).alias("id"),
         F.when(k % DIRTY_NAME_NULL == 0, none)
          .when(k % DIRTY_NAME_BLANK == 0, F.lit("   "))
@@ -42,7 +46,7 @@ def employee_columns() -> list:
          .otherwise(F.col("o_custkey") % DEPARTMENT_SPAN).alias("department_id"),
         F.when(k % DIRTY_JOB == 0, none.cast("double"))
          .otherwise((k % JOB_SPAN).cast("double")).alias("job_id"),
-    ]
+    )
 
 
 def employees_from_orders(orders: DataFrame) -> DataFrame:
