@@ -372,6 +372,5 @@ def q_stream_ingest(spark, sf_dir):
     ensure_conventions(spark)
     root = run_root(spark)
     source = ingest_stream.write_feed(feed.record_feed(spark, sf_dir), root + "/incoming")
-    ingest_stream.run_available(spark, source, root + "/out", root + "/_checkpoint",
-                                max_files_per_trigger=2)
+    ingest_stream.run_available(spark, source, root + "/out", root + "/_checkpoint")
     return ingest_stream.ingested(spark, root + "/out", "employees").drop("batch")

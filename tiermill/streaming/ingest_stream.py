@@ -32,11 +32,13 @@ FEED_SCHEMA = T.StructType([
 ])
 
 
-def write_feed(feed: DataFrame, path: str) -> str:
+def write_feed(feed: DataFrame, path: str, files: int | None = None) -> str:
     """Write a record feed as JSON-lines files, each record batch whole in
-    one file (the layout a producer of batches writes)."""
-    (feed.repartition("table", "batch_id").sortWithinPartitions("table", "batch_id", "seq")
-     .write.mode("overwrite").json(path))
+    one file (the layout a producer of batches writes); ``files`` fixes the
+    number of files, otherwise the shuffle's partitioning decides."""
+    parts = (feed.repartition(files, "table", "batch_id") if files
+             else feed.repartition("table", "batch_id"))
+    parts.sortWithinPartitions("table", "batch_id", "seq").write.mode("overwrite").json(path)
     return path
 
 
