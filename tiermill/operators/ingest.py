@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..session import spread_if_narrow
 
 BATCH_KEY = ["table", "batch_id"]
 
@@ -39,6 +40,26 @@ def batch_verdicts(feed: DataFrame) -> DataFrame:
                         error.alias("error"))
 
 
+# Largest number of rejected batches whose keys are broadcast to drop their
+# records before any shuffle (about 100 bytes a key).
+MAX_BROADCAST_REJECTED = 200_000
+
+
+def accepted_records(feed: DataFrame, max_broadcast: int = MAX_BROADCAST_REJECTED) -> DataFrame:
+    """Records of the batches that pass the batch rules.
+
+    Rejected batches are usually few; when a count proves there are at most
+    ``max_broadcast`` of them, their keys are broadcast and their records
+    dropped map-side, so an oversized (hot) batch never reaches the shuffle
+    by batch key.  Beyond that bound the feed is joined with the accepted
+    batch list by a shuffle join."""
+    verdicts = batch_verdicts(feed)
+    rejected = verdicts.filter(~F.col("accepted")).select(*BATCH_KEY)
+    if rejected.count() <= max_broadcast:
+        return feed.join(F.broadcast(rejected), BATCH_KEY, "left_anti")
+    return feed.join(verdicts.filter("accepted").select(*BATCH_KEY), BATCH_KEY, "left_semi")
+
+
 def evaluate(feed: DataFrame) -> DataFrame:
     """Records of accepted batches with ``index`` (position in the batch),
     the field texts ``f_<name>``, the integral values ``v_<name>`` of id
@@ -47,8 +68,7 @@ def evaluate(feed: DataFrame) -> DataFrame:
     Rules run on the map side, before the shuffle that numbers the records:
     later filters on ``n_errors`` then stop at the window and read a plain
     column, instead of being pushed down with the whole rule tree inlined."""
-    accepted = batch_verdicts(feed).filter("accepted").select(*BATCH_KEY)
-    records = feed.join(accepted, BATCH_KEY, "left_semi")
+    records = accepted_records(spread_if_narrow(feed))
     # json_tuple parses each record once and yields plain columns; from_json
     # would keep the stage out of code generation and, once its fields are
     # inlined into the rules, parse the record again for every reference.

@@ -73,3 +73,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), *parts)
+
+
+def spread_if_narrow(df):
+    """Round-robin ``df`` over the cluster's task slots when it has fewer
+    partitions than slots (a small input stored as one file), before costly
+    per-row work.  Large inputs already have more splits than slots and are
+    left as they are, so this never adds a shuffle at scale.  Call it on a
+    scan-side frame: counting partitions plans the frame (and would run the
+    broadcasts of a frame that has broadcast joins)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
