@@ -94,3 +94,24 @@ def test_batch_guards(spark):
     ev = ingest.evaluate(fd)
     assert set(r.batch_id for r in ev.select("batch_id").distinct().collect()) == {"ok"}
     assert ev.agg(F.max("index")).first()[0] == 999
+
+
+def test_hot_batch_is_dropped_before_the_shuffle(spark):
+    """A batch holding most of the feed is rejected whole, and its records
+    are removed map-side (broadcast anti join) before the shuffle that
+    numbers records, so no task receives the hot batch."""
+    hot = [dict(GOOD, id=i + 1) for i in range(3000)]
+    fd = feed_of(spark, {("employees", "hot"): hot,
+                         ("employees", "a"): [GOOD], ("jobs", "j"): [{"id": 3, "job": "Clerk"}]})
+    ev = ingest.evaluate(fd)
+    assert {r.batch_id for r in ev.select("batch_id").collect()} == {"a", "j"}
+    plan = ev._jdf.queryExecution().executedPlan().toString()
+    exchange_at = plan.find("Exchange hashpartitioning(table")
+    assert exchange_at != -1 and "LeftAnti" in plan[exchange_at:]
+
+
+def test_shuffle_join_beyond_the_broadcast_bound(spark):
+    fd = feed_of(spark, {("bogus", "x"): [GOOD], ("employees", "a"): [GOOD]})
+    records = ingest.accepted_records(fd, max_broadcast=0)
+    assert [r.batch_id for r in records.collect()] == ["a"]
+    assert "LeftSemi" in records._jdf.queryExecution().optimizedPlan().toString()

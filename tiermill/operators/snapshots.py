@@ -55,11 +55,11 @@ def _stamp_of(as_of: str | None) -> str:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 -- reads the footer only
-        return True
-    except AnalysisException:
-        return False
+    """Whether ``path`` exists, asked of the path's Hadoop file system (works
+    for any scheme the cluster's shared folder uses)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
 def snapshot_format(spark: SparkSession, preferred: str = "avro") -> str:
