@@ -42,3 +42,11 @@ def test_year_filter_reaches_stored_staging(spark, root):
     assert "GreaterThanOrEqual(hired_at" in scan.split("PushedFilters")[1]
     assert "PartitionFilters: [isnotnull(hire_year" in scan and "= 1997)" in scan
     assert os.path.isdir(os.path.join(path, "hire_year=1997"))
+
+
+def test_dept_performance_scans_the_fact_once(spark):
+    L = layers(spark, SF_SMALL)
+    df = marts.dept_performance(L["staging"], L["departments"], 1997)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedSubquery" in p and "ReusedExchange" in p
