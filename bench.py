@@ -29,11 +29,43 @@ HEADLINE = [
     "ingest_rejected",
     "backup_restore",         # snapshot export + import
     "upsert_by_id",
-    "full_refresh",           # all layers written, gate, marts, export
     "stream_ingest",          # availableNow stream = batch ingest
 ]
 
 
+def stored_layer_queries(spark, sf_dir: str) -> dict[str, float]:
+    """The refresh (all layers written, gate, marts, export), then the marts
+    and the serving reads over the *stored* layers -- the shape in which the
+    published mart timings were taken (queries over a materialized staging
+    table)."""
+    from tiermill.operators import marts
+    from tiermill.plans import refresh, serving
+    from tiermill.plans.catalog import YEAR, run_root
+    from tiermill.sources import feed
+
+    times = {}
+    root = run_root(spark)
+    t0 = time.perf_counter()
+    refresh.refresh(spark, feed.raw_layer(spark, sf_dir), root, YEAR, gate=False)
+    times["full_refresh"] = time.perf_counter() - t0
+    t = refresh.tables(spark, root)
+    jobs = {
+        "stored_quarterly_hires": lambda: marts.quarterly_hires(
+            t["staging/employees"].read(), t["staging/departments"].read(),
+            t["staging/jobs"].read(), YEAR),
+        "stored_dept_performance": lambda: marts.dept_performance(
+            t["staging/employees"].read(), t["staging/departments"].read(), YEAR),
+        "serve_quarterly": lambda: serving.quarterly_hires(t["marts/quarterly_hires"].read()),
+        "serve_dept_performance": lambda: serving.dept_performance(
+            t["marts/dept_performance"].read()),
+    }
+    for name, build in jobs.items():
+        t0 = time.perf_counter()
+        build().write.format("noop").mode("overwrite").save()
+        times[name] = time.perf_counter() - t0
+    return times
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -48,7 +80,10 @@ def main() -> None:
     for name in only:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        times[name] = time.perf_counter() - t0
+    if not sys.argv[1:]:
+        times.update(stored_layer_queries(spark, sf_dir))
+    times = {k: round(v, 3) for k, v in times.items()}
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": int(cpus)}))
