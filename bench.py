@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -71,9 +70,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = sys.argv[1:] or HEADLINE
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tiermill-bench-")
     spark = session.build(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, extra=extra)
+    session.checkpoint_dir(spark)  # the configured shared folder; a scratch one only if unset
     # warm-up: JVM, code paths, file listing caches
     QUERIES["quarterly_hires"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
