@@ -44,14 +44,23 @@ def rows_of(columns, rows):
     return cols, out
 
 
+# Spark type name -> DuckDB type name
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+              "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
+
+
 def compare(df, con, sql):
+    s_types = {c.lower(): TYPE_NAMES.get(t, t) for c, t in df.dtypes}
     s_cols, s_rows = rows_of(df.columns, [tuple(r) for r in df.collect()])
     res = con.execute(sql)
+    d_types = {d[0].lower(): str(d[1]) for d in res.description}
     d_cols_raw = [d[0] for d in res.description]
     d_cols, d_rows = rows_of(d_cols_raw, res.fetchall())
     problems = []
     if s_cols != d_cols:
         problems.append(f"columns {s_cols} != {d_cols}")
+    elif s_types != d_types:
+        problems.append(f"types {s_types} != {d_types}")
     if len(s_rows) != len(d_rows):
         problems.append(f"rows {len(s_rows)} != {len(d_rows)}")
     elif s_rows != d_rows:

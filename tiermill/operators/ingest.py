@@ -102,7 +102,7 @@ def evaluate(feed: DataFrame) -> DataFrame:
         F.when(is_object, n_rules).otherwise(1).alias("n_errors"),
         F.when(is_object, joined).otherwise(F.lit(ERR_NOT_OBJECT)).alias("error_list"))
     position = Window.partitionBy(*BATCH_KEY).orderBy("seq")
-    return checked.withColumn("index", F.row_number().over(position) - 1)
+    return checked.withColumn("index", (F.row_number().over(position) - 1).cast("bigint"))
 
 
 def valid_records(evaluated: DataFrame, table: str) -> DataFrame:
