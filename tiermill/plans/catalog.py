@@ -395,3 +395,10 @@ def q_above_mean_subquery(spark, sf_dir):
                ROUND(hired - (SELECT AVG(hired) FROM dept_hires), 2) AS diff_from_mean
         FROM dept_hires
         WHERE hired > (SELECT AVG(hired) FROM dept_hires)""")
+
+
+@register
+def q_batch_size_guard(spark, sf_dir):
+    """Size rule of every batch: 1 to 1000 records."""
+    sizes = q_batch_guard(spark, sf_dir).select("table", "batch_id", "n_records")
+    return sizes.withColumn("size_ok", F.col("n_records").between(1, 1000))
