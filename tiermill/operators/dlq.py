@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import audit_time, export_text, round_to_long, stamp_text
 from ..sources.writers import write_json
+from .snapshots import stamp_of
 
 RECORD_FIELDS = ["index", "record", "error", "error_type"]
 
@@ -59,6 +60,5 @@ def quarantine_export(quarantine: DataFrame) -> DataFrame:
 def write_quarantine_export(quarantine: DataFrame, root: str, as_of: str | None = None,
                             table: str = "employees") -> str:
     """Write the export to ``<root>/dlq/quarantine/<table>/quarantine_<stamp>``."""
-    stamp = quarantine.sparkSession.range(1).select(stamp_text(audit_time(as_of))).first()[0]
-    path = os.path.join(root, "dlq", "quarantine", table, f"quarantine_{stamp}")
+    path = os.path.join(root, "dlq", "quarantine", table, f"quarantine_{stamp_of(as_of)}")
     return write_json(quarantine_export(quarantine), path)

@@ -48,7 +48,8 @@ def _now_stamp() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
 
 
-def _stamp_of(as_of: str | None) -> str:
+def stamp_of(as_of: str | None) -> str:
+    """``yyyyMMdd_HHmmss`` of ``as_of`` (read as UTC), or of now."""
     if as_of is None:
         return _now_stamp()
     return dt.datetime.fromisoformat(as_of).strftime("%Y%m%d_%H%M%S")
@@ -187,7 +188,7 @@ def backup(df: DataFrame, root: str, table: str, as_of: str | None = None,
     """Write a snapshot of ``df`` and record it in the manifest."""
     spark = df.sparkSession
     fmt = fmt or snapshot_format(spark)
-    ts = _stamp_of(as_of)
+    ts = stamp_of(as_of)
     path = os.path.join(root, "backups", table, ts)
     write_table(df, path, fmt)
     rows = _count_written(spark, path, fmt)
