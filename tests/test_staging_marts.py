@@ -86,3 +86,13 @@ def test_department_equal_to_mean_is_out(spark):
                                 schemas.RAW_EMPLOYEES)
     dep = spark.createDataFrame([(1, "X"), (2, "Y")], schemas.RAW_DEPARTMENTS)
     assert marts.dept_performance(staging.staging_employees(raw), dep, 2021).count() == 0
+
+
+def test_layer_schemas(spark):
+    raw, _, _ = frames(spark)
+    stg = staging.staging_employees(raw)
+    assert [(f.name, f.dataType) for f in stg.schema] == \
+        [(f.name, f.dataType) for f in schemas.STAGING_EMPLOYEES]
+    q = staging.quarantine_employees(raw)
+    assert [(f.name, f.dataType) for f in q.schema] == \
+        [(f.name, f.dataType) for f in schemas.QUARANTINE_EMPLOYEES]

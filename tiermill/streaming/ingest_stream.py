@@ -18,18 +18,12 @@ import os
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
+from .. import schemas
 from ..functions import rules
 from ..operators import dlq, ingest
 from ..sources.writers import write_table
 
-FEED_SCHEMA = T.StructType([
-    T.StructField("table", T.StringType()),
-    T.StructField("batch_id", T.StringType()),
-    T.StructField("seq", T.LongType()),
-    T.StructField("record", T.StringType()),
-])
+FEED_SCHEMA = schemas.RECORD_FEED
 
 
 def write_feed(feed: DataFrame, path: str, files: int | None = None) -> str:
