@@ -115,3 +115,16 @@ def test_shuffle_join_beyond_the_broadcast_bound(spark):
     records = ingest.accepted_records(fd, max_broadcast=0)
     assert [r.batch_id for r in records.collect()] == ["a"]
     assert "LeftSemi" in records._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_output_schemas(spark):
+    from tiermill import schemas
+    ev = ingest.evaluate(feed_of(spark, {("employees", "a"): [GOOD, BAD],
+                                        ("jobs", "j"): [{"id": 3, "job": "Clerk"}]}))
+    for table in ("employees", "jobs"):
+        valid = ingest.valid_records(ev, table).drop("batch_id", "index")
+        assert [(f.name, f.dataType) for f in valid.schema] == \
+            [(f.name, f.dataType) for f in schemas.DECLARED[table]]
+    rej = ingest.rejected_records(ev).select(*[f.name for f in schemas.REJECTED_RECORD])
+    assert [(f.name, f.dataType) for f in rej.schema] == \
+        [(f.name, f.dataType) for f in schemas.REJECTED_RECORD]

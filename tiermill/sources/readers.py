@@ -56,3 +56,9 @@ def read_table(spark: SparkSession, location: str, fmt: str = "parquet",
 def testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def read_csv_layer(spark: SparkSession, root: str, infer: bool = False) -> dict[str, DataFrame]:
+    """The raw tables from ``<root>/<table>/*.csv`` (many files per table)."""
+    return {t: read_csv(spark, f"{root.rstrip('/')}/{t}/*.csv", t, infer=infer)
+            for t in schemas.TABLES}
