@@ -96,3 +96,19 @@ def test_layer_schemas(spark):
     q = staging.quarantine_employees(raw)
     assert [(f.name, f.dataType) for f in q.schema] == \
         [(f.name, f.dataType) for f in schemas.QUARANTINE_EMPLOYEES]
+
+
+def test_marts_on_another_star_schema(spark):
+    """The marts take their key / name / time columns as parameters."""
+    fact = spark.createDataFrame(
+        [(1, 10, "2021-02-01 00:00:00"), (1, 10, "2021-05-01 00:00:00"), (2, 10, "2021-05-01 00:00:00")],
+        "store long, product long, sold string").withColumn("sold_at", F.col("sold").cast("timestamp"))
+    stores = spark.createDataFrame([(1, "North"), (2, "South")], "sid long, sname string")
+    products = spark.createDataFrame([(10, "Tea")], "pid long, pname string")
+    q = marts.quarterly_hires(fact, stores, products, 2021, time_col="sold_at",
+                              fact_keys=("store", "product"), dim_keys=("sid", "pid"),
+                              names=("sname", "pname"))
+    assert sorted(map(tuple, q.collect())) == [("North", "Tea", 1, 1, 0, 0, 2), ("South", "Tea", 0, 1, 0, 0, 1)]
+    d = marts.dept_performance(fact, stores, 2021, time_col="sold_at", fact_key="store",
+                               dim_key="sid", name="sname").first()
+    assert (d.id, d.department, d.hired, d.mean_hired) == (1, "North", 2, 1.5)

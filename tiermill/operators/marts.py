@@ -88,12 +88,13 @@ def department_hires(fact: DataFrame, departments: DataFrame, year: int,
 
 
 def dept_performance(fact: DataFrame, departments: DataFrame, year: int,
-                     time_col: str = "hired_at") -> DataFrame:
+                     time_col: str = "hired_at", fact_key: str = "department_id",
+                     dim_key: str = "id", name: str = "department") -> DataFrame:
     """Departments whose hires exceed the mean over the hiring departments.
 
     The mean is one scalar: it is computed once as an uncorrelated scalar
     subquery and compared unrounded; no join carries it to the rows."""
-    hires = department_hires(fact, departments, year, time_col)
+    hires = department_hires(fact, departments, year, time_col, fact_key, dim_key, name)
     mean = hires.agg(F.avg("hired")).scalar()
     return hires.filter(F.col("hired") > mean).select(
         "id", "department", "hired",
