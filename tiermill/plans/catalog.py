@@ -381,12 +381,10 @@ def q_above_mean_subquery(spark, sf_dir):
     """Departments above the mean, in the naive SQL shape: a scalar subquery
     in WHERE (Spark runs it once; it must equal ``dept_performance``)."""
     L = layers(spark, sf_dir)
-    L["staging"].createOrReplaceTempView("tiermill_stg_employees")
-    L["departments"].createOrReplaceTempView("tiermill_stg_departments")
     return spark.sql(f"""
         WITH dept_hires AS (
           SELECT d.id, d.department, COUNT(*) AS hired
-          FROM tiermill_stg_employees e JOIN tiermill_stg_departments d ON e.department_id = d.id
+          FROM {{stg}} e JOIN {{dep}} d ON e.department_id = d.id
           WHERE e.hired_at >= TIMESTAMP '{YEAR}-01-01 00:00:00'
             AND e.hired_at < TIMESTAMP '{YEAR + 1}-01-01 00:00:00'
           GROUP BY d.id, d.department)
@@ -394,7 +392,7 @@ def q_above_mean_subquery(spark, sf_dir):
                ROUND((SELECT AVG(hired) FROM dept_hires), 2) AS mean_hired,
                ROUND(hired - (SELECT AVG(hired) FROM dept_hires), 2) AS diff_from_mean
         FROM dept_hires
-        WHERE hired > (SELECT AVG(hired) FROM dept_hires)""")
+        WHERE hired > (SELECT AVG(hired) FROM dept_hires)""", stg=L["staging"], dep=L["departments"])
 
 
 @register
