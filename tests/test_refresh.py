@@ -33,6 +33,10 @@ def test_refresh_from_csv(spark, root):
     assert rows["quarantine/employees"] == 7 and rows["marts/quarterly_hires"] == 4
     assert rows["marts/dept_performance"] == 1
     t = refresh.tables(spark, os.path.join(root, "lake"))
+    per_layer = {}
+    for name in t:
+        per_layer[name.split("/")[0]] = per_layer.get(name.split("/")[0], 0) + 1
+    assert per_layer == {"raw": 3, "staging": 3, "marts": 2, "quarantine": 1}
     first = serving.quarterly_hires(t["marts/quarterly_hires"].read()).first()
     assert (first.department, first.job, first.total_hires) == ("Legal", "Clerk", 2)
     counts = {r.table: r.rows for r in refresh.table_counts(spark, os.path.join(root, "lake")).collect()}
