@@ -54,3 +54,20 @@ def test_gate_blocks_marts(spark, root):
     t = refresh.tables(spark, lake)
     assert t["staging/employees"].current() is not None
     assert t["marts/quarterly_hires"].current() is None  # nothing published
+
+
+def test_layers_published_to_the_catalog(spark, root):
+    write_csvs(os.path.join(root, "csv"))
+    raw = readers.read_csv_layer(spark, os.path.join(root, "csv"))
+    lake = os.path.join(root, "lake")
+    refresh.refresh(spark, raw, lake, 2021, catalog_prefix="hrtest")
+    assert spark.table("hrtest_staging.employees").count() == 9
+    got = spark.sql("SELECT department, total_hires FROM hrtest_marts.quarterly_hires "
+                    "WHERE job = 'Clerk' ORDER BY department").collect()
+    assert [(r.department, r.total_hires) for r in got] == [("Legal", 2), ("Sales", 3)]
+    # a second refresh moves the names to the new versions
+    refresh.refresh(spark, raw, lake, 2021, catalog_prefix="hrtest")
+    assert spark.table("hrtest_staging.employees").count() == 9
+    t = refresh.tables(spark, lake)
+    assert t["staging/employees"].current(refresh=True)["version"] == 1
+    assert spark.table("hrtest_staging.employees").filter("hire_year = 2021").count() == 8

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import dlq, marts, quality, staging
 from ..operators.snapshots import VersionedTable, overwrite
 from ..session import ensure_conventions
@@ -33,12 +34,31 @@ def tables(spark: SparkSession, root: str) -> dict[str, VersionedTable]:
     return {n: VersionedTable(spark, root, n, partition_by=partitioning.get(n)) for n in names}
 
 
+def publish(spark: SparkSession, name: str, table: VersionedTable, prefix: str = "tiermill") -> str:
+    """Point the catalog table ``<prefix>_<layer>.<table>`` at the current
+    version of ``table`` (an external table whose location moves with each
+    commit), so the layers can be read by name and from SQL."""
+    layer, short = name.split("/", 1)
+    fq = schemas.table_name(layer, short, prefix)
+    path = table.current()["path"]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schemas.schema_name(layer, prefix=prefix)}")
+    if spark.catalog.tableExists(fq):
+        spark.sql(f"ALTER TABLE {fq} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(fq)
+    else:
+        spark.sql(f"CREATE TABLE {fq} USING {table.fmt} LOCATION '{path}'")
+    if table.partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {fq}")
+    return fq
+
+
 def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, year: int,
             as_of: str | None = None, gate: bool = True,
-            blank_name_to_staging: bool = True) -> dict:
+            blank_name_to_staging: bool = True, catalog_prefix: str | None = None) -> dict:
     """Run the whole refresh; returns the commit entry of every table and
     the check rows.  Raises QualityGateError (marts unpublished) when a
-    blocking check fails and ``gate`` is on."""
+    blocking check fails and ``gate`` is on.  With ``catalog_prefix`` every
+    table is also published to the session catalog after its commit."""
     ensure_conventions(spark)
     t = tables(spark, root)
     out = {}
@@ -48,6 +68,9 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, year: int
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
             futures = {name: pool.submit(overwrite, t[name], df) for name, df in writes.items()}
             out.update({name: f.result() for name, f in futures.items()})
+        if catalog_prefix:
+            for name in writes:
+                publish(spark, name, t[name], catalog_prefix)
 
     step({f"raw/{name}": df for name, df in raw.items()})
 
