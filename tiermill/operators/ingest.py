@@ -6,9 +6,10 @@ expressions over the whole feed; no record passes through Python.
 
 Batch-level rules first: a batch whose table is unknown, or that holds
 fewer than 1 or more than 1000 records, is rejected whole.  Batch sizes come
-from a partial aggregate (one row per batch), joined back on the batch key.
-Only accepted batches -- at most 1000 records each -- get a position
-(``index``) from a window over the batch, so no window partition is ever
+from a partial aggregate (one row per batch); the records of rejected
+batches are dropped map-side (see :func:`accepted_records`).  Only accepted
+batches -- at most 1000 records each -- reach the shuffle by batch key and
+get a position (``index``) from a window, so no window partition is ever
 larger than 1000 rows whatever the skew of the feed.
 """
 
@@ -28,7 +29,6 @@ ERR_BATCH_SIZE = "Records to insert must number 1-1000"
 ERR_NOT_OBJECT = "Input should be a valid dictionary"
 
 
-
 def batch_verdicts(feed: DataFrame) -> DataFrame:
     """(table, batch_id, n_records, accepted, error) per batch."""
     sizes = feed.groupBy(*BATCH_KEY).agg(F.count(F.lit(1)).alias("n_records"))
