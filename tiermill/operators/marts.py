@@ -61,13 +61,17 @@ def quarterly_hires_two_level(fact: DataFrame, departments: DataFrame, jobs: Dat
     """The mart's literal shape: count per (department, job, quarter), then
     ``max(if(quarter = k, hires, 0))`` per (department, job).  Kept as a
     cross-check of :func:`quarterly_hires`."""
-    f = _in_year_fact(fact, time_col, year)
+    # first level: hires per (department, job, quarter); the fact is reduced
+    # to one row per (ids, quarter) before the dimension joins
+    per_ids = (_in_year_fact(fact, time_col, year)
+               .groupBy("department_id", "job_id", F.quarter(time_col).alias("quarter"))
+               .agg(F.count(F.lit(1)).alias("n")))
     per_quarter = (
-        f.join(departments.select(F.col("id").alias("_dk"), "department"),
-               f["department_id"] == F.col("_dk"))
-        .join(jobs.select(F.col("id").alias("_jk"), "job"), f["job_id"] == F.col("_jk"))
-        .groupBy("department", "job", F.quarter(time_col).alias("quarter"))
-        .agg(F.count(F.lit(1)).alias("hires"))
+        per_ids.join(departments.select(F.col("id").alias("_dk"), "department"),
+                     per_ids["department_id"] == F.col("_dk"))
+        .join(jobs.select(F.col("id").alias("_jk"), "job"), per_ids["job_id"] == F.col("_jk"))
+        .groupBy("department", "job", "quarter")
+        .agg(F.sum("n").alias("hires"))
     )
     return per_quarter.groupBy("department", "job").agg(
         *[F.coalesce(F.max(F.when(F.col("quarter") == q, F.col("hires")).otherwise(0)), F.lit(0))
