@@ -53,12 +53,17 @@ def process_batch(root: str, as_of: str | None = None):
     return run
 
 
+# Files per micro-batch.  Each micro-batch's evaluation is persisted while
+# its outputs are written, so a backlog must be split into bounded batches
+# rather than taken in one.
+MAX_FILES_PER_TRIGGER = 1000
+
+
 def run_available(spark: SparkSession, source: str, root: str, checkpoint: str,
-                  max_files_per_trigger: int | None = None, as_of: str | None = None):
-    """Ingest every record file present now, then stop (availableNow)."""
-    reader = spark.readStream.schema(FEED_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+                  max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, as_of: str | None = None):
+    """Ingest every record file present now, then stop (availableNow), in
+    micro-batches of at most ``max_files_per_trigger`` files."""
+    reader = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
     query = (reader.json(source).writeStream
              .foreachBatch(process_batch(root, as_of))
              .option("checkpointLocation", checkpoint)
