@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..session import spread_if_narrow
+from ..session import checkpoint_dir, spread_if_narrow
 
 BATCH_KEY = ["table", "batch_id"]
 
@@ -54,7 +54,11 @@ def accepted_records(feed: DataFrame, max_broadcast: int = MAX_BROADCAST_REJECTE
     by batch key.  Beyond that bound the feed is joined with the accepted
     batch list by a shuffle join."""
     verdicts = batch_verdicts(feed)
-    rejected = verdicts.filter(~F.col("accepted")).select(*BATCH_KEY)
+    # The rejected-batch list is small; it is written once to the shared
+    # checkpoint folder, so counting it and broadcasting it do not read the
+    # feed again (and a lost executor does not lose it).
+    checkpoint_dir(feed.sparkSession)
+    rejected = verdicts.filter(~F.col("accepted")).select(*BATCH_KEY).checkpoint(eager=True)
     if rejected.count() <= max_broadcast:
         return feed.join(F.broadcast(rejected), BATCH_KEY, "left_anti")
     return feed.join(verdicts.filter("accepted").select(*BATCH_KEY), BATCH_KEY, "left_semi")
