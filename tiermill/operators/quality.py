@@ -103,25 +103,42 @@ def quality_pct(raw: DataFrame, valid: DataFrame,
 
 def staging_checks(staging: DataFrame, departments: DataFrame | None = None,
                    jobs: DataFrame | None = None) -> DataFrame:
-    """The publication gate's checks as rows (check, failures, passed):
-    not-null on id/department_id/job_id, unique id, and -- when the
+    """The publication gate's checks as rows (check, failures, blocking,
+    passed): not-null on id/department_id/job_id, unique id, and -- when the
     dimensions are given -- orphan counts, which are reported but do not
-    fail the gate."""
-    nn = not_null_checks(staging, ["id", "department_id", "job_id"]).select(
-        F.concat(F.lit("not_null_"), "column_name").alias("check"), "failures",
-        F.lit(True).alias("blocking"))
+    fail the gate.
+
+    The not-null and orphan checks come from one plan: staging is reduced to
+    one row per (department_id, job_id) pair, the pairs are matched against
+    the distinct dimension keys, and a single aggregate counts everything.
+    With the id count for uniqueness, staging is scanned twice in all."""
+    pairs = staging.groupBy("department_id", "job_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("id").isNull()).alias("null_ids"))
+    orphan_checks = [("orphans_department", "department_id", departments),
+                     ("orphans_job", "job_id", jobs)]
+    for label, key, dim in orphan_checks:
+        if dim is not None:
+            known = (dim.select(F.col("id").alias(key)).filter(F.col(key).isNotNull())
+                     .distinct().withColumn(f"_{label}", F.lit(True)))
+            pairs = pairs.join(known, key, "left")
+
+    def total(c):
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+    counts = {
+        "not_null_id": total("null_ids"),
+        "not_null_department_id": total(F.when(F.col("department_id").isNull(), F.col("n"))),
+        "not_null_job_id": total(F.when(F.col("job_id").isNull(), F.col("n"))),
+    }
+    for label, _, dim in orphan_checks:
+        if dim is not None:
+            counts[label] = total(F.when(F.col(f"_{label}").isNull(), F.col("n")))
+    per_check = (pairs.agg(*[c.alias(k) for k, c in counts.items()])
+                 .unpivot([], list(counts), "check", "failures")
+                 .withColumn("blocking", F.col("check").startswith("not_null_")))
     uq = unique_check(staging, ["id"]).select(F.lit("unique_id").alias("check"), "failures",
                                               F.lit(True).alias("blocking"))
-    parts = [nn, uq]
-    if departments is not None:
-        parts.append(orphan_count(staging, "department_id", departments).select(
-            F.lit("orphans_department").alias("check"), F.col("orphans").alias("failures"),
-            F.lit(False).alias("blocking")))
-    if jobs is not None:
-        parts.append(orphan_count(staging, "job_id", jobs).select(
-            F.lit("orphans_job").alias("check"), F.col("orphans").alias("failures"),
-            F.lit(False).alias("blocking")))
-    return reduce(DataFrame.unionByName, parts).withColumn(
+    return per_check.unionByName(uq).withColumn(
         "passed", ~F.col("blocking") | (F.col("failures") == 0))
 
 
