@@ -50,3 +50,13 @@ def test_dept_performance_scans_the_fact_once(spark):
     df.collect()
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "ReusedSubquery" in p and "ReusedExchange" in p
+
+
+def test_gate_checks_scan_staging_twice(spark):
+    from tiermill.operators import quality
+    L = layers(spark, SF_SMALL)
+    df = quality.staging_checks(L["staging"], L["departments"], L["jobs"])
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = [line for line in final.split("\n") if "FileScan parquet" in line and "orders" in line]
+    assert len(scans) == 2
