@@ -16,7 +16,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from tiermill import session
     s = session.build("local[*]", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tiermill-test-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tiermill-test-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tiermill-wh-")})
     yield s
     s.stop()
 
