@@ -7,15 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.llm.common import table
+from tiermill.llm.packing import pack_documents
 from tiermill.llm.sharding import histogram_shards
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = histogram_shards(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op9_histogram_shards,)}
+QUERIES = {f.__name__: f for f in (op6_best_fit_packing, op9_histogram_shards)}
 
 ORACLE: dict[str, str] = {}
