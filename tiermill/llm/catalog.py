@@ -3,14 +3,27 @@ and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.llm.common import table
+from tiermill.llm.langid import fit_languages, label_language
 from tiermill.llm.packing import pack_documents
 from tiermill.llm.sharding import histogram_shards
 
 
+def _held_out(doc_id: str = "doc_id") -> Column:
+    """Documents that language ID must not learn from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def op5_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_languages(docs, usable=~_held_out())
+    return label_language(docs.select("doc_id", "text"), model).select(
+        "doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -21,6 +34,6 @@ def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op6_best_fit_packing, op9_histogram_shards)}
+QUERIES = {f.__name__: f for f in (op5_crf_language_id, op6_best_fit_packing, op9_histogram_shards)}
 
 ORACLE: dict[str, str] = {}
