@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tiermill.llm.common import table
 from tiermill.llm.langid import fit_languages, label_language
 from tiermill.llm.packing import pack_documents
+from tiermill.llm.quality import CONTENT_SHARE, fit_quality, judge
 from tiermill.llm.sharding import histogram_shards
 
 
@@ -28,12 +29,21 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = judge(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    content = F.col("n_content_words") >= CONTENT_SHARE * F.col("n_words")
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       failed.alias("base_failed"), (~failed & content).alias("kept"))
+
+
 def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = histogram_shards(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op5_crf_language_id, op6_best_fit_packing, op9_histogram_shards)}
+QUERIES = {f.__name__: f for f in (op5_crf_language_id, op6_best_fit_packing, op7_quality_lines, op9_histogram_shards)}
 
 ORACLE: dict[str, str] = {}
