@@ -8,9 +8,28 @@ from pyspark.sql import functions as F
 
 from tiermill.llm.common import table
 from tiermill.llm.langid import fit_languages, label_language
+from tiermill.llm.licenses import PHRASES, TEMPLATES, plain, scan_licenses
 from tiermill.llm.packing import pack_documents
 from tiermill.llm.quality import CONTENT_SHARE, fit_quality, judge
 from tiermill.llm.sharding import histogram_shards
+from tiermill.llm.url_cascade import build_cascade, is_listed, rule_of, split_url
+
+#: Fixed URL rules (host, path) and their verdicts.
+URL_RULES = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
+
+
+def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed keys are the hosts that the rules block for the most part (more
+    than half of their pages); the universe is every host of the table."""
+    host, path = split_url(F.col("url"))
+    pages = table(spark, sf_dir, "pages").select("page_id", host.alias("host"), path.alias("path"))
+    pages = pages.withColumn("rule", rule_of(F.col("host"), F.col("path"), list(URL_RULES)))
+    ruled = F.lit(None).cast("string")
+    for (own, start), verdict in URL_RULES.items():
+        ruled = F.when(F.col("rule") == own + start, F.lit(verdict)).otherwise(ruled)
+    hosts = pages.groupBy("host").agg((2 * F.count_if(ruled == "block") > F.count(F.lit(1))).alias("listed"))
+    listed = is_listed(build_cascade(hosts, "host", "listed"), F.col("host"))
+    return pages.withColumn("verdict", F.coalesce(ruled, F.when(listed, F.lit("block")).otherwise(F.lit("allow"))))
 
 
 def _held_out(doc_id: str = "doc_id") -> Column:
@@ -38,12 +57,77 @@ def op7_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                        failed.alias("base_failed"), (~failed & content).alias("kept"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    words = F.transform("places", lambda x: x["word"])
+    own, met = F.transform("places", lambda x: x["label"]), F.transform("matches", lambda x: x["label"])
+    best = F.coalesce(F.array_max(F.transform("matches", lambda x: x["containment"])), F.lit(0.0))
+    return rows.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"), F.array_max(words).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(own)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(own, met))), ",").alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(best).alias("score"))
+
+
 def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = histogram_shards(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op5_crf_language_id, op6_best_fit_packing, op7_quality_lines, op9_histogram_shards)}
-
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op4_url_cascade, op5_crf_language_id, op6_best_fit_packing, op7_quality_lines, op8_license_scan,
+                                    op9_histogram_shards)}
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _rules_sql() -> str:
+    longest = sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
+    return " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}'" for h, p in longest)
+
+
+def _op4_sql() -> str:
+    verdict = " ".join(f"WHEN '{h}{p}' THEN '{v}'" for (h, p), v in URL_RULES.items())
+    return f"""
+WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+parts AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), {_LOWER}), '') AS host,
+                 coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut),
+ruled AS (SELECT *, CASE {_rules_sql()} END AS rule FROM parts),
+judged AS (SELECT *, CASE rule {verdict} END AS own FROM ruled),
+hosts AS (SELECT host, 2 * count(*) FILTER (own = 'block') > count(*) AS listed FROM judged GROUP BY host)
+SELECT page_id, host, path, rule, coalesce(own, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged JOIN hosts USING (host)"""
+
+
+def _op8_sql() -> str:
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    templates = ", ".join(f"('{label}', {sorted({w.decode() for w in plain(text.encode()).split()})})" for label, text in TEMPLATES)
+    places = []
+    for phrase, label in PHRASES:
+        words = phrase.split()
+        meets = " AND ".join(f"ws[i + {k + 1}] = '{w}'" for k, w in enumerate(words))
+        places.append(f"SELECT doc_id, i AS word, '{label}' AS label FROM (SELECT doc_id, ws, unnest(range(len(ws) - {len(words) - 1})) AS i FROM d) WHERE {meets}")
+    return f"""
+WITH low AS (SELECT doc_id, translate(coalesce(text, ''), {_LOWER}) AS body FROM documents),
+d AS (SELECT doc_id, body, regexp_extract_all(body, '{word}') AS ws FROM low),
+places AS ({" UNION ALL ".join(places)}),
+base AS (SELECT doc_id, count(*) AS n, min(word) AS a, max(word) AS b FROM places GROUP BY doc_id),
+templates(label, own) AS (VALUES {templates}),
+blocks AS (SELECT doc_id, regexp_extract_all(unnest(string_split(body, chr(10))), '{word}') AS line FROM d),
+met AS (SELECT doc_id, label, len(list_intersect(line, own)) / len(own) AS share FROM blocks, templates
+        WHERE len(list_intersect(line, own)) >= ceil(0.9 * len(own) - 1e-9)),
+best AS (SELECT doc_id, max(share) AS share FROM met GROUP BY doc_id),
+names AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM met) GROUP BY doc_id),
+own AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word,
+       coalesce(own.labels, '') AS base_labels, coalesce(names.labels, '') AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN names USING (doc_id) LEFT JOIN own USING (doc_id)"""
+
+
+ORACLE: dict[str, str] = {
+    "op4_url_cascade": _op4_sql(),
+    "op8_license_scan": _op8_sql(),
+}
