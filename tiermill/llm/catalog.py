@@ -12,12 +12,18 @@ from tiermill.llm.licenses import PHRASES, TEMPLATES, plain, scan_licenses
 from tiermill.llm.packing import pack_documents
 from tiermill.llm.quality import CONTENT_SHARE, fit_quality, judge
 from tiermill.llm.sharding import histogram_shards
+from tiermill.llm.substring_dedup import substring_dedup
 from tiermill.llm.url_cascade import build_cascade, is_listed, rule_of, split_url
 
 #: Fixed URL rules (host, path) and their verdicts.
 URL_RULES = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
 
 
+def op2_fixed_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed keys are the hosts that the rules block for the most part (more
     than half of their pages); the universe is every host of the table."""
@@ -76,7 +82,7 @@ def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op4_url_cascade, op5_crf_language_id, op6_best_fit_packing, op7_quality_lines, op8_license_scan,
+QUERIES = {f.__name__: f for f in (op2_fixed_block_dedup, op4_url_cascade, op5_crf_language_id, op6_best_fit_packing, op7_quality_lines, op8_license_scan,
                                     op9_histogram_shards)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -127,7 +133,20 @@ SELECT d.doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_base, a AS first_word,
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN names USING (doc_id) LEFT JOIN own USING (doc_id)"""
 
 
+def _op2_sql() -> str:
+    run = " || ' ' || ".join(f"ws[i + {k}]" for k in range(13))
+    return rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+runs AS (SELECT doc_id, i, {run} AS run FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d)),
+earlier AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY run) AS owner FROM runs) WHERE owner < doc_id),
+gone AS (SELECT doc_id, list(DISTINCT j) AS js FROM (SELECT doc_id, unnest(range(i, i + 13)) AS j FROM earlier) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(len(js), 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN js IS NULL THEN ws ELSE [w FOR w, j IN ws IF NOT list_contains(js, j)] END, ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)"""
+
+
 ORACLE: dict[str, str] = {
+    "op2_fixed_block_dedup": _op2_sql(),
     "op4_url_cascade": _op4_sql(),
     "op8_license_scan": _op8_sql(),
 }
