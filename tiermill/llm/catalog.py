@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.llm.common import table
+from tiermill.llm.jaccard_join import jaccard_classes
 from tiermill.llm.langid import fit_languages, label_language
 from tiermill.llm.licenses import PHRASES, TEMPLATES, plain, scan_licenses
 from tiermill.llm.packing import pack_documents
@@ -24,6 +25,10 @@ def op2_fixed_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed keys are the hosts that the rules block for the most part (more
     than half of their pages); the universe is every host of the table."""
@@ -82,7 +87,7 @@ def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op2_fixed_block_dedup, op4_url_cascade, op5_crf_language_id, op6_best_fit_packing, op7_quality_lines, op8_license_scan,
+QUERIES = {f.__name__: f for f in (op2_fixed_block_dedup, op3_jaccard_join, op4_url_cascade, op5_crf_language_id, op6_best_fit_packing, op7_quality_lines, op8_license_scan,
                                     op9_histogram_shards)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -145,7 +150,23 @@ SELECT doc_id, len(ws) AS n_words, coalesce(len(js), 0) AS n_removed,
 FROM d LEFT JOIN gone USING (doc_id)"""
 
 
+def _op3_sql() -> str:
+    return rf"""
+WITH RECURSIVE low AS (SELECT doc_id, translate(coalesce(text, ''), {_LOWER}) AS body FROM documents),
+d AS (SELECT doc_id, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS ws FROM low),
+own AS (SELECT doc_id, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] AS s
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 2)) AS i FROM d)
+        UNION SELECT doc_id, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 3),
+sized AS (SELECT doc_id, count(*) AS n FROM own GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM own a JOIN own b ON a.s = b.s AND a.doc_id != b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM met JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT doc_id, b FROM reach JOIN links ON a = other)
+SELECT documents.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM documents LEFT JOIN sized USING (doc_id) JOIN reach USING (doc_id) GROUP BY documents.doc_id"""
+
+
 ORACLE: dict[str, str] = {
+    "op3_jaccard_join": _op3_sql(),
     "op2_fixed_block_dedup": _op2_sql(),
     "op4_url_cascade": _op4_sql(),
     "op8_license_scan": _op8_sql(),
