@@ -7,9 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.llm.common import table
+from tiermill.llm.decontaminate import contaminated
 from tiermill.llm.jaccard_join import jaccard_classes
 from tiermill.llm.langid import fit_languages, label_language
 from tiermill.llm.licenses import PHRASES, TEMPLATES, plain, scan_licenses
+from tiermill.llm.line_dedup import line_dedup
 from tiermill.llm.packing import pack_documents
 from tiermill.llm.quality import CONTENT_SHARE, fit_quality, judge
 from tiermill.llm.sharding import histogram_shards
@@ -20,6 +22,11 @@ from tiermill.llm.url_cascade import build_cascade, is_listed, rule_of, split_ur
 URL_RULES = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
 
 
+def op1_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", F.coalesce(F.size("sources"), F.lit(0)).cast("long").alias("n_sources"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op2_fixed_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -87,7 +94,11 @@ def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op2_fixed_block_dedup, op3_jaccard_join, op4_url_cascade, op5_crf_language_id, op6_best_fit_packing, op7_quality_lines, op8_license_scan,
+def op10_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_patience_line_dedup, op2_fixed_block_dedup, op3_jaccard_join, op4_url_cascade, op5_crf_language_id, op6_best_fit_packing, op7_quality_lines, op8_license_scan, op10_simhash_decontamination,
                                     op9_histogram_shards)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

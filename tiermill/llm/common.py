@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from tiermill import session
@@ -52,6 +53,17 @@ def pieces(texts: list[bytes | None], limit: int = BATCH_BYTES):
         yield start, len(texts)
 
 
+def text_slices(column: pa.Array, limit: int = BATCH_BYTES):
+    """(first, end, texts) of stretches of a string column of about ``limit`` bytes."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(column):
+        done = size[start - 1] if start else 0
+        end = min(len(column), int(np.searchsorted(size, done + limit)) + 1)
+        yield start, end, texts_of(column.slice(start, end - start))
+        start = end
+
+
 def word_hashes(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words, and the number of words of each text."""
     words: list[bytes] = []

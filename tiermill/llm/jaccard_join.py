@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.llm.blobs import pack, pack_sorted, range_of, run_numbers, runs, unpack, unpack_sorted
-from tiermill.llm.common import cut, mix, partitions, pieces, starts_of, texts_of, window_hashes, word_hashes
+from tiermill.llm.common import cut, mix, partitions, pieces, starts_of, text_slices, window_hashes, word_hashes
 from tiermill.llm.components import components
 
 #: Text in bytes whose shingles are sorted together.
@@ -92,10 +92,9 @@ def shingle_sets(df: DataFrame, text: str, doc_id: str, size: int, percent: int)
     def split(batches):
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            texts = texts_of(b.column(1))
-            out = []
-            for i, j in pieces(texts, SORT_BYTES):
-                h, d = shingles(texts[i:j], size)
+            for i, j, texts in text_slices(b.column(1), SORT_BYTES):
+                out = []
+                h, d = shingles(texts, size)
                 own = ids[i:j]
                 part = range_of(h, ranges).astype(np.int64)
                 first = runs(part)
@@ -108,7 +107,7 @@ def shingle_sets(df: DataFrame, text: str, doc_id: str, size: int, percent: int)
                 for k in np.unique(g):
                     mine = g == k
                     out.append((-1 - int(k), pack(own[mine].view(np.uint64)), pack(n[mine].astype(np.uint64)), None))
-            yield from _table(out, _RANGES).to_batches()
+                yield from _table(out, _RANGES).to_batches()
 
     def share(t: pa.Table) -> pa.Table:
         rows = t.to_pydict()
@@ -276,8 +275,7 @@ def jaccard_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", s
 
     def count(batches):
         for b in batches:
-            texts = texts_of(b.column(0))
-            n = [np.bincount(shingles(texts[i:j], size)[1], minlength=j - i) for i, j in pieces(texts)]
+            n = [np.bincount(shingles(texts, size)[1], minlength=j - i) for i, j, texts in text_slices(b.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(n).astype(np.int64)) if n else pa.array([], pa.int64())], names=["n_shingles"])
 
     nameless = df.where(F.col(doc_id).isNull()).select(F.col(text).alias("text")).mapInArrow(count, "n_shingles long")

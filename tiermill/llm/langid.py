@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import hash_words, mix, pieces, texts_of
+from tiermill.llm.common import hash_words, mix, text_slices
 from tiermill.llm.crf import Chain, fit, marginals
 
 #: Labelled documents to learn from, expected for each language.
@@ -193,9 +193,9 @@ def label_language(df: DataFrame, model: Model, text: str = "text") -> DataFrame
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, names, scores = texts_of(b.column("_text_")), [], []
-            for i, j in pieces(texts, CHAIN_BYTES):
-                n, s = own(texts[i:j])
+            names, scores = [], []
+            for _, _, texts in text_slices(b.column("_text_"), CHAIN_BYTES):
+                n, s = own(texts)
                 names += n
                 scores += s
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64())],

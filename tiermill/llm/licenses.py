@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import texts_of
+from tiermill.llm.common import text_slices
 
 #: (label, text): notices by which licences are commonly stated.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -63,9 +63,10 @@ def word_frequency(df: DataFrame, words: set[bytes], text: str = "text") -> Coun
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for b in batches:
-            for body in texts_of(b.column(0)):
-                if body:
-                    seen.update(words.intersection(plain(body).split()))
+            for _, _, texts in text_slices(b.column(0)):
+                for body in texts:
+                    if body:
+                        seen.update(words.intersection(plain(body).split()))
         yield pa.RecordBatch.from_pandas(pd.DataFrame({"word": [w.decode() for w in seen], "n": list(seen.values())}, dtype=None)
                                          .astype({"word": "string", "n": "int64"}), schema=pa.schema([("word", pa.string()), ("n", pa.int64())]))
 
@@ -164,7 +165,7 @@ def scan_licenses(df: DataFrame, text: str = "text", templates: tuple[tuple[str,
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [scan(body or b"") for body in texts_of(b.column("_text_"))]
+            rows = [scan(body or b"") for _, _, texts in text_slices(b.column("_text_")) for body in texts]
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *columns], names=[*names, *added])
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import cut, partitions, texts_of
+from tiermill.llm.common import cut, partitions, text_slices
 from tiermill.llm.tokens import word_ids
 
 TOKENIZER = "word_bpe_49k.json"
@@ -43,23 +43,21 @@ def token_pieces(df: DataFrame, text: str = "text", doc_id: str = "doc_id", capa
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = word_ids(tokenizer if "/" in tokenizer else tokenizer_path(tokenizer))
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int32())] * with_ids
         for b in batches:
-            rows: list[list] = [[], [], [], [], []]
-            ids: list[np.ndarray] = []
-            for key, body in zip(b.column(0).to_pylist(), texts_of(b.column(1)), strict=True):
-                stream = ids_of(body or b"") + end
-                for k, at in enumerate(range(0, len(stream), 4 * capacity)):
-                    part = stream[at:at + 4 * capacity]
-                    for column, v in zip(rows, (key, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                        column.append(v)
-                    if with_ids:
-                        ids.append(np.frombuffer(part, dtype="<u4").astype(np.int32))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            arrays = [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            if with_ids:
-                arrays, names = [*arrays, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            for i, j, texts in text_slices(b.column(1)):
+                columns: list[list] = [[] for _ in names]
+                for key, body in zip(b.column(0).slice(i, j - i).to_pylist(), texts, strict=True):
+                    stream = ids_of(body or b"") + end
+                    for k, at in enumerate(range(0, len(stream), 4 * capacity)):
+                        part = stream[at:at + 4 * capacity]
+                        row = [key, k, at // 4, len(part) // 4, zlib.crc32(part)]
+                        if with_ids:
+                            row.append(np.frombuffer(part, dtype="<u4").astype(np.int32))
+                        for column, v in zip(columns, row, strict=True):
+                            column.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut_up, schema)
 

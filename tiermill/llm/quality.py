@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import pieces, texts_of, window_hashes, word_hashes
+from tiermill.llm.common import text_slices, window_hashes, word_hashes
 from tiermill.llm.crf import Chain, fit, viterbi
 
 #: Labelled documents to learn from, expected of each label.
@@ -187,10 +187,9 @@ def judge(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = texts_of(b.column("_text_"))
             columns: list[list] = [[] for _ in COLUMNS]
-            for i, j in pieces(raw):
-                for c, v in zip(columns, own(raw[i:j]), strict=True):
+            for _, _, raw in text_slices(b.column("_text_")):
+                for c, v in zip(columns, own(raw), strict=True):
                     c += v
             kinds = [pa.int64()] * (len(COLUMNS) - 1) + [pa.list_(pa.bool_())]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *map(pa.array, columns, kinds)], names=[*names, *COLUMNS])

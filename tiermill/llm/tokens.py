@@ -13,9 +13,10 @@ import re
 
 import numpy as np
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
 #: Words held at a time by a task.
-HELD = 300_000
+HELD = 120_000
 
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
@@ -36,13 +37,12 @@ class WordIds:
 
     def __init__(self, path: str):
         self.full = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
-        cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
-        self.by_word = steps == ["NFC", "Replace", "Lowercase"] and cuts[0].get("pattern") == {"Regex": _PATTERN} \
-            and bool(cuts[0].get("invert")) and spec["model"]["type"] == "BPE"
-        self.special = [x["content"].encode()[:2] for x in spec.get("added_tokens", [])]
+        steps = json.loads(self.full.normalizer.__getstate__()) if self.full.normalizer else {}
+        cuts = json.loads(self.full.pre_tokenizer.__getstate__()) if self.full.pre_tokenizer else {}
+        first = cuts.get("pretokenizers", [{}])[0]
+        self.by_word = [x.get("type") for x in steps.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] \
+            and first.get("pattern") == {"Regex": _PATTERN} and bool(first.get("invert")) and isinstance(self.full.model, BPE)
+        self.special = [x.content.encode()[:2] for x in self.full.get_added_tokens_decoder().values()]
         self.model, self.letters = self.full.model, _byte_letters()
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
