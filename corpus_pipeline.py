@@ -1,5 +1,17 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and
-read again as the next one's input."""
+read again as the next one's input.
+
+1. language: documents in no learned language, or hardly in one, go.
+2. line_dedup: blocks of lines that an earlier document has are deleted; a
+   document of which nothing is left goes.
+3. near_duplicates: of each class of near duplicates the smallest id stays.
+4. decontamination: documents that hold a benchmark item go.
+5. packing: what is left is tokenized and packed into sequences.
+
+Every stage but the last returns the columns of its input.  Rows with a null id
+can be told from no other row: they pass the stages 2 to 4 unchanged.  Rows that
+repeat an id and a text stay together.  Empty tables pass through.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +19,70 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tiermill import session
+from tiermill.llm.catalog import held_out
+from tiermill.llm.decontaminate import contaminated
+from tiermill.llm.jaccard_join import jaccard_classes
+from tiermill.llm.langid import fit_languages, label_language
+from tiermill.llm.line_dedup import line_dedup
+from tiermill.llm.packing import pack_documents
+
+#: Least mean probability of the predicted language for a document to stay.
+LEAST_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents whose words are in a learned language."""
+    model = fit_languages(docs, usable=~held_out())
+    kept = label_language(_numbered(docs), model, text=_own(docs, "text")).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Columns by number, so that no name clashes with those an operator adds."""
+    return docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+
+
+def _own(docs: DataFrame, column: str) -> str:
+    return f"_{docs.columns.index(column)}"
+
+
+def line_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Delete common blocks of lines; documents that were nothing else go."""
+    text = _own(docs, "text")
+    done = line_dedup(_numbered(docs), text=text, doc_id=_own(docs, "doc_id"))
+    done = done.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    if "n_chars" in docs.columns:
+        chars, kind = _own(docs, "n_chars"), docs.schema["n_chars"].dataType
+        done = done.withColumn(chars, F.when(F.col("n_removed") > 0, F.char_length(text).cast(kind)).otherwise(F.col(chars)))
+    return done.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest id of each class of near duplicates: five-word
+    shingles, similarity 0.8 or more."""
+    copies = jaccard_classes(docs, size=5, percent=80).where("component_id != doc_id").select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = contaminated(docs, items).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents and their places in sequences."""
+    return pack_documents(docs)
+
 
-STAGES: list = []
+STAGES = [("language", language), ("line_dedup", line_duplicates), ("near_duplicates", near_duplicates),
+          ("decontamination", decontamination), ("packing", packing)]
 
-#: Language ID, packing and the joins have no SQL form; tests hold the stages against brute force.
+#: Language ID and packing have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -50,16 +50,16 @@ def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.withColumn("verdict", F.coalesce(ruled, F.when(listed, F.lit("block")).otherwise(F.lit("allow"))))
 
 
-def _held_out(doc_id: str = "doc_id") -> Column:
+def held_out(doc_id: str = "doc_id") -> Column:
     """Documents that language ID must not learn from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
 def op5_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = fit_languages(docs, usable=~_held_out())
+    model = fit_languages(docs, usable=~held_out())
     return label_language(docs.select("doc_id", "text"), model).select(
-        "doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
