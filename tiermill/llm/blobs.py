@@ -58,3 +58,9 @@ def run_numbers(first: np.ndarray, n: int) -> np.ndarray:
     new = np.zeros(n, dtype=np.int64)
     new[first] = 1
     return np.cumsum(new) - 1
+
+
+def spans(part: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, first, end) of each run of a sorted column."""
+    ends = [*runs(part).tolist(), len(part)]
+    return [(int(part[i]), i, j) for i, j in zip(ends, ends[1:], strict=False)]

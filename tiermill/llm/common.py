@@ -31,6 +31,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session, which the deployment sizes by its data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.blobs import pack, pack_sorted, range_of, run_numbers, runs, unpack, unpack_sorted
+from tiermill.llm.blobs import pack, pack_sorted, range_of, run_numbers, runs, spans, unpack, unpack_sorted
 from tiermill.llm.common import cut, mix, partitions, pieces, starts_of, text_slices, window_hashes, word_hashes
 from tiermill.llm.components import components
 
@@ -96,9 +96,7 @@ def shingle_sets(df: DataFrame, text: str, doc_id: str, size: int, percent: int)
                 out = []
                 h, d = shingles(texts, size)
                 own = ids[i:j]
-                part = range_of(h, ranges).astype(np.int64)
-                first = runs(part)
-                for p, x, y in zip(part[first].tolist(), first, np.append(first[1:], len(part)), strict=True):
+                for p, x, y in spans(range_of(h, ranges)):
                     docs, at = np.unique(d[x:y], return_inverse=True)
                     out.append((p, pack(own[docs].view(np.uint64)), pack(at.astype(np.uint64)), pack_sorted(h[x:y])))
                 # the sizes travel as part -1 - g
@@ -117,7 +115,8 @@ def shingle_sets(df: DataFrame, text: str, doc_id: str, size: int, percent: int)
         d = np.concatenate([unpack(i)[unpack(o).astype(np.int64)] for i, o in zip(rows["ids"], rows["owner"], strict=True)])
         order = np.lexsort((d, h))
         h, d = h[order], d[order]
-        one = runs(h, d)  # an id may stand in several rows
+        one = runs(h, d)  # an id may stand in several rows; its size counts a shingle once
+        again = np.delete(d, one)
         h, d = h[one], d[one]
         first = runs(h)
         df_ = np.diff(np.append(first, len(h)))[run_numbers(first, len(h))]
@@ -126,9 +125,11 @@ def shingle_sets(df: DataFrame, text: str, doc_id: str, size: int, percent: int)
         g = (mix(d) % np.uint64(groups)).astype(np.int64)
         order = np.lexsort((h, d, g))
         h, d, df_, g = h[order], d[order], df_[order], g[order]
-        at = runs(g)
-        return _table([(int(g[x]), pack(d[x:y]), pack(h[x:y]), pack(df_[x:y].astype(np.uint64)))
-                       for x, y in zip(at, np.append(at[1:], len(g)), strict=True)], _SHARED)
+        out = [(k, pack(d[x:y]), pack(h[x:y]), pack(df_[x:y].astype(np.uint64))) for k, x, y in spans(g)]
+        ids, n = np.unique(again, return_counts=True)
+        out += [(int((mix(i) % np.uint64(groups))[0]), pack(i), None, pack((-k).view(np.uint64)))
+                for i, k in zip(ids.reshape(-1, 1), n.reshape(-1, 1), strict=True)]
+        return _table(out, _SHARED)
 
     def gather(t: pa.Table) -> pa.Table:
         rows = t.to_pydict()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import hash_words, mix, text_slices
+from tiermill.llm.common import fresh, hash_words, mix, text_slices
 from tiermill.llm.crf import Chain, fit, marginals
 
 #: Labelled documents to learn from, expected for each language.
@@ -161,6 +161,7 @@ def label_language(df: DataFrame, model: Model, text: str = "text") -> DataFrame
     that have a letter.  Null text, text without a letter and any text under a
     model that learned no language give ``und`` with score 0.  Columns of these
     two names are replaced; all others pass through."""
+    body_ = fresh(df, "_text_")
     keep = [c for c in df.columns if c not in ("lang_pred", "score")]
     schema = ",".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keep)
 
@@ -194,14 +195,14 @@ def label_language(df: DataFrame, model: Model, text: str = "text") -> DataFrame
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names, scores = [], []
-            for _, _, texts in text_slices(b.column("_text_"), CHAIN_BYTES):
+            for _, _, texts in text_slices(b.column(body_), CHAIN_BYTES):
                 n, s = own(texts)
                 names += n
                 scores += s
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*keep, "lang_pred", "score"])
 
-    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("_text_")).mapInArrow(
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(body_)).mapInArrow(
         label, ",".join(x for x in (schema, "lang_pred string", "score double") if x))
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import text_slices
+from tiermill.llm.common import fresh, text_slices
 
 #: (label, text): notices by which licences are commonly stated.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -144,6 +144,7 @@ def scan_licenses(df: DataFrame, text: str = "text", templates: tuple[tuple[str,
     index = index_of(templates, word_frequency(df, vocabulary, text), threshold)
     spoken = [b" ".join(plain(p.encode()).split()) for p, _ in phrases]
     added = ("n_words", "matches", "places")
+    body_ = fresh(df, "_text_")
     keep = [f for f in df.schema if f.name not in added]
     names = [f.name for f in keep]
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [
@@ -165,8 +166,8 @@ def scan_licenses(df: DataFrame, text: str = "text", templates: tuple[tuple[str,
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [scan(body or b"") for _, _, texts in text_slices(b.column("_text_")) for body in texts]
+            rows = [scan(body or b"") for _, _, texts in text_slices(b.column(body_)) for body in texts]
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *columns], names=[*names, *added])
 
-    return df.select(*[F.col(f"`{c}`") for c in names], F.col(text).alias("_text_")).mapInArrow(scanned, ",".join(schema))
+    return df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias(body_)).mapInArrow(scanned, ",".join(schema))

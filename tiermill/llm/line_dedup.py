@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import cut, hash_words, mix, text_slices
+from tiermill.llm.common import cut, fresh, hash_words, mix, text_slices
 
 _LINES = "doc_id long, sig long, lines array<long>, words array<int>, kinds array<int>, keys array<long>"
 
@@ -119,7 +119,7 @@ def line_table(df: DataFrame, text: str, doc_id: str, anchor_words: int, long_wo
                                                  names=["doc_id", "sig", "lines", "words", "kinds", "keys"])
 
     rows = df.where(F.col(doc_id).isNotNull()).select(
-        F.col(doc_id).cast("long").alias("doc_id"), _signature(text).alias("sig"), F.col(text).alias("text"))
+        F.col(doc_id).cast("long").alias("doc_id"), _signature(text).alias("sig"), F.col(f"`{text}`").alias("text"))
     return rows.mapInArrow(read, _LINES).dropDuplicates(["doc_id", "sig"])
 
 
@@ -182,16 +182,17 @@ def line_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", rare:
     keep = [f for f in df.schema if f.name not in added]
     names = [f.name for f in keep]
     schema = ",".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep) + ",n_lines long,n_removed long,sources array<long>"
-    raw = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{doc_id}`").cast("long").alias("_id_"), _signature(text).alias("_sig_"))
-    told = gone.select(F.col("doc_id").alias("_id_"), F.col("sig").alias("_sig_"), F.col("gone").alias("_gone_"), F.col("sources").alias("_sources_"))
-    met = raw.join(told, ["_id_", "_sig_"], "left").drop("_id_", "_sig_")
+    id_, sig_, gone_, sources_ = (fresh(df, c) for c in ("_id_", "_sig_", "_gone_", "_sources_"))
+    raw = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{doc_id}`").cast("long").alias(id_), _signature(text).alias(sig_))
+    told = gone.select(F.col("doc_id").alias(id_), F.col("sig").alias(sig_), F.col("gone").alias(gone_), F.col("sources").alias(sources_))
+    met = raw.join(told, [id_, sig_], "left").drop(id_, sig_)
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, totals, removed = [], [], []
             column = b.column(names.index(text))
             for i, j, slice_ in text_slices(column):
-                for body, off in zip(slice_, b.column("_gone_").slice(i, j - i).to_pylist(), strict=True):
+                for body, off in zip(slice_, b.column(gone_).slice(i, j - i).to_pylist(), strict=True):
                     lines = (body or b"").split(b"\n")
                     held = [k for k, line in enumerate(lines) if line.split()]
                     drop = {held[k] for k in off or () if k < len(held)}
@@ -199,6 +200,6 @@ def line_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", rare:
                     removed.append(len(drop))
                     texts.append(b"\n".join(x for k, x in enumerate(lines) if k not in drop).decode() if drop else None if body is None else body.decode())
             out = [pa.array(texts, column.type) if c == text else b.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*out, pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), b.column("_sources_")], names=[*names, *added])
+            yield pa.RecordBatch.from_arrays([*out, pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), b.column(sources_)], names=[*names, *added])
 
     return met.mapInArrow(rebuild, schema)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import text_slices, window_hashes, word_hashes
+from tiermill.llm.common import fresh, text_slices, window_hashes, word_hashes
 from tiermill.llm.crf import Chain, fit, viterbi
 
 #: Labelled documents to learn from, expected of each label.
@@ -155,6 +155,7 @@ def judge(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ``n_content_words`` are the words of those lines.  Null and empty texts
     have no words, no lines and zero counts.  Columns of the names added are
     replaced; all others pass through."""
+    body_ = fresh(df, "_text_")
     keep = [f for f in df.schema if f.name not in COLUMNS]
     names = [f.name for f in keep]
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [f"{c} long" for c in COLUMNS[:-1]] + ["lines array<boolean>"]
@@ -188,10 +189,10 @@ def judge(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             columns: list[list] = [[] for _ in COLUMNS]
-            for _, _, raw in text_slices(b.column("_text_")):
+            for _, _, raw in text_slices(b.column(body_)):
                 for c, v in zip(columns, own(raw), strict=True):
                     c += v
             kinds = [pa.int64()] * (len(COLUMNS) - 1) + [pa.list_(pa.bool_())]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *map(pa.array, columns, kinds)], names=[*names, *COLUMNS])
 
-    return df.select(*[F.col(f"`{c}`") for c in names], F.col(text).alias("_text_")).mapInArrow(judged, ",".join(schema))
+    return df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias(body_)).mapInArrow(judged, ",".join(schema))

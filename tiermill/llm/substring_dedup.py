@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.blobs import pack, pack_sorted, range_of, run_numbers, runs, unpack, unpack_sorted
+from tiermill.llm.blobs import pack, pack_sorted, range_of, run_numbers, runs, spans, unpack, unpack_sorted
 from tiermill.llm.common import mix, partitions, pieces, starts_of, texts_of, window_hashes, word_hashes
 
 _PROBES = "part int, g int, value binary, aligned binary, several binary"
@@ -96,12 +96,6 @@ def _probes(g: Group, block: int, parts: int) -> Probes:
                   some, doc[first] != doc[last] if len(first) else some)
 
 
-def _spans(part: np.ndarray) -> list[tuple[int, int, int]]:
-    """(part, first, end) of each run of an ascending column."""
-    first = runs(part)
-    return list(zip(part[first].tolist(), first.tolist(), np.append(first[1:], len(part)).tolist(), strict=True))
-
-
 def _binary(rows: list[tuple], schema: str) -> pa.Table:
     names = [x.strip().split(" ") for x in schema.split(",")]
     kinds = {"int": pa.int32(), "binary": pa.binary()}
@@ -114,7 +108,7 @@ def _candidates(g: Group, bits: dict[int, bytes], window: int, block: int, parts
     hashes, and the first index and number of each distinct run."""
     p = _probes(g, block, parts)
     hit = np.zeros(len(p.part), dtype=bool)
-    for part, i, j in _spans(p.part):
+    for part, i, j in spans(p.part):
         if part in bits:
             hit[i:j] = np.unpackbits(np.frombuffer(bits[part], dtype=np.uint8), count=j - i).astype(bool)
     mark = np.zeros(len(g.words) + 1, dtype=np.int64)
@@ -155,7 +149,7 @@ def substring_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", w
         p = _probes(_group(t), block, parts)
         own = t.column("g")[0].as_py()
         return _binary([(part, own, pack_sorted(p.value[i:j]), np.packbits(p.aligned[i:j]).tobytes(), np.packbits(p.several[i:j]).tobytes())
-                        for part, i, j in _spans(p.part)], _PROBES)
+                        for part, i, j in spans(p.part)], _PROBES)
 
     def hits(t: pa.Table) -> pa.Table:
         rows = t.to_pydict()
@@ -181,7 +175,7 @@ def substring_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", w
         _, doc, a, b, first, _ = _candidates(g, dict(zip(*(bits.column(c).to_pylist() for c in ("part", "bits")), strict=True)), window, block, parts)
         a, b, owner = a[first], b[first], g.ids[doc[first]].view(np.uint64)
         own = t.column("g")[0].as_py()
-        return _binary([(part, own, pack_sorted(a[i:j]), pack(b[i:j]), pack(owner[i:j])) for part, i, j in _spans(range_of(a, parts).astype(np.int64))], _RUNS)
+        return _binary([(part, own, pack_sorted(a[i:j]), pack(b[i:j]), pack(owner[i:j])) for part, i, j in spans(range_of(a, parts).astype(np.int64))], _RUNS)
 
     def owners(t: pa.Table) -> pa.Table:
         rows = t.to_pydict()
