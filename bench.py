@@ -49,7 +49,7 @@ def stored_layer_queries(spark, sf_dir: str) -> dict[str, float]:
     times = {}
     root = run_root(spark)
     t0 = time.perf_counter()
-    refresh.refresh(spark, feed.raw_layer(spark, sf_dir), root, YEAR, gate=False)
+    refresh.refresh(spark, feed.raw_layer(spark, sf_dir), root, YEAR)
     times["full_refresh"] = time.perf_counter() - t0
     t = refresh.tables(spark, root)
     jobs = {

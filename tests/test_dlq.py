@@ -4,11 +4,11 @@ import json
 
 from tiermill import schemas
 from tiermill.operators import dlq, ingest, staging
-from test_ingest import BAD, GOOD, feed_of
+from test_ingest import BROKEN, CLERK, evaluated
 
 
 def test_envelope_per_batch(spark):
-    ev = ingest.evaluate(feed_of(spark, {("employees", "a"): [BAD, GOOD, dict(BAD, id=7)]}))
+    ev = evaluated(spark, ("employees", "a", [BROKEN, CLERK, dict(BROKEN, id=7)]))
     env = dlq.envelopes(ingest.rejected_records(ev), as_of="2024-05-02 14:30:22").collect()
     assert len(env) == 1 and env[0]["count"] == 2
     doc = json.loads(env[0].envelope)
@@ -26,3 +26,22 @@ def test_quarantine_export_names_and_order(spark):
     rows = out.collect()
     assert [r.id for r in rows] == [1, 2, 3]  # same stamp: ties broken by id
     assert rows[0].quarantine_at == "2024-01-01 00:00:00" and rows[0].job_id == 2
+
+
+def test_export_of_null_ids_is_spread(spark, root):
+    """Half of the rows have a null id: no part of the export holds more than
+    twice the mean."""
+    from pyspark.sql import functions as F
+    raw = spark.range(40000).select(
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("id"), F.concat(F.lit("n"), F.col("id")).alias("name"), F.lit("202").alias("datetime"),
+        (F.col("id") % 9).alias("department_id"), F.col("id").cast("double").alias("job_id"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = dlq.quarantine_export(staging.quarantine_employees(raw, as_of="2024-01-01 00:00:00"))
+        sizes = [r[0] for r in parts.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 40000 and max(sizes) <= 2 * 40000 / 8
+    assert dlq.write_quarantine_export(parts.limit(0).selectExpr("id", "name", "datetime as original_datetime_string", "department_id", "double(job_id) as job_id",
+                                                                 "rejection_reason", "timestamp'2024-01-01' as quarantined_at"), root, "2024-01-01 00:00:00") != \
+        dlq.write_quarantine_export(staging.quarantine_employees(raw, as_of="2024-01-01 00:00:00"), root, "2024-01-01 00:00:00")

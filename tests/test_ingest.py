@@ -1,130 +1,139 @@
-"""Record-batch ingest rules (validation, batch guards, split, summary)."""
+"""Request ingest: request rules, record rules, split, summary."""
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from tiermill import schemas
 from tiermill.operators import ingest
-from tiermill.streaming.ingest_stream import FEED_SCHEMA
 
+CLERK = {"id": 41, "name": "Ada Byron", "datetime": "2021-03-04T05:06:07Z", "department_id": 7, "job_id": 12}
+BROKEN = {"id": -8, "name": "", "datetime": "soon", "department_id": 7, "job_id": 12}
 
-def feed_of(spark, batches):
-    """batches: {(table, batch_id): [record dict or raw text, ...]}"""
-    rows = []
-    for (table, batch), records in batches.items():
-        for i, r in enumerate(records):
-            rows.append((table, batch, i, r if isinstance(r, str) else json.dumps(r)))
-    return spark.createDataFrame(rows, FEED_SCHEMA)
 
+def line(table, batch, records):
+    """A request line; a str stands for a record's JSON text."""
+    data = ",".join(r if isinstance(r, str) else json.dumps(r) for r in records)
+    return f'{{"table":{json.dumps(table)},"batch_id":{json.dumps(batch)},"data":[{data}]}}'
 
-GOOD = {"id": 9999, "name": "Test User", "datetime": "2021-01-15T10:00:00Z",
-        "department_id": 1, "job_id": 1}
-BAD = {"id": -1, "name": "", "datetime": "invalid", "department_id": 1, "job_id": 1}
 
+def requests_of(spark, lines):
+    return ingest.read_requests(spark.createDataFrame([(x,) for x in lines], "value string"))
 
-def summary_of(spark, batches):
-    ev = ingest.evaluate(feed_of(spark, batches))
-    return {(r.table, r.batch_id): (r.inserted, r.rejected) for r in ingest.summary(ev).collect()}
+
+def evaluated(spark, *requests):
+    return ingest.evaluate(requests_of(spark, [line(*r) for r in requests]))
+
+
+def errors_of(spark, records, table="employees"):
+    rows = evaluated(spark, (table, "b", records)).select("index", "error_list").collect()
+    return {r["index"]: r.error_list for r in rows}
 
 
 def test_valid_and_invalid_record(spark):
-    assert summary_of(spark, {("employees", "a"): [GOOD]}) == {("employees", "a"): (1, 0)}
-    ev = ingest.evaluate(feed_of(spark, {("employees", "b"): [BAD]}))
+    ev = evaluated(spark, ("employees", "a", [CLERK, BROKEN]))
+    assert [tuple(r) for r in ingest.summary(ev).collect()] == [("employees", "a", 1, 1)]
     rej = ingest.rejected_records(ev).collect()
-    assert len(rej) == 1 and rej[0]["index"] == 0 and rej[0].error_type == "ValidationError"
+    assert len(rej) == 1 and rej[0]["index"] == 1 and rej[0].error_type == "ValidationError"
     assert rej[0].error.startswith("3 validation errors for Employee; id: ")
     assert "name: String should have at least 1 character" in rej[0].error
     assert "datetime: Value error, no es un formato de fecha aceptable" in rej[0].error
+    assert json.loads(rej[0].record) == BROKEN
 
 
 def test_field_rules(spark):
-    recs = [
-        dict(GOOD, job_id=96.0),                      # whole float: ok
-        dict(GOOD, job_id=96.5),                      # fraction
-        dict(GOOD, name="   "),                       # empty after strip
-        dict(GOOD, name="x" * 256),                   # too long
-        dict(GOOD, name="x" * 250 + " " * 10),        # length taken before strip
-        dict(GOOD, datetime="2021-1-5"),              # under 10 characters
-        dict(GOOD, extra="dropped"),                  # unknown field ignored
-        {k: v for k, v in GOOD.items() if k != "department_id"},
-        dict(GOOD, department_id=None),
-        dict(GOOD, id="12"),                          # numeric string coerced
-        dict(GOOD, id="abc"),
-        "not json",
-    ]
-    ev = ingest.evaluate(feed_of(spark, {("employees", "f"): recs}))
-    errors = {r["index"]: r.error_list for r in ev.select("index", "error_list").collect()}
-    assert errors[0] == "" and errors[6] == "" and errors[9] == ""
+    errors = errors_of(spark, [
+        dict(CLERK, job_id=96.0), dict(CLERK, job_id=96.5), dict(CLERK, name="   "), dict(CLERK, name="x" * 256),
+        dict(CLERK, name="x" * 250 + " " * 10), dict(CLERK, datetime="2021-1-5"), dict(CLERK, extra="dropped"),
+        {k: v for k, v in CLERK.items() if k != "department_id"}, dict(CLERK, department_id=None), dict(CLERK, id="abc")])
+    assert errors[0] == "" and errors[6] == ""
     assert errors[1] == "job_id: Input should be a valid integer, got a number with a fractional part"
     assert errors[2] == "name: Value error, Name cannot be empty after stripping"
-    assert errors[3] == "name: String should have at most 255 characters"
-    assert errors[4] == "name: String should have at most 255 characters"
+    assert errors[3] == errors[4] == "name: String should have at most 255 characters"
     assert errors[5] == "datetime: Value error, no es un formato de fecha aceptable"
     assert errors[7] == "department_id: Field required"
     assert errors[8] == "department_id: Input should be a valid integer"
-    assert errors[10] == "id: Input should be a valid integer"
-    assert errors[11] == "Input should be a valid dictionary"
-    valid = ingest.valid_records(ev, "employees").orderBy("index").collect()
-    assert [r["index"] for r in valid] == [0, 6, 9]
-    assert valid[0].job_id == 96 and valid[2].id == 12
-    assert "extra" not in ingest.valid_records(ev, "employees").columns
+    assert errors[9] == "id: Input should be a valid integer"
+
+
+INT, STR = "Input should be a valid integer", "Input should be a valid string"
+
+
+@pytest.mark.parametrize(("field", "token", "value"), [
+    ("id", "1234567890123456789", 1234567890123456789), ("id", "9223372036854775807", 9223372036854775807),
+    ("id", "9223372036854775808", INT), ("id", "99999999999999999999", INT), ("id", '"12"', 12), ("id", '" 12 "', 12),
+    ("id", '"1234567890123456789"', 1234567890123456789), ("id", "12.0", 12), ("id", "1e3", 1000), ("id", "1e30", INT),
+    ("id", "true", INT), ("id", "[1]", INT), ("id", '{"a":1}', INT), ("id", "null", INT), ("id", '""', INT),
+    ("name", "5", STR), ("name", "1.5", STR), ("name", "false", STR), ("name", '{"x":1}', STR), ("name", '["x"]', STR), ("name", "null", STR),
+    ("datetime", "20210304", STR), ("datetime", "null", STR),
+])
+def test_token_kinds(spark, field, token, value):
+    record = json.dumps({**CLERK, field: "@"}).replace('"@"', token)
+    ev = evaluated(spark, ("employees", "t", [record]))
+    if isinstance(value, int):
+        assert ingest.valid_records(ev, "employees").first()[field] == value
+    else:
+        assert ingest.valid_records(ev, "employees").count() == 0
+        assert ev.first().error_list == f"{field}: {value}"
+
+
+def test_records_that_are_no_objects(spark):
+    ev = evaluated(spark, ("jobs", "n", ["[1]", "7", "null", '"text"', {"id": 1, "job": "Clerk"}]))
+    assert [r.error_list for r in ev.orderBy("index").collect()] == [ingest.ERR_NOT_OBJECT] * 4 + [""]
+    assert [r.record for r in ingest.rejected_records(ev).orderBy("index").collect()] == ["[1]", "7", "null", "text"]
 
 
 def test_other_tables(spark):
-    s = summary_of(spark, {
-        ("departments", "d"): [{"id": 1, "department": " Sales "}, {"id": 2, "department": "  "}],
-        ("jobs", "j"): [{"id": 3, "job": "Clerk"}, {"id": 0, "job": "x" * 101}]})
-    assert s == {("departments", "d"): (1, 1), ("jobs", "j"): (1, 1)}
-    ev = ingest.evaluate(feed_of(spark, {("departments", "d"): [{"id": 1, "department": " Sales "}]}))
+    ev = evaluated(spark, ("departments", "d", [{"id": 1, "department": " Sales "}, {"id": 2, "department": "  "}]),
+                   ("jobs", "j", [{"id": 3, "job": "Clerk"}, {"id": 0, "job": "x" * 101}]))
+    assert {(r.table, r.inserted, r.rejected) for r in ingest.summary(ev).collect()} == {("departments", 1, 1), ("jobs", 1, 1)}
     assert ingest.valid_records(ev, "departments").first().department == "Sales"
-    ev = ingest.evaluate(feed_of(spark, {("jobs", "j"): [{"id": 0, "job": "x" * 101}]}))
-    assert ingest.rejected_records(ev).first().error.startswith("2 validation errors for Job")
-
-
-def test_batch_guards(spark):
-    fd = feed_of(spark, {
-        ("employees; DROP TABLE users;--", "x"): [GOOD],
-        ("employees", "big"): [dict(GOOD, id=i + 1) for i in range(1001)],
-        ("employees", "ok"): [dict(GOOD, id=i + 1) for i in range(1000)],
-    })
-    verdicts = {r.batch_id: (r.accepted, r.error) for r in ingest.batch_verdicts(fd).collect()}
-    assert verdicts["ok"] == (True, None)
-    assert verdicts["big"][0] is False and "1-1000" in verdicts["big"][1]
-    assert verdicts["x"] == (False, "Invalid table: employees; DROP TABLE users;--")
-    ev = ingest.evaluate(fd)
-    assert set(r.batch_id for r in ev.select("batch_id").distinct().collect()) == {"ok"}
-    assert ev.agg(F.max("index")).first()[0] == 999
-
-
-def test_hot_batch_is_dropped_before_the_shuffle(spark):
-    """A batch holding most of the feed is rejected whole, and its records
-    are removed map-side (broadcast anti join) before the shuffle that
-    numbers records, so no task receives the hot batch."""
-    hot = [dict(GOOD, id=i + 1) for i in range(3000)]
-    fd = feed_of(spark, {("employees", "hot"): hot,
-                         ("employees", "a"): [GOOD], ("jobs", "j"): [{"id": 3, "job": "Clerk"}]})
-    ev = ingest.evaluate(fd)
-    assert {r.batch_id for r in ev.select("batch_id").collect()} == {"a", "j"}
-    plan = ev._jdf.queryExecution().executedPlan().toString()
-    exchange_at = plan.find("Exchange hashpartitioning(table")
-    assert exchange_at != -1 and "LeftAnti" in plan[exchange_at:]
-
-
-def test_shuffle_join_beyond_the_broadcast_bound(spark):
-    fd = feed_of(spark, {("bogus", "x"): [GOOD], ("employees", "a"): [GOOD]})
-    records = ingest.accepted_records(fd, max_broadcast=0)
-    assert [r.batch_id for r in records.collect()] == ["a"]
-    assert "LeftSemi" in records._jdf.queryExecution().optimizedPlan().toString()
+    assert ingest.rejected_records(ev.filter("table = 'jobs'")).first().error.startswith("2 validation errors for Job")
+
+
+def test_request_rules_and_nothing_lost(spark):
+    many = [dict(CLERK, id=i + 1) for i in range(1001)]
+    lines = [line("employees", "ok", many[:1000]), line("employees", "big", many), line("staff'; --", "x", [CLERK, CLERK]),
+             line(None, "n", [CLERK]), line("jobs", None, [{"id": 1, "job": "a"}]), line("jobs", "empty", []),
+             '{"table":"jobs","batch_id":"nodata"}', '{"table":"jobs","batch_id":"cut","data":[{"id":', "no json", "  ", '{"table":"jobs","batch_id":"s","data":"text"}']
+    requests = requests_of(spark, lines)
+    verdicts = {r.batch_id: (r.accepted, r.error) for r in ingest.batch_verdicts(requests).collect() if r.batch_id}
+    assert verdicts["ok"] == (True, None) and verdicts["x"] == (False, "Invalid table: staff'; --")
+    assert verdicts["big"] == verdicts["empty"] == verdicts["nodata"] == (False, ingest.ERR_BATCH_SIZE)
+    assert verdicts["n"] == (False, "Invalid table: NULL")
+    ev = ingest.evaluate(requests)
+    assert ingest.valid_records(ev, "employees").count() == 1000
+    rejects = ingest.all_rejects(ev)
+    assert rejects.count() == 1001 + 2 + 1 + 1 + 5  # five lines without a record
+    assert rejects.filter("error is null or record is null or error_type is null").count() == 0
+    kept = {r.record for r in rejects.filter("index is null").collect()}
+    assert kept == {lines[5], lines[6], lines[7], lines[8], lines[10]}
+    assert {r.batch_id for r in ingest.summary(ev).collect()} == {"ok"}
+
+
+def test_no_shuffle_or_window_before_the_split(spark):
+    ev = evaluated(spark, ("employees", "a", [CLERK, BROKEN]))
+    for df in (ingest.valid_records(ev, "employees"), ingest.all_rejects(ev)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" not in plan and "Join" not in plan
+        assert plan.count("parse_json") <= 1  # each record is parsed once
 
 
 def test_output_schemas(spark):
-    from tiermill import schemas
-    ev = ingest.evaluate(feed_of(spark, {("employees", "a"): [GOOD, BAD],
-                                        ("jobs", "j"): [{"id": 3, "job": "Clerk"}]}))
+    ev = evaluated(spark, ("employees", "a", [CLERK, BROKEN]), ("jobs", "j", [{"id": 3, "job": "Clerk"}]))
     for table in ("employees", "jobs"):
         valid = ingest.valid_records(ev, table).drop("batch_id", "index")
-        assert [(f.name, f.dataType) for f in valid.schema] == \
-            [(f.name, f.dataType) for f in schemas.DECLARED[table]]
+        assert [(f.name, f.dataType) for f in valid.schema] == [(f.name, f.dataType) for f in schemas.DECLARED[table]]
     rej = ingest.rejected_records(ev).select(*[f.name for f in schemas.REJECTED_RECORD])
-    assert [(f.name, f.dataType) for f in rej.schema] == \
-        [(f.name, f.dataType) for f in schemas.REJECTED_RECORD]
+    assert [(f.name, f.dataType) for f in rej.schema] == [(f.name, f.dataType) for f in schemas.REJECTED_RECORD]
+
+
+def test_feed_keeps_every_row(spark):
+    from conftest import SF_SMALL
+    from tiermill.plans.catalog import requests
+    from tiermill.sources.readers import testdata
+    rows = sum(testdata(spark, SF_SMALL, t).count() for t in ("orders", "nation", "part", "supplier"))
+    ev = ingest.evaluate(requests(spark, SF_SMALL))
+    assert ev.count() == rows + 3 + 3  # three records and three lines without one from the regions
+    assert ev.filter(F.col("n_errors") == 0).count() + ingest.all_rejects(ev).count() == rows + 6

@@ -34,7 +34,7 @@ def test_year_filter_reaches_stored_staging(spark, root):
     stg = staging.staging_employees(feed.raw_employees(spark, SF_SMALL))
     from pyspark.sql import functions as F
     overwrite(t, stg.withColumn("hire_year", F.year("hired_at")))
-    path = t.current()["path"]
+    path = t.current()["paths"][0]
     stored = spark.read.parquet(path)
     p = plan_of(marts.quarterly_hires(stored, layers(spark, SF_SMALL)["departments"],
                                       layers(spark, SF_SMALL)["jobs"], 1997))
@@ -60,3 +60,14 @@ def test_gate_checks_scan_staging_twice(spark):
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     scans = [line for line in final.split("\n") if "FileScan parquet" in line and "orders" in line]
     assert len(scans) == 2
+
+
+def test_raw_to_mart_parses_each_time_once(spark):
+    L = layers(spark, SF_SMALL)
+    plan = marts.quarterly_hires(L["staging"], L["departments"], L["jobs"], 1997)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast") == 1, plan
+
+
+def test_layer_counts_scan_raw_once(spark):
+    from tiermill.plans.catalog import QUERIES
+    assert plan_of(QUERIES["layer_counts"](spark, SF_SMALL)).count("FileScan parquet") == 1

@@ -5,7 +5,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tiermill.operators import quality
+from tiermill import schemas
+from tiermill.operators import quality, snapshots
 from tiermill.plans import refresh, serving
 from tiermill.sources import readers
 from test_staging_marts import DEPARTMENTS, EMPLOYEES, JOBS
@@ -50,7 +51,8 @@ def test_gate_blocks_marts(spark, root):
     raw = readers.read_csv_layer(spark, os.path.join(root, "csv"))
     lake = os.path.join(root, "lake")
     with pytest.raises(quality.QualityGateError, match="unique_id=1"):
-        refresh.refresh(spark, raw, lake, 2021)
+        refresh.refresh(spark, raw, lake, 2021, catalog_prefix="hrblocked")
+    assert not spark.catalog.databaseExists("hrblocked_staging")  # no name moves before the gate
     t = refresh.tables(spark, lake)
     assert t["staging/employees"].current() is not None
     assert t["marts/quarterly_hires"].current() is None  # nothing published
@@ -69,5 +71,19 @@ def test_layers_published_to_the_catalog(spark, root):
     refresh.refresh(spark, raw, lake, 2021, catalog_prefix="hrtest")
     assert spark.table("hrtest_staging.employees").count() == 9
     t = refresh.tables(spark, lake)
-    assert t["staging/employees"].current(refresh=True)["version"] == 1
+    assert t["staging/employees"].current()["version"] == 1
     assert spark.table("hrtest_staging.employees").filter("hire_year = 2021").count() == 8
+
+
+def test_refresh_over_an_appended_raw_table(spark, root):
+    write_csvs(os.path.join(root, "csv"))
+    raw = readers.read_csv_layer(spark, os.path.join(root, "csv"))
+    lake = os.path.join(root, "lake")
+    t = refresh.tables(spark, lake)
+    for name, df in raw.items():
+        snapshots.overwrite(t[f"raw/{name}"], df)
+    more = spark.createDataFrame([(900, "New", "2021-06-01T00:00:00Z", 1, 1.0)], schemas.RAW_EMPLOYEES)
+    snapshots.append(t["raw/employees"], more, schemas.RAW_EMPLOYEES)
+    refresh.refresh(spark, {}, lake, 2021, catalog_prefix="hrappend")
+    assert spark.table("hrappend_raw.employees").count() == 16
+    assert spark.table("hrappend_staging.employees").filter("id = 900").count() == 1

@@ -61,8 +61,64 @@ def test_upsert_twice_equals_once(spark, root):
     snapshots.upsert(t, batch, "id", ["seq"])
     once = rows(t.read())
     assert [r for r in once if r[0] == 2] == [(2, "b3", "2021-02-03", 1, 2.0)]
-    assert len(once) == 6  # 4 old - 1 replaced + 2 new keys + 1 null key
-    t2 = snapshots.VersionedTable(spark, root + "-b", "employees")
-    snapshots.overwrite(t2, t.read())
-    snapshots.upsert(t2, batch.filter(F.col("id").isNotNull()), "id", ["seq"])
-    assert rows(t2.read()) == once
+    assert len(once) == 5  # 4 old - 1 replaced + 2 new keys; the batch row without a key is left out
+    assert [r for r in once if r[0] is None] == [ROWS[3]]
+    snapshots.upsert(t, batch, "id", ["seq"])
+    assert rows(t.read()) == once
+
+
+def test_upsert_reads_the_batch_once(spark, root):
+    t = table_with_rows(spark, root)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    batch = t.read().selectExpr("*", "1L as seq").mapInPandas(count, "id long, name string, datetime string, department_id long, job_id double, seq long")
+    snapshots.upsert(t, batch, "id", ["seq"])
+    assert seen.value == 4
+
+
+def test_append_keeps_folders_and_checks_the_schema(spark, root):
+    t = table_with_rows(spark, root)
+    more = spark.createDataFrame([(8, "h", "2021-01-01", 1, 1.0)], schemas.RAW_EMPLOYEES)
+    first = t.current()["paths"]
+    entry = snapshots.append(t, more, schemas.RAW_EMPLOYEES)
+    assert entry["paths"][:1] == first and entry["rows"] == 5 and t.read().count() == 5
+    for wrong in (more.drop("job_id"), more.withColumn("id", F.col("id").cast("int")), more.select("name", "id", "datetime", "department_id", "job_id")):
+        with pytest.raises(ValueError, match="append to employees"):
+            snapshots.append(t, wrong, schemas.RAW_EMPLOYEES)
+    assert t.read().count() == 5 and t.read(version=0).count() == 4
+
+
+def test_two_writers_cannot_commit_one_version(spark, root, monkeypatch):
+    t = table_with_rows(spark, root)
+    other = snapshots.VersionedTable(spark, root, "employees")
+    stale = dict(t.current())
+    snapshots.append(other, t.read().limit(1))
+    monkeypatch.setattr(t, "current", lambda: stale)  # read before the other's commit
+    with pytest.raises(snapshots.CommitConflict):
+        snapshots.overwrite(t, other.read().limit(2))
+    monkeypatch.undo()
+    assert t.current()["version"] == 1 and t.read().count() == 5  # the first writer's version stands
+    snapshots.overwrite(t, other.read(version=0))
+    assert other.read().count() == 4  # no handle keeps an old head
+
+
+def test_damaged_snapshot_changes_nothing(spark, root):
+    t = table_with_rows(spark, root)
+    out = snapshots.backup(t.read(), root, "employees", as_of="2024-05-02 14:30:22")
+    spark.createDataFrame(ROWS[:1], schemas.RAW_EMPLOYEES).write.mode("overwrite").parquet(out["backup_uri"])
+    with pytest.raises(RuntimeError, match="expected 4"):
+        snapshots.restore(t, root, schema=schemas.RAW_EMPLOYEES)
+    assert t.current()["version"] == 0 and t.read().count() == 4
+
+
+def test_two_backups_of_one_second(spark, root):
+    df = spark.createDataFrame(ROWS, schemas.RAW_EMPLOYEES)
+    a = snapshots.backup(df, root, "employees", as_of="2024-01-01 00:00:00")
+    b = snapshots.backup(df.limit(2), root, "employees", as_of="2024-01-01 00:00:00")
+    assert a["backup_uri"] != b["backup_uri"] and spark.read.parquet(a["backup_uri"]).count() == 4
+    assert snapshots.find_snapshot(spark, root, "employees")["rows"] == 2  # the later one

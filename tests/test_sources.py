@@ -7,7 +7,6 @@ import pytest
 
 from tiermill import schemas
 from tiermill.sources import readers, writers
-from tiermill.streaming.ingest_stream import FEED_SCHEMA
 
 
 def test_csv_text_and_empty_fields(spark, root):
@@ -36,14 +35,13 @@ def test_json_lines_strict_and_permissive(spark, root):
     path = os.path.join(root, "feed")
     os.makedirs(path)
     with open(os.path.join(path, "part.json"), "w") as f:
-        f.write('{"table":"jobs","batch_id":"b","seq":1,"record":"{\\"id\\":1,\\"job\\":\\"x\\"}"}\n'
-                '{"table":"jobs","batch_id":"b","seq":2,\n')
-    df = readers.read_json_records(spark, path, FEED_SCHEMA)
+        f.write('{"id":1,"job":"x"}\n{"id":2,\n')
+    df = readers.read_json_records(spark, path, schemas.RAW_JOBS)
     rows = df.collect()
     assert len(rows) == 2
     assert sum(r[readers.CORRUPT] is not None for r in rows) == 1
     with pytest.raises(Exception):
-        readers.read_json_records(spark, path, FEED_SCHEMA, strict=True).collect()
+        readers.read_json_records(spark, path, schemas.RAW_JOBS, strict=True).collect()
 
 
 def test_layer_names():

@@ -50,3 +50,21 @@ def test_in_year_half_open(spark, year, inside):
     ts = F.col("s").cast("timestamp")
     got = [r.v for r in df.select(text.in_year(ts, year).alias("v")).collect()]
     assert got == ([True, False] if inside else [False, True])
+
+
+def test_canonical_text_is_read_strictly(spark):
+    df = spark.createDataFrame([("2021-11-07T02:48:42Z",), (None,)], "t string")
+    got = [r.v for r in df.select(text.canonical_text(text.parse_canonical("t")).alias("v")).collect()]
+    assert got == ["2021-11-07T02:48:42Z", None]
+    for bad in ("2021-11-07", "2021-11-07T02:48:42", "x"):
+        with pytest.raises(Exception, match="CANNOT_PARSE"):
+            spark.createDataFrame([(bad,)], "t string").select(text.parse_canonical("t").alias("v")).collect()
+
+
+def test_shared_folder_is_required_off_a_local_master(monkeypatch):
+    from types import SimpleNamespace
+
+    from tiermill import session
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(cluster)

@@ -9,7 +9,6 @@ Two families of rules run over whole DataFrames as column expressions:
 
 from __future__ import annotations
 
-import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -111,41 +110,51 @@ ALL_FIELDS = tuple(dict.fromkeys(f.name for fs in MODELS.values() for f in fs))
 
 # Shapes of number text: casts run only on text of the right shape, since a
 # failed cast builds (and drops) an exception -- costly when it is per row.
-INTEGER_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
+INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Doubles hold every whole number up to here.
+EXACT_DOUBLE = 2.0 ** 53
 
 
-def as_number(text: Column) -> Column:
-    """Text of a JSON number (or numeric string) as a double, else null."""
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+def is_number(kind: Column) -> Column:
+    """Whether a token is a JSON number (``kind``: its variant type)."""
+    return kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
 
 
-def integral(text: Column) -> Column:
-    """Text of a JSON number/string as a long when it is a whole number."""
-    as_double = as_number(text)
-    return (F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
-            .when(as_double == F.floor(as_double), as_double.try_cast("bigint")))
+def as_number(text: Column, kind: Column) -> Column:
+    """A JSON number or numeric string as a double, else null."""
+    return F.when((is_number(kind) | (kind == "STRING")) & text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 
-def _field_error(f: Field, present: Column, text: Column, as_long: Column) -> Column:
-    """Message for one field, null when the field is valid.  ``as_long`` is
-    the field's integral value (only used for id fields)."""
-    missing = F.when(~present, F.lit(MSG_REQUIRED))
+def integral(text: Column, kind: Column) -> Column:
+    """A JSON number or numeric string as a long, if it is a whole number that
+    a long holds exactly.  Integer text never goes through a double."""
+    as_double = as_number(text, kind)
+    return (F.when(~(is_number(kind) | (kind == "STRING")), F.lit(None).cast("bigint"))
+            .when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
+            .when((as_double % 1 == 0) & (F.abs(as_double) <= EXACT_DOUBLE), as_double.try_cast("bigint")))
+
+
+def _field_error(f: Field, kind: Column, text: Column, as_long: Column) -> Column:
+    """Message for one field, null when the field is valid.  ``kind`` is the
+    token's variant type (null: no such field; VOID: JSON null), ``as_long`` the
+    field's integral value (only used for id fields)."""
+    missing = F.when(kind.isNull(), F.lit(MSG_REQUIRED))
     if f.kind == "id":
+        number = as_number(text, kind)
         err = (missing
-               .when(text.isNull(), F.lit(MSG_INT))
-               .when(as_long.isNull() & as_number(text).isNotNull(), F.lit(MSG_INT_FRACTION))
+               .when(as_long.isNull() & (number % 1 != 0), F.lit(MSG_INT_FRACTION))
                .when(as_long.isNull(), F.lit(MSG_INT))
                .when(as_long <= 0, F.lit(MSG_GT0)))
     elif f.kind == "text":
         err = (missing
-               .when(text.isNull(), F.lit(MSG_STR))
+               .when(kind != "STRING", F.lit(MSG_STR))
                .when(F.length(text) < 1, F.lit(MSG_MIN1))
                .when(F.length(text) > f.max_len, F.lit(MSG_MAX.format(n=f.max_len)))
                .when(is_blank(text), F.lit(f.empty_msg)))
     else:  # datetime: stored unchanged, must read as a full date(-time)
         err = (missing
-               .when(text.isNull(), F.lit(MSG_STR))
+               .when(kind != "STRING", F.lit(MSG_STR))
                .when((F.length(text) < MIN_DATETIME_CHARS)
                      | safe_timestamp(text).isNull(), F.lit(MSG_DATETIME)))
     return F.concat(F.lit(f.name + ": "), err)  # null when err is null
@@ -164,18 +173,15 @@ def field_plan() -> list[tuple[str, Field, tuple[str, ...]]]:
 ERROR_SEP = "; "
 
 
-def field_errors(table: Column, text_of, present_of, long_of) -> list[Column]:
+def field_errors(table: Column, text_of, kind_of, long_of) -> list[Column]:
     """One message column per (field, rule set) of the record models, null
     when that field is valid or the record's table has no such field.
-    ``text_of(name)``, ``present_of(name)`` and ``long_of(name)`` give a
-    field's text, presence and integral value as columns."""
-    return [F.when(table.isin(*tables), _field_error(f, present_of(name), text_of(name), long_of(name)))
+    ``text_of(name)``, ``kind_of(name)`` and ``long_of(name)`` give a field's
+    text, token type and integral value as columns."""
+    return [F.when(table.isin(*tables), _field_error(f, kind_of(name), text_of(name), long_of(name)))
             for name, f, tables in field_plan()]
 
 
-ERROR_SEP = "; "
-
-
 def count_and_join(messages: list[Column]) -> tuple[Column, Column]:
     """(number of non-null messages, messages joined by ``ERROR_SEP``).
     ``concat_ws`` skips nulls; no array filter (higher-order functions have
@@ -199,45 +205,19 @@ def valid_projection(table: str) -> list[Column]:
 
 
 def table_is_known(c: str | Column) -> Column:
-    return col_of(c).isin(*MODELS.keys())
-
-
-# -- cached expressions over the standard column names -------------------------
-# Building a Column costs driver round trips to the JVM; the fixed rule trees
-# are built once per process and reused (they hold only unresolved names).
-
-@functools.cache
-def parsed_datetime() -> Column:
-    return safe_timestamp("datetime")
-
-
-@functools.cache
-def staging_filter(blank_name_to_staging: bool = True) -> Column:
-    return staging_predicate(parsed_datetime(), blank_name_to_staging)
-
-
-@functools.cache
-def quarantine_filter() -> Column:
-    return quarantine_predicate(parsed_datetime())
-
-
-@functools.cache
-def reason() -> Column:
-    return quarantine_reason(parsed_datetime())
+    """Never null: a null table is not known."""
+    return F.coalesce(col_of(c).isin(*MODELS.keys()), F.lit(False))
 
 
 ID_FIELDS = tuple(sorted({n for n, f, _ in field_plan() if f.kind == "id"}))
 
 
-@functools.cache
-def id_values() -> tuple:
-    """``v_<name>``: integral value of each id field over ``f_<name>``."""
-    return tuple(integral(F.col(f"f_{n}")).alias(f"v_{n}") for n in ID_FIELDS)
+def id_values() -> list[Column]:
+    """``v_<name>``: integral value of each id field over ``f_<name>``, ``k_<name>``."""
+    return [integral(F.col(f"f_{n}"), F.col(f"k_{n}")).alias(f"v_{n}") for n in ID_FIELDS]
 
 
-@functools.cache
-def record_checks() -> tuple:
-    """Per-field message columns over ``table``, ``f_*``, ``p_*``, ``v_*``."""
-    return tuple(field_errors(
-        F.col("table"), lambda n: F.col(f"f_{n}"), lambda n: F.col(f"p_{n}"),
-        lambda n: F.col(f"v_{n}") if n in ID_FIELDS else F.lit(None)))
+def record_checks() -> list[Column]:
+    """Per-field message columns over ``table``, ``f_*``, ``k_*``, ``v_*``."""
+    return field_errors(F.col("table"), lambda n: F.col(f"f_{n}"), lambda n: F.col(f"k_{n}"),
+                        lambda n: F.col(f"v_{n}") if n in ID_FIELDS else F.lit(None))

@@ -48,8 +48,9 @@ def canonical_text(ts: str | Column) -> Column:
 
 
 def parse_canonical(c: str | Column) -> Column:
-    """Strict parse of the canonical text written by :func:`canonical_text`."""
-    return F.try_to_timestamp(col_of(c), F.lit(CANONICAL_FORMAT))
+    """Strict parse of the canonical text written by :func:`canonical_text`:
+    any other text raises (ANSI mode)."""
+    return F.to_timestamp(col_of(c), CANONICAL_FORMAT)
 
 
 def ts_literal(text: str) -> Column:

@@ -3,13 +3,14 @@
 Rejected records are written one JSON line each, under a directory of the
 ingest run, so a retried run overwrites its own output.  The per-batch
 envelope ``{timestamp, table, count, records}`` is built by a grouped
-aggregate; it only ever groups an accepted batch, which holds at most 1000
-records, so no group is unbounded.
+aggregate over the invalid records of accepted requests: at most 1000 each, so
+no group is unbounded.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,13 +53,15 @@ def quarantine_export(quarantine: DataFrame) -> DataFrame:
                     F.col("original_datetime_string").cast("string").alias("datetime"),
                     "department_id", round_to_long("job_id").alias("job_id"),
                     "rejection_reason", F.col("quarantined_at"))
-            .orderBy(F.desc("quarantined_at"), F.asc_nulls_last("id"))
+            # the row hash splits the range of equal times and ids (all null ids)
+            .orderBy(F.desc("quarantined_at"), F.asc_nulls_last("id"), F.xxhash64("name", "datetime", "department_id", "job_id"))
             .select("id", "name", "datetime", "department_id", "job_id", "rejection_reason",
                     export_text("quarantined_at").alias("quarantine_at")))
 
 
 def write_quarantine_export(quarantine: DataFrame, root: str, as_of: str | None = None,
                             table: str = "employees") -> str:
-    """Write the export to ``<root>/dlq/quarantine/<table>/quarantine_<stamp>``."""
-    path = os.path.join(root, "dlq", "quarantine", table, f"quarantine_{stamp_of(as_of)}")
+    """Write the export to ``<root>/dlq/quarantine/<table>/quarantine_<stamp>_<id>``;
+    the id keeps two exports of one second apart."""
+    path = os.path.join(root, "dlq", "quarantine", table, f"quarantine_{stamp_of(as_of)}_{uuid.uuid4().hex[:8]}")
     return write_json(quarantine_export(quarantine), path)

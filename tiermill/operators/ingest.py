@@ -1,112 +1,94 @@
-"""Record-batch ingest: validate, split valid / rejected, summarize.
-
-A feed holds one JSON record per row with its target ``table``, its
-``batch_id`` and a producer sequence number ``seq``.  All rules are column
-expressions over the whole feed; no record passes through Python.
-
-Batch-level rules first: a batch whose table is unknown, or that holds
-fewer than 1 or more than 1000 records, is rejected whole.  Batch sizes come
-from a partial aggregate (one row per batch); the records of rejected
-batches are dropped map-side (see :func:`accepted_records`).  Only accepted
-batches -- at most 1000 records each -- reach the shuffle by batch key and
-get a position (``index``) from a window, so no window partition is ever
-larger than 1000 rows whatever the skew of the feed.
+"""Request ingest: validate, split valid / rejected, summarize.
+
+One line is one request ``{"table": ..., "batch_id": ..., "data": [...]}``.
+Everything that decides about a request -- malformed text, unknown table,
+missing batch id, number of records -- is a rule on its own row, and
+``posexplode`` numbers the records.  So there is no shuffle, no window and no
+batch list before the split, and the answer for a request does not depend on
+which other requests are read with it.
+
+:func:`evaluate` gives one row per record, those of rejected requests included
+(a request without records gives one row that holds its line), so every input
+line ends in exactly one of the valid, rejected-record or rejected-request sets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import rules
-from ..session import checkpoint_dir, spread_if_narrow
+from ..sources.readers import CORRUPT
 
 BATCH_KEY = ["table", "batch_id"]
 
-# Batch-level error texts.
+# Error texts that name a table or a record's shape.
 ERR_TABLE = "Invalid table: "
-ERR_BATCH_SIZE = "Records to insert must number 1-1000"
 ERR_NOT_OBJECT = "Input should be a valid dictionary"
 
-
-def batch_verdicts(feed: DataFrame) -> DataFrame:
-    """(table, batch_id, n_records, accepted, error) per batch."""
-    sizes = feed.groupBy(*BATCH_KEY).agg(F.count(F.lit(1)).alias("n_records"))
-    error = (F.when(~rules.table_is_known("table"),
-                    F.concat(F.lit(ERR_TABLE), F.coalesce(F.col("table"), F.lit("NULL"))))
-             .when(~F.col("n_records").between(rules.BATCH_MIN, rules.BATCH_MAX),
-                   F.lit(ERR_BATCH_SIZE)))
-    return sizes.select(*BATCH_KEY, "n_records", error.isNull().alias("accepted"),
-                        error.alias("error"))
-
-
-# Largest number of rejected batches whose keys are broadcast to drop their
-# records before any shuffle (about 100 bytes a key).
-MAX_BROADCAST_REJECTED = 200_000
-
-
-def accepted_records(feed: DataFrame, max_broadcast: int = MAX_BROADCAST_REJECTED) -> DataFrame:
-    """Records of the batches that pass the batch rules.
-
-    Rejected batches are usually few; when a count proves there are at most
-    ``max_broadcast`` of them, their keys are broadcast and their records
-    dropped map-side, so an oversized (hot) batch never reaches the shuffle
-    by batch key.  Beyond that bound the feed is joined with the accepted
-    batch list by a shuffle join."""
-    verdicts = batch_verdicts(feed)
-    # The rejected-batch list is small; it is written once to the shared
-    # checkpoint folder, so counting it and broadcasting it do not read the
-    # feed again (and a lost executor does not lose it).
-    checkpoint_dir(feed.sparkSession)
-    rejected = verdicts.filter(~F.col("accepted")).select(*BATCH_KEY).checkpoint(eager=True)
-    if rejected.count() <= max_broadcast:
-        return feed.join(F.broadcast(rejected), BATCH_KEY, "left_anti")
-    return feed.join(verdicts.filter("accepted").select(*BATCH_KEY), BATCH_KEY, "left_semi")
-
-
-def evaluate(feed: DataFrame) -> DataFrame:
-    """Records of accepted batches with ``index`` (position in the batch),
-    the field texts ``f_<name>``, the integral values ``v_<name>`` of id
-    fields, ``n_errors`` and ``error_list`` (every failing rule's message).
-
-    Rules run on the map side, before the shuffle that numbers the records:
-    later filters on ``n_errors`` then stop at the window and read a plain
-    column, instead of being pushed down with the whole rule tree inlined."""
-    records = accepted_records(spread_if_narrow(feed))
-    # json_tuple parses each record once and yields plain columns; from_json
-    # would keep the stage out of code generation and, once its fields are
-    # inlined into the rules, parse the record again for every reference.
-    # The key list is taken below the generator so that it stays one column
-    # (computed once) when later filters are pushed down to the generator.
-    keyed = records.select(*BATCH_KEY, "seq", "record",
-                           F.json_object_keys("record").alias("_keys"))
-    parsed = keyed.select(
-        *BATCH_KEY, "seq", "record", "_keys",
-        F.json_tuple("record", *rules.ALL_FIELDS).alias(*[f"f_{n}" for n in rules.ALL_FIELDS]))
+ERR_MALFORMED = "The line is no request"
+ERR_BATCH_ID = "The request names no batch"
+ERR_BATCH_SIZE = f"A batch holds {rules.BATCH_MIN} to {rules.BATCH_MAX} records"
+REQUEST_ERROR = "RequestError"
+
+
+def read_requests(lines: DataFrame) -> DataFrame:
+    """(line, table, batch_id, data, corrupt) from a text column ``value``.
+    ``data`` keeps each record as its JSON text; blank lines are skipped."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.filter(F.trim("value") != "").select(
+        F.col("value").alias("line"), F.from_json("value", schemas.REQUEST, options).alias("r"))
+    return parsed.select("line", "r.table", "r.batch_id", "r.data",
+                         (F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()).alias("corrupt"))
+
+
+def request_error() -> Column:
+    """Why a whole request is rejected, else null."""
+    return (F.when(F.col("corrupt"), F.lit(ERR_MALFORMED))
+            .when(~rules.table_is_known("table"), F.concat(F.lit(ERR_TABLE), F.coalesce(F.col("table"), F.lit("NULL"))))
+            .when(F.col("batch_id").isNull(), F.lit(ERR_BATCH_ID))
+            .when(~F.coalesce(F.size("data").between(rules.BATCH_MIN, rules.BATCH_MAX), F.lit(False)), F.lit(ERR_BATCH_SIZE)))
+
+
+def batch_verdicts(requests: DataFrame) -> DataFrame:
+    """(table, batch_id, n_records, accepted, error) per request."""
+    error = request_error()
+    return requests.select(*BATCH_KEY, F.coalesce(F.size("data"), F.lit(0)).cast("bigint").alias("n_records"),
+                           error.isNull().alias("accepted"), error.alias("error"))
+
+
+def evaluate(requests: DataFrame) -> DataFrame:
+    """One row per record: table, batch_id, ``index`` (place in the request),
+    ``record`` (its text, or the line of a request without records), the field
+    texts ``f_<name>``, the integral values ``v_<name>`` of id fields,
+    ``request_error``, ``n_errors`` and ``error_list`` (all messages).
+
+    A record is parsed once, into a variant; field texts and kinds are columns
+    below the rules.  The last step goes through a generator, so that later
+    filters on its columns are not pushed down with the rules inlined."""
+    judged = requests.select(*BATCH_KEY, "line", "data", request_error().alias("request_error"))
+    listed = judged.select(*BATCH_KEY, "line", "request_error", F.posexplode_outer("data").alias("_at", "_text"))
+    parsed = listed.select(
+        *BATCH_KEY, "request_error", F.col("_at").cast("bigint").alias("index"),
+        F.coalesce("_text", F.when(F.col("_at").isNull(), F.col("line")), F.lit("null")).alias("record"),
+        F.when(F.col("request_error").isNull(), F.try_parse_json("_text")).alias("_v"))
     fields = parsed.select(
-        *BATCH_KEY, "seq", "record",
-        F.col("_keys").isNotNull().alias("_is_object"),
-        *[F.col(f"f_{n}") for n in rules.ALL_FIELDS],
-        *[F.coalesce(F.array_contains("_keys", n), F.lit(False)).alias(f"p_{n}")
-          for n in rules.ALL_FIELDS])
-    ids = rules.ID_FIELDS
+        *BATCH_KEY, "request_error", "index", "record",
+        F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)).alias("_is_object"),
+        *[F.try_variant_get("_v", f"$.{n}", "string").alias(f"f_{n}") for n in rules.ALL_FIELDS],
+        *[F.schema_of_variant(F.try_variant_get("_v", f"$.{n}", "variant")).alias(f"k_{n}") for n in rules.ALL_FIELDS])
     typed = fields.select("*", *rules.id_values())
-    # Each field's message is its own column, so counting and joining them
-    # below reads columns instead of evaluating every rule twice.
     checks = rules.record_checks()
-    messages = typed.select(
-        *BATCH_KEY, "seq", "record", "_is_object",
-        *[F.col(f"f_{n}") for n in rules.ALL_FIELDS], *[F.col(f"v_{n}") for n in ids],
-        *[c.alias(f"_e{i}") for i, c in enumerate(checks)])
+    messages = typed.select("*", *[c.alias(f"_e{i}") for i, c in enumerate(checks)])
     n_rules, joined = rules.count_and_join([F.col(f"_e{i}") for i in range(len(checks))])
-    is_object = F.col("_is_object")
-    checked = messages.select(
-        *BATCH_KEY, "seq", "record",
-        *[F.col(f"f_{n}") for n in rules.ALL_FIELDS], *[F.col(f"v_{n}") for n in ids],
-        F.when(is_object, n_rules).otherwise(1).alias("n_errors"),
-        F.when(is_object, joined).otherwise(F.lit(ERR_NOT_OBJECT)).alias("error_list"))
-    position = Window.partitionBy(*BATCH_KEY).orderBy("seq")
-    return checked.withColumn("index", (F.row_number().over(position) - 1).cast("bigint"))
+    whole = F.col("request_error").isNotNull()
+    result = F.struct(
+        F.when(whole | ~F.col("_is_object"), F.lit(1)).otherwise(n_rules).alias("n_errors"),
+        F.when(whole, F.col("request_error")).when(F.col("_is_object"), joined).otherwise(F.lit(ERR_NOT_OBJECT)).alias("error_list"))
+    return messages.select(
+        *BATCH_KEY, "index", "record", "request_error", *[F.col(f"f_{n}") for n in rules.ALL_FIELDS],
+        *[F.col(f"v_{n}") for n in rules.ID_FIELDS], F.inline(F.array(result)))
 
 
 def valid_records(evaluated: DataFrame, table: str) -> DataFrame:
@@ -123,15 +105,22 @@ def error_text() -> Column:
                     F.lit(" for "), model, F.lit("; "), F.col("error_list"))
 
 
-def rejected_records(evaluated: DataFrame) -> DataFrame:
-    """(table, batch_id, index, record, error, error_type) of invalid records."""
+def all_rejects(evaluated: DataFrame) -> DataFrame:
+    """(table, batch_id, index, record, error, error_type) of every record that
+    was not stored: invalid ones and those of rejected requests."""
+    whole = F.col("request_error").isNotNull()
     return (evaluated.filter(F.col("n_errors") > 0)
-            .select(*BATCH_KEY, "index", "record", error_text().alias("error"),
-                    F.lit(rules.ERROR_TYPE).alias("error_type")))
+            .select(*BATCH_KEY, "index", "record", F.when(whole, F.col("request_error")).otherwise(error_text()).alias("error"),
+                    F.when(whole, F.lit(REQUEST_ERROR)).otherwise(F.lit(rules.ERROR_TYPE)).alias("error_type")))
+
+
+def rejected_records(evaluated: DataFrame) -> DataFrame:
+    """Invalid records of accepted requests."""
+    return all_rejects(evaluated.filter(F.col("request_error").isNull()))
 
 
 def summary(evaluated: DataFrame) -> DataFrame:
-    """(table, batch_id, inserted, rejected) per accepted batch."""
-    return evaluated.groupBy(*BATCH_KEY).agg(
+    """(table, batch_id, inserted, rejected) per accepted request."""
+    return evaluated.filter(F.col("request_error").isNull()).groupBy(*BATCH_KEY).agg(
         F.count_if(F.col("n_errors") == 0).alias("inserted"),
         F.count_if(F.col("n_errors") > 0).alias("rejected"))

@@ -77,16 +77,12 @@ def split_counts(raw: DataFrame, blank_name_to_staging: bool = True) -> DataFram
     )
 
 
-def layer_counts(frames: dict[str, DataFrame], raw: DataFrame | None = None) -> DataFrame:
-    """(layer, records) per layer table, union of one count per table; with
-    ``raw`` an OVERLAP row counts rows that are in staging and quarantine."""
-    parts = [df.agg(F.count(F.lit(1)).alias("records"))
-             .select(F.lit(LAYER_LABELS.get(name, name.upper())).alias("layer"), "records")
-             for name, df in frames.items()]
-    if raw is not None:
-        parts.append(split_counts(raw).select(F.lit("OVERLAP").alias("layer"),
-                                              F.col("overlap").alias("records")))
-    return reduce(DataFrame.unionByName, parts)
+def layer_counts(raw: DataFrame) -> DataFrame:
+    """(layer, records): the rows of raw, of its staging and quarantine parts
+    and of their overlap, counted in one scan of raw."""
+    counts = split_counts(raw)
+    labels = {**LAYER_LABELS, "overlap": "OVERLAP"}
+    return counts.select(*[F.col(c).alias(label) for c, label in labels.items()]).unpivot([], list(labels.values()), "layer", "records")
 
 
 def quality_pct(raw: DataFrame, valid: DataFrame,
@@ -143,7 +139,12 @@ def staging_checks(staging: DataFrame, departments: DataFrame | None = None,
 
 
 class QualityGateError(RuntimeError):
-    """A blocking data-quality check failed; nothing was published."""
+    """A blocking data-quality check failed; nothing was published.  ``rows``
+    are the check rows."""
+
+    def __init__(self, message: str, rows: list[dict]):
+        super().__init__(message)
+        self.rows = rows
 
 
 def enforce(checks: DataFrame) -> list[dict]:
@@ -153,5 +154,5 @@ def enforce(checks: DataFrame) -> list[dict]:
     failed = [r for r in rows if not r["passed"]]
     if failed:
         raise QualityGateError("quality checks failed: " + ", ".join(
-            f"{r['check']}={r['failures']}" for r in failed))
+            f"{r['check']}={r['failures']}" for r in failed), rows)
     return rows

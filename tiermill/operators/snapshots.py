@@ -1,20 +1,24 @@
 """Snapshots (backup / restore) and table operations on versioned tables.
 
-A table is a directory of immutable versions plus an append-only commit log
-(one parquet row per commit).  A write -- restore, delete, truncate, upsert,
-plain overwrite -- produces a new version directory and then appends its log
-row; readers take the newest committed version.  So a job that dies half-way
-leaves the previous version current, a table can be rewritten from a query
-that reads it, and old versions stay for recovery.
-
-Snapshots are written as ``<root>/backups/<table>/<yyyyMMdd_HHmmss>/`` with a
+A table is a directory of immutable data folders plus one small commit file per
+version, which lists the folders of that version.  A write -- append, restore,
+delete, truncate, upsert, plain overwrite -- puts its data into a folder of its
+own and then creates the next commit file, which must not exist yet; readers take
+the newest commit file.  So a job that dies half-way leaves the previous version
+current, a table can be rewritten from a query that reads it, two writers cannot
+both commit one version, and no committed folder is ever written again.
+
+Snapshots are written as ``<root>/backups/<table>/<yyyyMMdd_HHmmss>-<id>/`` with a
 manifest row (table, ts, path, format, rows) appended per backup.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,12 +33,13 @@ MANIFEST = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("format", T.StringType()),
     T.StructField("rows", T.LongType()),
+    T.StructField("made_at_ns", T.LongType()),
 ])
 
 COMMIT_LOG = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("operation", T.StringType()),
-    T.StructField("path", T.StringType()),
+    T.StructField("paths", T.ArrayType(T.StringType())),
     T.StructField("rows", T.LongType()),
     T.StructField("committed_at", T.StringType()),
 ])
@@ -44,6 +49,10 @@ class SnapshotNotFound(LookupError):
     pass
 
 
+class CommitConflict(RuntimeError):
+    """Another writer committed the version first; nothing of it was touched."""
+
+
 def _now_stamp() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
 
@@ -55,12 +64,40 @@ def stamp_of(as_of: str | None) -> str:
     return dt.datetime.fromisoformat(as_of).strftime("%Y%m%d_%H%M%S")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and its path object (works for any
+    scheme the cluster's shared folder uses)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, asked of the path's Hadoop file system (works
-    for any scheme the cluster's shared folder uses)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+    fs, hpath = _file_system(spark, path)
+    return fs.exists(hpath)
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, hpath = _file_system(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a file that must not exist."""
+    fs, hpath = _file_system(spark, path)
+    try:
+        stream = fs.create(hpath, False)
+    except Exception as exc:
+        if fs.exists(hpath):
+            raise CommitConflict(f"{path} exists") from exc
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
 
 def snapshot_format(spark: SparkSession, preferred: str = "avro") -> str:
@@ -97,42 +134,58 @@ class VersionedTable:
         self.spark, self.name, self.fmt, self.partition_by = spark, name, fmt, partition_by
         self.location = os.path.join(root, "tables", name)
         self.log_path = os.path.join(self.location, "_commits")
-        self._head: dict | None = None  # newest commit made through this object
+
+    def _commit_file(self, version: int) -> str:
+        return os.path.join(self.log_path, f"{version:08d}.json")
 
     def log(self) -> DataFrame:
         if not _exists(self.spark, self.log_path):
             return self.spark.createDataFrame([], COMMIT_LOG)
-        return self.spark.read.schema(COMMIT_LOG).parquet(self.log_path)
-
-    def current(self, refresh: bool = False) -> dict | None:
-        """The newest commit (one row, so collecting it is bounded).  After a
-        commit through this object the entry is known without a log read."""
-        if self._head is None or refresh:
-            if not _exists(self.spark, self.log_path):
-                return None
-            row = self.log().orderBy(F.desc("version")).limit(1).collect()
-            self._head = row[0].asDict() if row else None
-        return self._head
+        return self.spark.read.schema(COMMIT_LOG).json(self.log_path)
+
+    def current(self) -> dict | None:
+        """The newest commit.  One listing and one small file, no Spark job."""
+        fs, hpath = _file_system(self.spark, self.log_path)
+        if not fs.exists(hpath):
+            return None
+        names = sorted(x.getPath().getName() for x in fs.listStatus(hpath))
+        versions = [n for n in names if n.endswith(".json") and not n.startswith(("_", "."))]
+        return json.loads(_read_text(self.spark, os.path.join(self.log_path, versions[-1]))) if versions else None
+
+    def _load(self, paths: list[str]) -> DataFrame:
+        frames = [self.spark.read.format(self.fmt).load(p) for p in paths] if self.partition_by else \
+            [self.spark.read.format(self.fmt).load(paths)]
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
 
     def read(self, version: int | None = None) -> DataFrame:
-        entry = self.current() if version is None else (
-            self.log().filter(F.col("version") == version).collect() or [None])[0]
+        if version is None:
+            entry = self.current()
+        else:
+            path = self._commit_file(version)
+            entry = json.loads(_read_text(self.spark, path)) if _exists(self.spark, path) else None
         if entry is None:
             raise LookupError(f"table {self.name} has no committed version")
-        entry = entry if isinstance(entry, dict) else entry.asDict()
-        return self.spark.read.format(self.fmt).load(entry["path"])
+        return self._load(entry["paths"])
 
-    def commit(self, df: DataFrame, operation: str) -> dict:
-        """Write ``df`` as the next version, then record it in the log."""
+    def commit(self, df: DataFrame, operation: str, expect_rows: int | None = None, keep: bool = False) -> dict:
+        """Write ``df`` into a new folder, then create the next commit file:
+        with ``keep`` the folders of the current version stay, else the new one
+        replaces them.  Raises before the commit if ``expect_rows`` is not met,
+        and CommitConflict if another writer was first."""
         head = self.current()
         version = 0 if head is None else head["version"] + 1
-        path = os.path.join(self.location, f"v{version:08d}")
-        write_table(df, path, self.fmt, partition_by=self.partition_by)
+        path = os.path.join(self.location, f"v{version:08d}-{uuid.uuid4().hex[:12]}")
+        write_table(df, path, self.fmt, mode="errorifexists", partition_by=self.partition_by)
         rows = _count_written(self.spark, path, self.fmt)
-        entry = {"version": version, "operation": operation, "path": path, "rows": rows,
-                 "committed_at": _now_stamp()}
-        _one_row(self.spark, entry, COMMIT_LOG).write.mode("append").parquet(self.log_path)
-        self._head = entry
+        if expect_rows is not None and rows != expect_rows:
+            raise RuntimeError(f"{operation} of {self.name} wrote {rows} rows, expected {expect_rows}")
+        before = head if keep and head else {"paths": [], "rows": 0}
+        entry = {"version": version, "operation": operation, "paths": [*before["paths"], path],
+                 "rows": before["rows"] + rows, "committed_at": _now_stamp()}
+        _create_text(self.spark, self._commit_file(version), json.dumps(entry))
         return entry
 
 
@@ -142,6 +195,16 @@ def overwrite(table: VersionedTable, df: DataFrame) -> dict:
     return table.commit(df, "overwrite")
 
 
+def append(table: VersionedTable, df: DataFrame, schema: T.StructType | None = None) -> dict:
+    """Add rows as a folder of their own; the folders there stay.  The columns
+    must be those of ``schema`` (by default of the table) in name, order and
+    type.  Not idempotent: appending twice adds the rows twice."""
+    want = schema if schema is not None else table.read().schema
+    if [(f.name, f.dataType) for f in df.schema] != [(f.name, f.dataType) for f in want]:
+        raise ValueError(f"append to {table.name}: {df.schema.simpleString()} is not {want.simpleString()}")
+    return table.commit(df, "append", keep=True)
+
+
 def delete_where(table: VersionedTable, predicate) -> dict:
     """Remove rows where ``predicate`` is true (null counts as false, as in
     ``DELETE ... WHERE``)."""
@@ -167,14 +230,22 @@ def latest_per_key(batch: DataFrame, key: str, order_by: list[str]) -> DataFrame
 
 def upsert(table: VersionedTable, batch: DataFrame, key: str, order_by: list[str]) -> dict:
     """Insert-or-replace by ``key``: the newest batch row per key replaces the
-    table's rows with that key; batch rows with a null key are inserted.
-    Running the same batch twice gives the same table as running it once."""
+    table's rows with that key.  Batch rows with a null key match nothing and
+    could not be told from their own repetition, so they are left out; running a
+    batch twice gives the same table as running it once.
+
+    The batch is evaluated once, into a folder of the table's own; rows of the
+    table with a null key stay and take no part in the join."""
     target = table.read()
     batch = batch.select(*target.columns, *[c for c in order_by if c not in target.columns])
-    newest = latest_per_key(batch, key, order_by).select(*target.columns)
-    null_keys = batch.filter(F.col(key).isNull()).select(*target.columns)
-    kept = target.join(newest.select(key), key, "left_anti")
-    return table.commit(kept.unionByName(newest).unionByName(null_keys), "upsert")
+    staged = os.path.join(table.location, "_staged", uuid.uuid4().hex)
+    write_table(batch.filter(F.col(key).isNotNull()), staged, mode="errorifexists")
+    newest = latest_per_key(table.spark.read.parquet(staged), key, order_by).select(*target.columns)
+    keyed = target.filter(F.col(key).isNotNull()).join(newest.select(key), key, "left_anti").select(*target.columns)
+    entry = table.commit(keyed.unionByName(newest).unionByName(target.filter(F.col(key).isNull())), "upsert")
+    fs, hpath = _file_system(table.spark, staged)
+    fs.delete(hpath, True)
+    return entry
 
 
 # -- snapshots ----------------------------------------------------------------
@@ -189,10 +260,10 @@ def backup(df: DataFrame, root: str, table: str, as_of: str | None = None,
     spark = df.sparkSession
     fmt = fmt or snapshot_format(spark)
     ts = stamp_of(as_of)
-    path = os.path.join(root, "backups", table, ts)
-    write_table(df, path, fmt)
+    path = os.path.join(root, "backups", table, f"{ts}-{uuid.uuid4().hex[:8]}")
+    write_table(df, path, fmt, mode="errorifexists")
     rows = _count_written(spark, path, fmt)
-    entry = {"table": table, "ts": ts, "path": path, "format": fmt, "rows": rows}
+    entry = {"table": table, "ts": ts, "path": path, "format": fmt, "rows": rows, "made_at_ns": time.time_ns()}
     _one_row(spark, entry, MANIFEST).write.mode("append").parquet(manifest_path(root))
     return {"status": "success", "table": table, "backup_uri": path, "timestamp": ts,
             "rows_backed_up": rows}
@@ -205,9 +276,9 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_snapshots(manifest_df: DataFrame) -> DataFrame:
-    """Newest snapshot per table (stamps sort in time order)."""
+    """Newest snapshot per table: by stamp, then by the time it was made."""
     return (manifest_df.groupBy("table")
-            .agg(F.max_by(F.struct("ts", "path", "format", "rows"), "ts").alias("s"))
+            .agg(F.max_by(F.struct("ts", "path", "format", "rows"), F.struct("ts", "made_at_ns")).alias("s"))
             .select("table", "s.ts", "s.path", "s.format", "s.rows"))
 
 
@@ -224,14 +295,11 @@ def find_snapshot(spark: SparkSession, root: str, table: str, ts: str | None = N
 def restore(target: VersionedTable, root: str, ts: str | None = None,
             schema: T.StructType | None = None) -> dict:
     """Replace ``target`` with a snapshot (its schema enforced), as a new
-    version; the row count is checked against the manifest."""
+    version; the row count is checked against the manifest before the commit."""
     snap = find_snapshot(target.spark, root, target.name, ts)
     reader = target.spark.read.format(snap["format"])
     if schema is not None:
         reader = reader.schema(schema)
-    entry = target.commit(reader.load(snap["path"]), "restore")
-    if entry["rows"] != snap["rows"]:
-        raise RuntimeError(f"restore of {target.name} wrote {entry['rows']} rows, "
-                           f"snapshot has {snap['rows']}")
+    entry = target.commit(reader.load(snap["path"]), "restore", expect_rows=snap["rows"])
     return {"status": "success", "table": target.name, "restored_from": snap["path"],
             "rows_restored": entry["rows"]}

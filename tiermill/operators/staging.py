@@ -12,7 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import audit_time, canonical_text, strip_ws, round_to_long
+from ..functions.text import audit_time, canonical_text, round_to_long, safe_timestamp, strip_ws
+
+
+def with_parsed_time(raw: DataFrame) -> DataFrame:
+    """``raw`` with the hire time parsed once, as ``_ts``.  The value comes out
+    of a generator: a plain projection would be inlined into every later filter
+    (the staging rule, a mart's year) and parse the text again in each."""
+    return raw.select("*", F.explode(F.array(safe_timestamp("datetime"))).alias("_ts"))
 
 
 def staging_employees(raw: DataFrame, as_of: str | None = None,
@@ -21,9 +28,9 @@ def staging_employees(raw: DataFrame, as_of: str | None = None,
     rounded to an integer, audit stamp.  ``hired_at`` keeps the parsed time
     (seconds precision) beside the text so that the marts filter on a typed
     column that reaches the parquet reader."""
-    kept = raw.filter(rules.staging_filter(blank_name_to_staging))
-    ts_kept = rules.parsed_datetime()
-    return kept.select(
+    parsed = with_parsed_time(raw)
+    ts_kept = F.col("_ts")
+    return parsed.filter(rules.staging_predicate(ts_kept, blank_name_to_staging)).select(
         F.col("id"),
         strip_ws("name").alias("name"),
         canonical_text(ts_kept).alias("datetime"),
@@ -36,11 +43,12 @@ def staging_employees(raw: DataFrame, as_of: str | None = None,
 
 def quarantine_employees(raw: DataFrame, as_of: str | None = None) -> DataFrame:
     """Rejected raw rows with the first failing rule as the reason."""
-    return raw.filter(rules.quarantine_filter()).select(
+    ts = F.col("_ts")
+    return with_parsed_time(raw).filter(rules.quarantine_predicate(ts)).select(
         "id", "name",
         F.col("datetime").alias("original_datetime_string"),
         "department_id", "job_id",
-        rules.reason().alias("rejection_reason"),
+        rules.quarantine_reason(ts).alias("rejection_reason"),
         audit_time(as_of).alias("quarantined_at"),
     )
 

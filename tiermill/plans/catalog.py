@@ -6,15 +6,21 @@ they are the only non-deterministic columns."""
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_conventions
-from ..sources import feed
-from ..operators import staging, marts
+from .. import schemas
+from ..functions.text import in_year, parse_canonical
+from ..operators import dlq, ingest, marts, quality, snapshots, staging
+from ..session import ensure_conventions, scratch_path
+from ..sources import feed, readers, writers
+from ..sources.readers import testdata
+from ..streaming import ingest_stream
+from . import refresh as refresh_plan, serving
 
 YEAR = feed.FEED_YEAR
 STAGING_COLUMNS = ["id", "name", "datetime", "department_id", "job_id"]
@@ -91,8 +97,6 @@ def q_quarantine_employees(spark, sf_dir):
 
 
 # -- audits and quality checks ----------------------------------------------
-from ..operators import quality  # noqa: E402
-from ..sources.readers import testdata  # noqa: E402
 
 
 @register
@@ -107,9 +111,7 @@ def q_rejected_audit(spark, sf_dir):
 
 @register
 def q_layer_counts(spark, sf_dir):
-    L = layers(spark, sf_dir)
-    return quality.layer_counts(
-        {"raw": L["raw"], "staging": L["staging"], "quarantine": L["quarantine"]}, raw=L["raw"])
+    return quality.layer_counts(layers(spark, sf_dir)["raw"])
 
 
 @register
@@ -159,18 +161,20 @@ def q_staging_checks(spark, sf_dir):
 
 
 # -- record-batch ingest -----------------------------------------------------
-from ..operators import ingest  # noqa: E402
 
 
-def evaluated_feed(spark, sf_dir):
+def requests(spark, sf_dir):
     ensure_conventions(spark)
-    return ingest.evaluate(feed.record_feed(spark, sf_dir))
+    return ingest.read_requests(feed.request_lines(spark, sf_dir))
+
+
+def evaluated_feed(spark, sf_dir):
+    return ingest.evaluate(requests(spark, sf_dir))
 
 
 @register
 def q_batch_guard(spark, sf_dir):
-    ensure_conventions(spark)
-    return ingest.batch_verdicts(feed.record_feed(spark, sf_dir))
+    return ingest.batch_verdicts(requests(spark, sf_dir))
 
 
 @register
@@ -188,23 +192,28 @@ def q_ingest_rejected(spark, sf_dir):
     return ingest.rejected_records(evaluated_feed(spark, sf_dir))
 
 
+@register
+def q_dlq_all_rejects(spark, sf_dir):
+    """Every record that was not stored, those of rejected requests included,
+    as the dead-letter sink holds them."""
+    path = dlq.write_rejects(ingest.all_rejects(evaluated_feed(spark, sf_dir)), run_root(spark), "r0", as_of=AS_OF)
+    return readers.read_table(spark, path, fmt="json", schema=DLQ_LINE).select(*[f.name for f in DLQ_LINE.fields])
+
+
 @register
 def q_ingest_summary(spark, sf_dir):
     return ingest.summary(evaluated_feed(spark, sf_dir))
 
 
 # -- sinks, dead-letter queue, snapshots ---------------------------------------
-import uuid  # noqa: E402
-
-from .. import schemas  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import readers, writers  # noqa: E402
-from ..operators import dlq, snapshots  # noqa: E402
 
 AS_OF = "2024-01-01 00:00:00"
 AS_OF_LATER = "2024-01-02 00:00:00"
 DELETE_ABOVE_ID = 4540
+NEW_IDS_ABOVE = feed.LONG_ID  # the 19-digit ids of the request lines
 RAW_COLUMNS = [f.name for f in schemas.RAW_EMPLOYEES.fields]
+DLQ_LINE = T.StructType([T.StructField("table", T.StringType()), T.StructField("batch_id", T.StringType()),
+                         *schemas.REJECTED_RECORD.fields])
 
 
 def run_root(spark) -> str:
@@ -241,8 +250,7 @@ def q_json_append(spark, sf_dir):
 def q_dlq_roundtrip(spark, sf_dir):
     rejected = q_ingest_rejected(spark, sf_dir)
     path = dlq.write_rejects(rejected, run_root(spark), "r0", as_of=AS_OF)
-    return readers.read_table(spark, path, fmt="json").select(
-        "table", "batch_id", "index", "record", "error", "error_type")
+    return readers.read_table(spark, path, fmt="json", schema=DLQ_LINE).select(*[f.name for f in DLQ_LINE.fields])
 
 
 @register
@@ -317,6 +325,37 @@ def q_upsert_by_id(spark, sf_dir):
     return table.read()
 
 
+@register
+def q_upsert_twice(spark, sf_dir):
+    """The same batch upserted twice, rows with a null key included: the second
+    time changes nothing."""
+    table = _raw_table(spark, sf_dir)
+    batch = q_ingest_valid(spark, sf_dir).withColumn("job_id", F.col("job_id").cast("double"))
+    nameless = layers(spark, sf_dir)["raw"].filter(F.col("id").isNull()).select(
+        "*", F.lit("nameless").alias("batch_id"), F.lit(0).cast("bigint").alias("index"))
+    for _ in range(2):
+        snapshots.upsert(table, batch.unionByName(nameless), "id", ["batch_id", "index"])
+    return table.read()
+
+
+@register
+def q_ingest_to_mart(spark, sf_dir):
+    """Requests -> valid records appended to the raw table -> staging -> the
+    quarterly mart over all raw rows, stored and ingested."""
+    root = run_root(spark)
+    t = refresh_plan.tables(spark, root)
+    for name, df in feed.raw_layer(spark, sf_dir).items():
+        snapshots.overwrite(t[f"raw/{name}"], df)
+    for name in ("employees", "departments", "jobs"):
+        want = schemas.RAW[name]
+        valid = ingest.valid_records(evaluated_feed(spark, sf_dir), name)
+        # ids that the raw layer does not have yet
+        fresh = valid.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want.fields]).filter(F.col("id") > NEW_IDS_ABOVE)
+        snapshots.append(t[f"raw/{name}"], fresh, want)
+    refresh_plan.refresh(spark, {}, root, YEAR)
+    return serving.quarterly_hires(t["marts/quarterly_hires"].read())
+
+
 @register
 def q_row_counts(spark, sf_dir):
     """Row counts of the stored raw tables, read from their commit logs."""
@@ -331,13 +370,11 @@ def q_row_counts(spark, sf_dir):
 
 
 # -- serving, streaming ingest, full refresh --------------------------------------
-from . import refresh as refresh_plan, serving  # noqa: E402
-from ..streaming import ingest_stream  # noqa: E402
 
 
 def _published(spark, sf_dir):
     root = run_root(spark)
-    refresh_plan.refresh(spark, feed.raw_layer(spark, sf_dir), root, YEAR, gate=False)
+    refresh_plan.refresh(spark, feed.raw_layer(spark, sf_dir), root, YEAR)
     return root, refresh_plan.tables(spark, root)
 
 
@@ -366,33 +403,58 @@ def q_full_refresh(spark, sf_dir):
     return refresh_plan.table_counts(spark, root)
 
 
+@register
+def q_gate_blocked(spark, sf_dir):
+    """A refresh over raw rows of which some ids stand twice: the gate raises;
+    the check rows, and how many mart versions there are (none)."""
+    raw = feed.raw_layer(spark, sf_dir)
+    raw["employees"] = raw["employees"].unionByName(raw["employees"].filter(F.col("id") % 100 == 1))
+    root = run_root(spark)
+    try:
+        refresh_plan.refresh(spark, raw, root, YEAR)
+        rows = []
+    except quality.QualityGateError as exc:
+        rows = exc.rows
+    marts_made = sum(t.current() is not None for n, t in refresh_plan.tables(spark, root).items() if n.startswith("marts/"))
+    return spark.createDataFrame(rows, "check string, failures long, blocking boolean, passed boolean").withColumn(
+        "mart_versions", F.lit(marts_made).cast("bigint"))
+
+
+@register
+def q_layer_by_name(spark, sf_dir):
+    """The staging layer of a refresh, read by its catalog name."""
+    prefix = "run_" + uuid.uuid4().hex[:12]
+    refresh_plan.refresh(spark, feed.raw_layer(spark, sf_dir), run_root(spark), YEAR, catalog_prefix=prefix)
+    return readers.read_table(spark, schemas.table_name("staging", "employees", prefix)).select(*STAGING_COLUMNS)
+
+
+@register
+def q_staging_hired_at(spark, sf_dir):
+    """The hire time read back, strictly, from the canonical text."""
+    return layers(spark, sf_dir)["staging"].select("id", parse_canonical("datetime").alias("hired_at"))
+
+
 @register
 def q_stream_ingest(spark, sf_dir):
-    """availableNow stream over record files = the batch ingest."""
+    """availableNow stream over request files = the batch ingest."""
     ensure_conventions(spark)
     root = run_root(spark)
-    source = ingest_stream.write_feed(feed.record_feed(spark, sf_dir), root + "/incoming")
+    source = ingest_stream.write_lines(feed.request_lines(spark, sf_dir), root + "/incoming")
     ingest_stream.run_available(spark, source, root + "/out", root + "/_checkpoint")
     return ingest_stream.ingested(spark, root + "/out", "employees").drop("batch")
 
 
 @register
 def q_above_mean_subquery(spark, sf_dir):
-    """Departments above the mean, in the naive SQL shape: a scalar subquery
-    in WHERE (Spark runs it once; it must equal ``dept_performance``)."""
+    """Departments above the mean with an uncorrelated scalar subquery in SQL
+    (Spark runs it once; it must equal ``dept_performance``)."""
     L = layers(spark, sf_dir)
-    return spark.sql(f"""
-        WITH dept_hires AS (
-          SELECT d.id, d.department, COUNT(*) AS hired
-          FROM {{stg}} e JOIN {{dep}} d ON e.department_id = d.id
-          WHERE e.hired_at >= TIMESTAMP '{YEAR}-01-01 00:00:00'
-            AND e.hired_at < TIMESTAMP '{YEAR + 1}-01-01 00:00:00'
-          GROUP BY d.id, d.department)
-        SELECT id, department, hired,
-               ROUND((SELECT AVG(hired) FROM dept_hires), 2) AS mean_hired,
-               ROUND(hired - (SELECT AVG(hired) FROM dept_hires), 2) AS diff_from_mean
-        FROM dept_hires
-        WHERE hired > (SELECT AVG(hired) FROM dept_hires)""", stg=L["staging"], dep=L["departments"])
+    per_key = L["staging"].filter(in_year("hired_at", YEAR)).groupBy("department_id").agg(F.count(F.lit(1)).alias("hired"))
+    hires = per_key.join(L["departments"], per_key["department_id"] == F.col("id")).groupBy("id", "department").agg(F.sum("hired").alias("hired"))
+    return spark.sql("""
+        SELECT id, department, hired, round(mean, 2) AS mean_hired, round(hired - mean, 2) AS diff_from_mean
+        FROM (SELECT *, (SELECT sum(hired) / count(hired) FROM {hires}) AS mean FROM {hires})
+        WHERE hired > mean""", hires=hires)
 
 
 @register

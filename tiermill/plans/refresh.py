@@ -6,6 +6,8 @@ step starts from a cut lineage and a failed step leaves the published
 versions untouched.  The blocking checks run on staging *before* the marts
 are published.  Tables of one step do not depend on each other and are
 written by concurrent jobs, so small dimension writes overlap the large ones.
+Raw tables that are stored already (by an ingest that appends to them) are taken
+as they are: ``raw`` names only those to replace.
 """
 
 from __future__ import annotations
@@ -40,13 +42,21 @@ def publish(spark: SparkSession, name: str, table: VersionedTable, prefix: str =
     commit), so the layers can be read by name and from SQL."""
     layer, short = name.split("/", 1)
     fq = schemas.table_name(layer, short, prefix)
-    path = table.current()["path"]
+    paths = table.current()["paths"]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schemas.schema_name(layer, prefix=prefix)}")
-    if spark.catalog.tableExists(fq):
-        spark.sql(f"ALTER TABLE {fq} SET LOCATION '{path}'")
+    known = spark.catalog.getTable(fq).tableType if spark.catalog.tableExists(fq) else None
+    if known is not None and (known == "VIEW") != (len(paths) > 1):
+        spark.sql(f"DROP {'VIEW' if known == 'VIEW' else 'TABLE'} {fq}")  # external: no data goes
+        known = None
+    if len(paths) > 1:  # a table that was appended to
+        parts = " UNION ALL ".join(f"SELECT * FROM {table.fmt}.`{p}`" for p in paths)
+        spark.sql(f"CREATE OR REPLACE VIEW {fq} AS {parts}")
+        return fq
+    if known:
+        spark.sql(f"ALTER TABLE {fq} SET LOCATION '{paths[0]}'")
         spark.catalog.refreshTable(fq)
     else:
-        spark.sql(f"CREATE TABLE {fq} USING {table.fmt} LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE {fq} USING {table.fmt} LOCATION '{paths[0]}'")
     if table.partition_by:
         spark.sql(f"MSCK REPAIR TABLE {fq}")
     return fq
@@ -56,9 +66,9 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, year: int
             as_of: str | None = None, gate: bool = True,
             blank_name_to_staging: bool = True, catalog_prefix: str | None = None) -> dict:
     """Run the whole refresh; returns the commit entry of every table and
-    the check rows.  Raises QualityGateError (marts unpublished) when a
-    blocking check fails and ``gate`` is on.  With ``catalog_prefix`` every
-    table is also published to the session catalog after its commit."""
+    the check rows.  Raises QualityGateError (no mart version, no name moved)
+    when a blocking check fails and ``gate`` is on.  With ``catalog_prefix``
+    every table is published to the session catalog at the end."""
     ensure_conventions(spark)
     t = tables(spark, root)
     out = {}
@@ -68,11 +78,10 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, year: int
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
             futures = {name: pool.submit(overwrite, t[name], df) for name, df in writes.items()}
             out.update({name: f.result() for name, f in futures.items()})
-        if catalog_prefix:
-            for name in writes:
-                publish(spark, name, t[name], catalog_prefix)
 
-    step({f"raw/{name}": df for name, df in raw.items()})
+    writes = {f"raw/{name}": df for name, df in raw.items()}
+    if writes:
+        step(writes)
 
     raw_emp = t["raw/employees"].read()
     step({
@@ -92,6 +101,9 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, year: int
           "marts/dept_performance": marts.dept_performance(stg, deps, year)})
     out["dlq/quarantine"] = dlq.write_quarantine_export(
         t["quarantine/employees"].read(), root, as_of)
+    if catalog_prefix:
+        for name, table in t.items():
+            publish(spark, name, table, catalog_prefix)
     return {"commits": out, "checks": check_rows}
 
 

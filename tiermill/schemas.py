@@ -79,13 +79,12 @@ REJECTED_RECORD = T.StructType([
     T.StructField("error_type", T.StringType()),
 ])
 
-# The flat record feed an ingest reads: one JSON record per row, with its
-# target table, its batch and the producer's sequence number in the batch.
-RECORD_FEED = T.StructType([
+# A request line: a table, a batch and its records, each kept as JSON text.
+REQUEST = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("batch_id", T.StringType()),
-    T.StructField("seq", T.LongType()),
-    T.StructField("record", T.StringType()),
+    T.StructField("data", T.ArrayType(T.StringType())),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 
 

@@ -59,11 +59,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and versioned tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system path
-    named by the deployment).  Only when it is unset -- local runs and
-    tests -- a scratch folder is created and recorded in the session.
+    named by the deployment), and a session without it raises: a folder of one
+    machine would not be seen by the others.  On a local master a scratch
+    folder is created and recorded in the session.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
         path = tempfile.mkdtemp(prefix="tiermill-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -74,16 +78,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), *parts)
-
-
-def spread_if_narrow(df):
-    """Round-robin ``df`` over the cluster's task slots when it has fewer
-    partitions than slots (a small input stored as one file), before costly
-    per-row work.  Large inputs already have more splits than slots and are
-    left as they are, so this never adds a shuffle at scale.  Call it on a
-    scan-side frame: counting partitions plans the frame (and would run the
-    broadcasts of a frame that has broadcast joins)."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df

@@ -9,9 +9,7 @@ reason occurs.  The same rule is written in the oracle SQL.
 
 from __future__ import annotations
 
-import functools
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .readers import testdata
@@ -27,10 +25,8 @@ HIRE_TIME = "T10:20:30Z"
 FEED_YEAR = 1997
 
 
-@functools.cache
 def employee_columns() -> tuple:
-    """The raw employee fields as expressions over an orders row (built once
-    per process: a Column is an immutable, unresolved expression tree)."""
+    """The raw employee fields as expressions over an orders row."""
     k = F.col("o_orderkey")
     none = F.lit(None)
     return (
@@ -74,27 +70,64 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "jobs": raw_jobs(spark, sf_dir)}
 
 
-def record_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mixed ingest feed (table, batch_id, seq, record) over the driver's
-    tables: every raw employee of :func:`raw_employees` as a JSON record
-    (null fields left out) batched per customer, every nation as a
-    department batched per region, every part as a job batched per brand,
-    and every supplier addressed to a table the ingest does not know,
-    batched per nation."""
-    def records(name, table, batch_prefix, batch_col, seq_col, fields):
-        return testdata(spark, sf_dir, name).select(
-            F.lit(table).alias("table"),
-            F.concat(F.lit(batch_prefix), F.col(batch_col).cast("string")).alias("batch_id"),
-            F.col(seq_col).cast("bigint").alias("seq"),
-            F.to_json(F.struct(*fields)).alias("record"))
-
-    emp = records("orders", "employees", "customer-", "o_custkey", "o_orderkey",
-                  employee_columns())
-    dep = records("nation", "departments", "region-", "n_regionkey", "n_nationkey",
-                  [F.col("n_nationkey").cast("bigint").alias("id"),
-                   F.col("n_name").alias("department")])
-    job = records("part", "jobs", "brand-", "p_brand", "p_partkey",
-                  [F.col("p_partkey").alias("id"), F.col("p_name").alias("job")])
-    sup = records("supplier", "suppliers", "nation-", "s_nationkey", "s_suppkey",
-                  [F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")])
-    return emp.unionByName(dep).unionByName(job).unionByName(sup)
+# Fixed values of the request lines: the key ranges that bound a batch (orders
+# have narrow ones, and in every fourth wide range one batch over the limit), and
+# the divisors of the order key that give a record an unusual token.
+ORDERS_BLOCK, ORDERS_WIDE, PARTS_BLOCK, SUPPLIERS_BLOCK = 750, 6000, 400, 500
+TOKEN_LONG_ID, TOKEN_TEXT_ID, TOKEN_HUGE_ID = 61, 43, 59
+TOKEN_NUMBER_NAME, TOKEN_OBJECT_NAME, TOKEN_NO_OBJECT = 53, 47, 41
+LONG_ID, HUGE_ID = 1_000_000_000_000_000_000, "99999999999999999999"
+
+
+def employee_record() -> Column:
+    """A raw employee as JSON text, null fields left out; some keys have a
+    19-digit id, an id in quotes, an id beyond a long, a name that is a number or
+    an object, or are no object at all."""
+    k = F.col("o_orderkey")
+    fields = dict(zip(("id", "name", "datetime", "department_id", "job_id"), employee_columns(), strict=True))
+
+    def quoted(c: Column) -> Column:
+        return F.concat(F.lit('"'), c, F.lit('"'))
+
+    text = {n: c.cast("string") for n, c in fields.items()}
+    token = {
+        "id": F.when(k % TOKEN_LONG_ID == 0, (F.lit(LONG_ID) + k).cast("string")).when(k % TOKEN_TEXT_ID == 0, quoted(text["id"]))
+               .when(k % TOKEN_HUGE_ID == 0, F.lit(HUGE_ID)).otherwise(text["id"]),
+        "name": F.when(k % TOKEN_NUMBER_NAME == 0, F.lit("5")).when(k % TOKEN_OBJECT_NAME == 0, F.lit('{"first":"x"}')).otherwise(quoted(text["name"])),
+        "datetime": quoted(text["datetime"]), "department_id": text["department_id"], "job_id": text["job_id"],
+    }
+    body = F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), t) for n, t in token.items()])
+    return F.when(k % TOKEN_NO_OBJECT == 0, F.lit("[1]")).otherwise(F.concat(F.lit("{"), body, F.lit("}")))
+
+
+def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request lines (column ``value``) over the driver's tables: every raw
+    employee, nation, part and supplier as a record, every row kept.  A batch is
+    a range of the table's unique key, so its records are bounded whatever the
+    size of the table.  The regions add one line of each other kind: a null
+    table, no batch id, no records, malformed text, and no ``data``."""
+    def requests(name: str, table: str, batch: Column, key: str, record: Column) -> DataFrame:
+        rows = testdata(spark, sf_dir, name).select(batch.alias("batch"), F.col(key).cast("bigint").alias("key"), record.alias("record"))
+        lists = rows.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("key", "record"))).alias("r"))
+        return lists.select(F.concat(F.lit(f'{{"table":"{table}","batch_id":"'), "batch", F.lit('","data":['),
+                                     F.array_join("r.record", ","), F.lit("]}")).alias("value"))
+
+    def block(prefix: str, key: str, size: int) -> Column:
+        return F.concat(F.lit(prefix), F.floor(F.col(key) / size).cast("string"))
+
+    wide = F.floor(F.col("o_orderkey") / ORDERS_WIDE)
+    orders = F.when(wide % 4 == 3, block("orders-wide-", "o_orderkey", ORDERS_WIDE)).otherwise(block("orders-", "o_orderkey", ORDERS_BLOCK))
+    regions = testdata(spark, sf_dir, "region").select(F.element_at(F.array(
+        F.lit('{"table":null,"batch_id":"region-0","data":[{"id":1,"department":"North"},{"id":2,"department":"South"}]}'),
+        F.lit('{"table":"departments","data":[{"id":3,"department":"East"}]}'),
+        F.lit('{"table":"jobs","batch_id":"region-2","data":[]}'),
+        F.lit('{"table":"jobs","batch_id":"region-3","data":[{"id":4,'),
+        F.lit('{"table":"jobs","batch_id":"region-4"}')), (F.col("r_regionkey") % 5 + 1).cast("int")).alias("value"))
+    return (requests("orders", "employees", orders, "o_orderkey", employee_record())
+            .unionByName(requests("nation", "departments", block("region-", "n_regionkey", 1), "n_nationkey",
+                                  F.to_json(F.struct(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("department")))))
+            .unionByName(requests("part", "jobs", block("parts-", "p_partkey", PARTS_BLOCK), "p_partkey",
+                                  F.to_json(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("job")))))
+            .unionByName(requests("supplier", "suppliers", block("suppliers-", "s_suppkey", SUPPLIERS_BLOCK), "s_suppkey",
+                                  F.to_json(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")))))
+            .unionByName(regions))

@@ -1,70 +1,69 @@
-"""Record-file ingest as a Structured Streaming query.
-
-New JSON-lines record files under ``source`` are read as a stream; each
-micro-batch is validated with the batch rules and split in ``foreachBatch``:
-rejects go to the dead-letter sink first, then valid records are written per
-table.  Every output directory is keyed by the micro-batch id and written
-with overwrite, so a replayed micro-batch (after a failure between the sink
-write and the checkpoint commit) rewrites the same files: exactly-once
-output on top of the at-least-once ``foreachBatch``.
-
-A producer writes each record batch into a single file, so a micro-batch --
-which takes whole files -- never splits a record batch.
+"""Request-file ingest as a Structured Streaming query.
+
+New files of request lines under ``source`` are read as a stream.  A request is
+one line, and all rules are rules of a line, so the outputs do not depend on how
+the trigger groups files.  Each micro-batch is evaluated once and written to
+``<root>/evaluated``; the dead letters are written from there first, then valid
+records per table, the summary and the verdicts, by concurrent jobs.  Every
+output directory is keyed by the micro-batch id and written with overwrite, so a
+replayed micro-batch (after a failure between the sink write and the checkpoint
+commit) rewrites the same files: exactly-once output on top of the at-least-once
+``foreachBatch``.
 """
 
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from .. import schemas
+from pyspark.sql import functions as F
+
 from ..functions import rules
 from ..operators import dlq, ingest
 from ..sources.writers import write_table
 
-FEED_SCHEMA = schemas.RECORD_FEED
+# Files of a micro-batch, unless a bound in bytes is given; either only sets how
+# much is evaluated at a time.
+MAX_FILES_PER_TRIGGER = 1000
 
 
-def write_feed(feed: DataFrame, path: str, files: int | None = None) -> str:
-    """Write a record feed as JSON-lines files, each record batch whole in
-    one file (the layout a producer of batches writes); ``files`` fixes the
-    number of files, otherwise the shuffle's partitioning decides."""
-    parts = (feed.repartition(files, "table", "batch_id") if files
-             else feed.repartition("table", "batch_id"))
-    parts.sortWithinPartitions("table", "batch_id", "seq").write.mode("overwrite").json(path)
+def write_lines(lines: DataFrame, path: str, files: int | None = None) -> str:
+    """Write request lines (column ``value``) as text files."""
+    (lines.repartition(files) if files else lines).write.mode("overwrite").text(path)
     return path
 
 
 def process_batch(root: str, as_of: str | None = None):
     def run(batch: DataFrame, batch_id: int) -> None:
-        evaluated = ingest.evaluate(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            dlq.write_rejects(ingest.rejected_records(evaluated), root, f"{batch_id:010d}", as_of)
-            for table in rules.MODELS:
-                write_table(ingest.valid_records(evaluated, table),
-                            os.path.join(root, "raw", table, f"batch={batch_id:010d}"))
-            write_table(ingest.summary(evaluated),
-                        os.path.join(root, "ingest_summary", f"batch={batch_id:010d}"))
-            write_table(ingest.batch_verdicts(batch).filter("NOT accepted"),
-                        os.path.join(root, "rejected_batches", f"batch={batch_id:010d}"))
-        finally:
-            evaluated.unpersist()
+        part = f"batch={batch_id:010d}"
+
+        def to(name: str, df: DataFrame) -> str:
+            return write_table(df, os.path.join(root, name, part))
+
+        spark = batch.sparkSession
+        evaluated = spark.read.parquet(to("evaluated", ingest.evaluate(ingest.read_requests(batch.select("value")))))
+        dlq.write_rejects(ingest.all_rejects(evaluated), root, f"{batch_id:010d}", as_of)
+        outputs = {f"raw/{t}": ingest.valid_records(evaluated, t) for t in rules.MODELS}
+        outputs["ingest_summary"] = ingest.summary(evaluated)
+        outputs["rejected_batches"] = (evaluated.filter(F.col("request_error").isNotNull())
+                                       .groupBy(*ingest.BATCH_KEY, F.col("request_error").alias("error"))
+                                       .agg(F.count("index").alias("n_records")))
+        with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+            for done in [pool.submit(to, name, df) for name, df in outputs.items()]:
+                done.result()
     return run
 
 
-# Files per micro-batch.  Each micro-batch's evaluation is persisted while
-# its outputs are written, so a backlog must be split into bounded batches
-# rather than taken in one.
-MAX_FILES_PER_TRIGGER = 1000
-
-
 def run_available(spark: SparkSession, source: str, root: str, checkpoint: str,
-                  max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, as_of: str | None = None):
-    """Ingest every record file present now, then stop (availableNow), in
-    micro-batches of at most ``max_files_per_trigger`` files."""
-    reader = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-    query = (reader.json(source).writeStream
+                  max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+                  max_bytes_per_trigger: str | None = None, as_of: str | None = None):
+    """Ingest every request file present now, then stop (availableNow), in
+    micro-batches bounded by files or, if given, by bytes (Spark takes one of
+    the two bounds)."""
+    limit = ({"maxBytesPerTrigger": max_bytes_per_trigger} if max_bytes_per_trigger
+             else {"maxFilesPerTrigger": max_files_per_trigger})
+    query = (spark.readStream.options(**limit).text(source).writeStream
              .foreachBatch(process_batch(root, as_of))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
