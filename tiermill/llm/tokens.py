@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
-#: Words held at a time by a task.
-HELD = 120_000
+#: Words that a worker holds at a time: as many again of those it held before.
+HELD = 150_000
 
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
@@ -42,10 +43,12 @@ class WordIds:
         first = cuts.get("pretokenizers", [{}])[0]
         self.by_word = [x.get("type") for x in steps.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] \
             and first.get("pattern") == {"Regex": _PATTERN} and bool(first.get("invert")) and isinstance(self.full.model, BPE)
-        self.special = [x.content.encode()[:2] for x in self.full.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(re.escape(x.content.encode()[:2]) for x in self.full.get_added_tokens_decoder().values()) or b"(?!)")
         self.model, self.letters = self.full.model, _byte_letters()
         self.words: dict[bytes, bytes] = {}
+        self.words_before: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.parts_before: dict[str, bytes] = {}
 
     def _all(self, text: str) -> bytes:
         return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -53,21 +56,25 @@ class WordIds:
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            shown = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
-            ids = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(shown))
+            ids = self.parts_before.get(part)
+            if ids is None:
+                shown = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+                ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
             if len(self.parts) >= HELD:
-                self.parts.clear()
+                self.parts_before, self.parts = self.parts, {}
             self.parts[part] = ids
         return ids
 
     def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if _PLAIN.fullmatch(text) and not any(s in word for s in self.special):
-            ids = b"".join(map(self._part, _PARTS.findall(text.lower())))
-        else:
-            ids = self._all(text)
+        ids = self.words_before.get(word)
+        if ids is None:
+            text = word.decode()
+            if _PLAIN.fullmatch(text) and not self.special.search(word):
+                ids = b"".join(map(self._part, _PARTS.findall(text.lower())))
+            else:
+                ids = self._all(text)
         if len(self.words) >= HELD:
-            self.words.clear()
+            self.words_before, self.words = self.words, {}
         self.words[word] = ids
         return ids
 
