@@ -141,7 +141,8 @@ def substring_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     ignored, whatever their names.
     """
     block = (window + 1) // 2
-    parts = groups = 2 * partitions(df.sparkSession)
+    parts = partitions(df.sparkSession)
+    groups = 2 * parts
     docs = df.select(F.pmod(F.xxhash64(F.col(doc_id)), F.lit(groups)).cast("int").alias("g"),
                      F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
