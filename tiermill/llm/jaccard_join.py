@@ -9,7 +9,8 @@ Light sets (few shingles): two sets of sizes m <= n are similar exactly if they
 share ``c(m, n)`` shingles, so each set enumerates its subsets of that size for
 every size it may meet, and equal subsets are links.  Heavy sets: two similar
 sets share one of their first ``n - need(n) + 1`` shingles, so each set scans
-the inverted lists of those.  The boundary between the two is the size at which
+the inverted lists of those; two sets that meet there are compared only if both
+have enough shingles from that one on (positional filter).  The boundary between the two is the size at which
 the estimated number of subsets and list entries together is least; any boundary
 gives the same links.
 
@@ -68,7 +69,10 @@ def shingles(texts: list[bytes | None], size: int) -> tuple[np.ndarray, np.ndarr
 
 _RANGES = "part int, ids binary, owner binary, value binary"
 _SHARED = "g int, ids binary, value binary, n binary"
-SETS = "doc_id long, n long, shared long, score double, toks array<long>"
+SETS = "doc_id long, n long, shared long, score double, s0 long, s1 long, s2 long, s3 long, toks array<long>"
+#: Parities of the shared shingles that fall on each of 256 bits: two sets differ
+#: in at least as many shingles as their parities differ in bits.
+PARITY = ("s0", "s1", "s2", "s3")
 
 
 def _table(rows: list[tuple], schema: str) -> pa.Table:
@@ -87,7 +91,8 @@ def shingle_sets(df: DataFrame, text: str, doc_id: str, size: int, percent: int)
     """One row for each distinct id: the number of shingles n, how many of them
     another document shares and, if those could reach similarity, their hashes in
     the global order with ``score``, the documents that have the prefix."""
-    ranges = groups = 2 * partitions(df.sparkSession)
+    groups = partitions(df.sparkSession)
+    ranges = 2 * groups
 
     def split(batches):
         for b in batches:
@@ -152,8 +157,11 @@ def shingle_sets(df: DataFrame, text: str, doc_id: str, size: int, percent: int)
         keep = able[own]
         lengths = np.where(able, shared, 0)
         toks = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(h[keep].view(np.int64)))
+        bit = mix(h ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(255)
+        parity = np.zeros((4, len(ids)), dtype=np.uint64)
+        np.bitwise_xor.at(parity, ((bit >> np.uint64(6)).astype(np.int64), own), np.uint64(1) << (bit & np.uint64(63)))
         return pa.table({"doc_id": pa.array(ids.view(np.int64)), "n": pa.array(total), "shared": pa.array(shared.astype(np.int64)),
-                         "score": pa.array(score), "toks": toks})
+                         "score": pa.array(score), **{c: pa.array(x.view(np.int64)) for c, x in zip(PARITY, parity, strict=True)}, "toks": toks})
 
     docs = df.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sets = (docs.mapInArrow(split, _RANGES).groupBy("part").applyInArrow(share, _SHARED)
@@ -226,9 +234,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
-def _near(a: str, b: str, percent: int):
-    """Sizes that similar sets can have."""
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b))
+#: What is known of a list's member, and its names for the other one of a pair.
+_MEMBER = ("c", "n", "own", "rest", *PARITY)
+_OTHER = {c: f"{c}_b" for c in _MEMBER}
+
+
+def _possible(most: int, percent: int):
+    """Whether two sets that meet at a shingle can be similar, by their sizes, by
+    how many shingles each has from this one on (if it is the first that they
+    share, no more can be in the intersection), and by the shingles in which they
+    must differ: those that only one document has, and one for each parity."""
+    need = F.ceil(F.lit(percent) * (F.col("n") + F.col("n_b")) / (100 + percent))
+    differ = F.col("own") + F.col("own_b")
+    for p in PARITY:
+        differ = differ + F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_b")))
+    return ((100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")) & (F.greatest("n", "n_b") > most)
+            & (F.least("rest", "rest_b") >= need) & (differ <= F.col("n") + F.col("n_b") - 2 * need))
 
 
 def jaccard_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 4, percent: int = 85) -> DataFrame:
@@ -242,7 +263,7 @@ def jaccard_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", s
     with a null component.  Other columns are ignored, whatever their names.
     """
     sets = cut(shingle_sets(df, text, doc_id, size, percent))
-    able = sets.where(F.size("toks") > 0).select("doc_id", "n", "score", "toks")
+    able = sets.where(F.size("toks") > 0).select("doc_id", "n", "score", (F.col("n") - F.col("shared")).alias("own"), *PARITY, "toks")
     prefix = F.slice("toks", 1, F.greatest(F.lit(0), F.size("toks") - F.floor((F.lit(percent) * F.col("n") + 99) / 100) + 1).cast("int"))
 
     shape = able.select(F.when(F.col("n") <= LIGHT_MOST, F.col("n")).alias("n"), F.size(prefix).alias("k"))
@@ -253,13 +274,15 @@ def jaccard_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", s
         entries = able.select(F.explode(prefix).alias("tok")).agg(F.count(F.lit(1)), F.approx_count_distinct("tok")).first()
         most = boundary({r[0]: r[1] for r in counts if r[0] is not None}, entries[0] / max(1, entries[1]), percent)
         heavy = able.where(100 * F.col("n") >= percent * (most + 1))
-        lists = cut(heavy.select(F.explode(prefix).alias("tok"), F.col("doc_id").alias("doc"), "n", "score"))
+        # own: shingles that no other document has; rest: shingles from this one on, in the global order
+        lists = (heavy.select(F.posexplode(prefix).alias("i", "tok"), F.col("doc_id").alias("doc"), "n", "score", "own", F.size("toks").alias("k"), *PARITY)
+                 .select("tok", "doc", "n", "score", "own", (F.col("k") - F.col("i")).alias("rest"), *PARITY))
         links = cut(_verified(_light_pairs(able, most, percent).select(F.col("doc").alias("a"), F.col("other").alias("b")), able, percent)
                     .union(_verified(_starred(lists.withColumn("c", F.col("doc")), most, percent), able, percent)))
         labels = cut(components(links))
         for last in (False, True):
             marked = lists.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
-                "tok", "doc", "n", "score", F.coalesce("root", "doc").alias("c"))
+                *lists.columns, F.coalesce("root", "doc").alias("c"))
             split = marked.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("tok")
             marked = cut(marked.join(split, "tok"))
             pairs = _across(marked, most, percent) if last else _starred(marked, most, percent, other=True)
@@ -287,13 +310,13 @@ def _starred(lists: DataFrame, most: int, percent: int, other: bool = False) ->
     """Pairs of each list's members with its most central one (the one whose
     rarest shingles most documents have), in other classes than its own.  With
     ``other`` the centre is the most central outside the class of that one."""
-    rank = F.struct(F.col("score"), (-F.col("doc")).alias("r"), F.col("c"), F.col("n"))
+    rank = F.struct(F.col("score"), (-F.col("doc")).alias("r"), *_MEMBER)
     centre = lists.groupBy("tok").agg(F.max(rank).alias("x"))
     if other:
         first = lists.join(centre, "tok").where(F.col("c") != F.col("x.c")).drop("x")
         centre = first.groupBy("tok").agg(F.max(rank).alias("x"))
-    centre = centre.select("tok", (-F.col("x.r")).alias("b"), F.col("x.c").alias("cb"), F.col("x.n").alias("nb"))
-    met = lists.join(centre, "tok").where((F.col("c") != F.col("cb")) & _near("n", "nb", percent) & (F.greatest("n", "nb") > most))
+    centre = centre.select("tok", (-F.col("x.r")).alias("b"), *[F.col(f"x.{c}").alias(o) for c, o in _OTHER.items()])
+    met = lists.join(centre, "tok").where((F.col("c") != F.col("c_b")) & _possible(most, percent))
     return met.select(F.col("doc").alias("a"), "b").distinct()
 
 
@@ -303,7 +326,6 @@ def _across(lists: DataFrame, most: int, percent: int) -> DataFrame:
     share = lists.groupBy("tok", "c").count()
     main = share.groupBy("tok").agg(F.max(F.struct("count", "c")).alias("x")).select("tok", F.col("x.c").alias("main"))
     told = cut(lists.join(main, "tok"))
-    rest = told.where("c != main").select("tok", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    met = told.join(rest, "tok").where((F.col("c") != F.col("cb")) & ((F.col("c") == F.col("main")) | (F.col("doc") < F.col("b"))))
-    return met.where(_near("n", "nb", percent) & (F.greatest("n", "nb") > most)).select(
-        F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b")).distinct()
+    others = told.where("c != main").select("tok", F.col("doc").alias("b"), *[F.col(c).alias(o) for c, o in _OTHER.items()])
+    met = told.join(others, "tok").where((F.col("c") != F.col("c_b")) & ((F.col("c") == F.col("main")) | (F.col("doc") < F.col("b"))) & _possible(most, percent))
+    return met.select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b")).distinct()
