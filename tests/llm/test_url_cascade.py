@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE
 from harness import compare, duck
+from tiermill.llm import catalog
 from tiermill.llm.catalog import ORACLE, QUERIES
-from tiermill.llm.url_cascade import build_cascade, is_listed, rule_of, split_url
+from tiermill.llm.url_cascade import Cascade, build_cascade, first_listed, is_listed, rule_keys, rule_of, split_url
 
 
 def test_query_equals_sql(spark):
@@ -48,3 +49,26 @@ def test_hosts_paths_and_rules(spark):
     rows = spark.createDataFrame([(u,) for u in given], "url string").select("url", host.alias("host"), path.alias("path"))
     got = {r.url: (r.host, r.path, r.rule) for r in rows.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).collect()}
     assert got == given
+
+
+def test_cascade_decides_the_rules(spark, monkeypatch):
+    rows = {r.page_id: (r.rule, r.verdict) for r in QUERIES["op4_url_cascade"](spark, SF_ORACLE).collect()}
+    assert {v for _, v in rows.values()} == {"block", "allow"}
+    monkeypatch.setattr(catalog, "build_cascade", lambda *_: Cascade([]))
+    without = {r.page_id: (r.rule, r.verdict) for r in QUERIES["op4_url_cascade"](spark, SF_ORACLE).collect()}
+    assert all(v == (None, "allow") for v in without.values()) and without != rows
+
+
+def test_rules_by_cascade_equal_the_plain_form(spark):
+    rules = [("net", "/"), ("example.net", "/en/"), ("a.example.net", "/e"), ("org", ""), ("x.org", "/fr/"), ("", "/p"), ("é.org", "/ü/")]
+    hosts = ["net", "example.net", "b.a.example.net", "badnet", "org", "x.org", "y.x.org", "", ".", "a..net", "é.org", "z.é.org"]
+    paths = ["", "/", "/e", "/en/", "/en/x", "/fr/", "/p", "/ü/é"]
+    rows = spark.createDataFrame([(h, p) for h in hosts for p in paths], "host string, path string")
+    rows = rows.withColumn("keys", rule_keys(F.col("host"), F.col("path"), rules))
+    names = [own + start for own, start in rules]
+    universe = rows.select(F.explode("keys").alias("key")).select("key", F.col("key").isin(names).alias("listed"))
+    cascade = build_cascade(universe, "key", "listed")
+    got = rows.select("*", first_listed(cascade, F.col("keys")).alias("got"), rule_of(F.col("host"), F.col("path"), rules).alias("want"))
+    found = [(r.host, r.path, r.got, r.want) for r in got.collect()]
+    assert [x for x in found if x[2] != x[3]] == []
+    assert {x[2] is None for x in found} == {True, False}

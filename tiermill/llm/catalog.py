@@ -16,7 +16,7 @@ from tiermill.llm.packing import pack_documents
 from tiermill.llm.quality import CONTENT_SHARE, fit_quality, judge
 from tiermill.llm.sharding import histogram_shards
 from tiermill.llm.substring_dedup import substring_dedup
-from tiermill.llm.url_cascade import build_cascade, is_listed, rule_of, split_url
+from tiermill.llm.url_cascade import build_cascade, first_listed, is_listed, rule_keys, split_url
 
 #: Fixed URL rules (host, path) and their verdicts.
 URL_RULES = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
@@ -37,17 +37,20 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listed keys are the hosts that the rules block for the most part (more
-    than half of their pages); the universe is every host of the table."""
+    """Two cascades.  The rule of a page is its longest listed key: the universe
+    is every key that a rule could have for some page, the rules' keys are listed.
+    Pages without a rule are judged by host: listed are the hosts that the rules
+    block for the most part (more than half of their pages), of all in the table."""
     host, path = split_url(F.col("url"))
     pages = table(spark, sf_dir, "pages").select("page_id", host.alias("host"), path.alias("path"))
-    pages = pages.withColumn("rule", rule_of(F.col("host"), F.col("path"), list(URL_RULES)))
-    ruled = F.lit(None).cast("string")
-    for (own, start), verdict in URL_RULES.items():
-        ruled = F.when(F.col("rule") == own + start, F.lit(verdict)).otherwise(ruled)
-    hosts = pages.groupBy("host").agg((2 * F.count_if(ruled == "block") > F.count(F.lit(1))).alias("listed"))
+    pages = pages.withColumn("keys", rule_keys(F.col("host"), F.col("path"), list(URL_RULES)))
+    verdicts = spark.createDataFrame([(own + start, verdict) for (own, start), verdict in URL_RULES.items()], "rule string, own string")
+    universe = pages.select(F.explode("keys").alias("rule")).distinct().join(F.broadcast(verdicts), "rule", "left")
+    rules = build_cascade(universe.select("rule", F.col("own").isNotNull().alias("listed")), "rule", "listed")
+    pages = pages.withColumn("rule", first_listed(rules, F.col("keys"))).drop("keys").join(F.broadcast(verdicts), "rule", "left")
+    hosts = pages.groupBy("host").agg((2 * F.count_if(F.col("own") == "block") > F.count(F.lit(1))).alias("listed"))
     listed = is_listed(build_cascade(hosts, "host", "listed"), F.col("host"))
-    return pages.withColumn("verdict", F.coalesce(ruled, F.when(listed, F.lit("block")).otherwise(F.lit("allow"))))
+    return pages.select("page_id", "host", "path", "rule", F.coalesce("own", F.when(listed, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -164,6 +164,38 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
+def rule_keys(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
+    """The keys, host + path, of every rule that could fit: the host and each
+    parent domain, with each start of the path as long as that of some rule.
+    The longest key stands first, in the order of ``rule_of``."""
+    labels = F.split(host, r"\.")
+    owns = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    starts = F.filter(F.array(*[F.when(F.char_length(path) >= n, F.substring(path, 1, n)) for n in sorted({len(start) for _, start in rules})]),
+                      lambda x: x.isNotNull()) if rules else F.array().cast("array<string>")
+    both = F.flatten(F.transform(owns, lambda own: F.transform(starts, lambda start: F.struct(
+        (F.char_length(own) + F.char_length(start)).alias("n"), own.alias("own"), start.alias("start")))))
+    return F.transform(F.sort_array(both, asc=False), lambda x: F.concat(x["own"], x["start"]))
+
+
+def first_listed(cascade: Cascade, keys: Column) -> Column:
+    """The first listed key of an array of keys of the universe, else null."""
+
+    @F.pandas_udf("int")
+    def look(a: pd.Series, b: pd.Series) -> pd.Series:
+        n = a.map(len).to_numpy()
+        out = np.zeros(len(n), dtype=np.int32)
+        if n.sum():
+            held = cascade.listed(np.concatenate(a.to_list()).astype(np.int64), np.concatenate(b.to_list()).astype(np.int64))
+            row = np.repeat(np.arange(len(n)), n)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + 1
+            row, first = np.unique(row[held], return_index=True)
+            out[row] = place[held][first]
+        return pd.Series(out)
+
+    at = look(F.transform(keys, lambda x: key_hashes(x)[0]), F.transform(keys, lambda x: key_hashes(x)[1]))
+    return F.get(keys, at - 1)
+
+
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     """The longest (host, path) rule, as host + path, that fits; else null.  A
     rule fits its host and all subdomains, if the path starts with the rule's."""
