@@ -76,6 +76,15 @@ def test_large_group_of_copies_is_not_too_common(spark):
     assert all(t == "" for i, t in rows.items() if i not in (0, 100))
 
 
+def test_block_of_one_line_goes_from_any_number_of_documents(spark):
+    block = "ten words that stand in very many documents as one"  # block_words
+    short = "only nine words that stand in very many documents"
+    given = [(i, f"own start {i}\n{block}\nown middle {i}\n{short}\nown end {i}") for i in range(60)]
+    rows = {r.doc_id: r for r in line_dedup(spark.createDataFrame(given, "doc_id long, text string")).collect()}
+    assert rows[0].text == given[0][1] and rows[0].n_removed == 0
+    assert all(r.text == given[i][1].replace(block + "\n", "") and r.sources == [0] for i, r in rows.items() if i)
+
+
 def test_awkward_and_empty(spark):
     out = line_dedup(awkward(spark))
     assert out.count() == len(AWKWARD) and set(CLASHES) <= set(out.columns)

@@ -5,7 +5,8 @@ the earliest document that has that line, so a line of k documents makes k - 1
 pairs, not k * k.  Telling ("anchors") are
 
 * a rare line: of ``anchor_words`` words or more, in ``rare`` documents at most,
-* a long line, of ``long_words`` words or more, in any number of documents,
+* a long line, of ``long_words`` words or more, or of ``block_words``, which is
+  a block by itself, in any number of documents,
 * two neighbouring lines, or the only line of a document, in any number.
 
 So large groups of copies, whose lines are no longer rare, are still paired, and
@@ -94,7 +95,7 @@ def blocks(aligned: list[tuple[int, int]], words: list[int], block_words: int) -
     return out
 
 
-def line_table(df: DataFrame, text: str, doc_id: str, anchor_words: int, long_words: int) -> DataFrame:
+def line_table(df: DataFrame, text: str, doc_id: str, anchor_words: int, long_words: int, block_words: int) -> DataFrame:
     """For each row with an id: hashes and word counts of its lines that hold a
     word, and its anchors: kind 1 counts only if it is rare, kind 2 always."""
 
@@ -108,9 +109,9 @@ def line_table(df: DataFrame, text: str, doc_id: str, anchor_words: int, long_wo
                     n = np.array([len(x) for x in own], dtype=np.int32)
                     with np.errstate(over="ignore"):
                         two = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) if len(h) > 1 else mix(h + np.uint64(1))
-                    one = np.flatnonzero(n >= anchor_words)
+                    one = np.flatnonzero(n >= min(anchor_words, long_words, block_words))
                     keys = np.concatenate([h[one], two])
-                    kinds = np.concatenate([np.where(n[one] >= long_words, 2, 1), np.full(len(two), 2)])
+                    kinds = np.concatenate([np.where(n[one] >= min(long_words, block_words), 2, 1), np.full(len(two), 2)])
                     keys, first = np.unique(keys, return_index=True)
                     for column, v in zip(rows, (h.view(np.int64), n, kinds[first].astype(np.int32), keys.view(np.int64)), strict=True):
                         column.append(v)
@@ -140,7 +141,7 @@ def pairs_of(lines: DataFrame, rare: int) -> DataFrame:
 def aligned_lines(df: DataFrame, text: str, doc_id: str, rare: int, anchor_words: int, long_words: int, block_words: int) -> DataFrame:
     """For each later document (doc_id, sig): the numbers of its deleted lines,
     among those that hold a word, and the earlier documents they stand in."""
-    lines = cut(line_table(df, text, doc_id, anchor_words, long_words))
+    lines = cut(line_table(df, text, doc_id, anchor_words, long_words, block_words))
     pairs = pairs_of(lines, rare)
     own = lines.select("doc_id", "sig", "lines", "words")
     both = (pairs.join(own.withColumnsRenamed({"doc_id": "later", "lines": "b"}), "later")
