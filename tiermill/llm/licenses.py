@@ -1,12 +1,14 @@
 """License scan: an exact set-similarity join of text blocks and templates.
 
-A block is a line of a document, a template a short licence text; both are sets
-of words.  A block matches when it holds at least ``threshold`` of a template's
-words.  Words are ordered by their frequency over all documents, rarest first.
+A block is a line of a document, or a run of consecutive words about as long as
+the template, wherever lines end; a template is a short licence text; both are
+sets of words.  A block matches when it holds at least ``threshold`` of a
+template's words.  Words are ordered by their frequency over all documents, rarest first.
 To reach overlap ``need`` with a template of n words, a block must hold one of
 the template's first ``n - need + 1`` words (prefix filter), at least ``need``
 words (length filter), and after the first shared word enough words must be left
-on both sides (positional filter).  Blocks that pass are verified.
+on both sides (positional filter).  Blocks that pass are verified.  Runs are laid
+only around prefix words, where enough of the template's words are near.
 
 The templates are a parameter, so their index, one row a template word, is as
 small as the given list and goes to the tasks with the code.
@@ -15,9 +17,11 @@ small as the given list and goes to the tasks with the code.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -79,23 +83,25 @@ class Index:
     templates: list[tuple[str, list[bytes], int]]  # label, words rarest first, least overlap
     prefix: dict[bytes, list[tuple[int, int]]]  # word -> (template, place) within the prefixes
     place: dict[bytes, int]  # global order of all template words
+    runs: list[int]  # words of a run: the template's, and what the threshold lets through besides
 
 
 def index_of(templates: tuple[tuple[str, str], ...], frequency: Counter, threshold: float) -> Index:
     """Prefix index of the templates under the global order."""
-    sets = [(label, set(plain(text.encode()).split())) for label, text in templates]
+    sets = [(label, plain(text.encode()).split()) for label, text in templates]
     order = sorted(set().union(*(s for _, s in sets)) if sets else set(), key=lambda w: (frequency[w], w))
     place = {w: i for i, w in enumerate(order)}
-    built, prefix = [], {}
+    built, prefix, runs = [], {}, []
     for label, words in sets:
         if not words:
             continue
-        own = sorted(words, key=place.__getitem__)
+        own = sorted(set(words), key=place.__getitem__)
         need = max(1, math.ceil(threshold * len(own) - 1e-9))
         for i, w in enumerate(own[:len(own) - need + 1]):
             prefix.setdefault(w, []).append((len(built), i))
         built.append((label, own, need))
-    return Index(built, prefix, place)
+        runs.append(max(len(words), math.ceil(len(words) / threshold - 1e-9)))
+    return Index(built, prefix, place, runs)
 
 
 def matches_of(block: list[bytes], index: Index) -> list[tuple[int, int]]:
@@ -121,6 +127,63 @@ def matches_of(block: list[bytes], index: Index) -> list[tuple[int, int]]:
     return found
 
 
+def _end(words: list[bytes], spots: list[int], i: int, n: int, step: int) -> int:
+    """The index after (or before) the shortest stretch of ``spots`` from ``i``
+    that holds ``n`` different words."""
+    seen: set[bytes] = set()
+    while len(seen) < n:
+        seen.add(words[spots[i]])
+        i += step
+    return i
+
+
+def runs_of(words: list[bytes], index: Index) -> list[tuple[int, int, int, int]]:
+    """(template, first word, end, overlap) of the runs that meet a template, cut
+    to the words they need.  A run gives way to a fuller one that begins inside
+    it; the next one begins where it ends."""
+    at: dict[int, list[int]] = {}  # places of each candidate's prefix words
+    for p, w in enumerate(words):
+        for t, _ in index.prefix.get(w, ()):
+            at.setdefault(t, []).append(p)
+    found = []
+    for t, heads in sorted(at.items()):
+        _, template, need = index.templates[t]
+        own, size = set(template), index.runs[t]
+        near: list[list[int]] = []
+        for p in heads:
+            if near and p - size < near[-1][1]:
+                near[-1][1] = p + size
+            else:
+                near.append([max(0, p - size + 1), p + size])
+        for start, end in near:
+            spots = [p for p in range(start, min(end, len(words))) if words[p] in own]
+            if len({words[p] for p in spots}) < need:
+                continue
+            full = []  # overlap of the run that begins at each of the template's words
+            held: Counter = Counter()
+            j = 0
+            for p in spots:
+                while j < len(spots) and spots[j] < p + size:
+                    held[words[spots[j]]] += 1
+                    j += 1
+                full.append(len(held))
+                held[words[p]] -= 1
+                if not held[words[p]]:
+                    del held[words[p]]
+            i = 0
+            while i < len(spots):
+                if full[i] < need:
+                    i += 1
+                    continue
+                k, j = i, _end(words, spots, i, full[i], 1)
+                while (fuller := max(range(k, j), key=lambda x: (full[x], -x))) != k:
+                    k, j = fuller, _end(words, spots, fuller, full[fuller], 1)
+                first = _end(words, spots, j - 1, full[k], -1) + 1
+                found.append((t, spots[first], spots[j - 1] + 1, full[k]))
+                i = j
+    return found
+
+
 def phrase_places(words: list[bytes], phrases: list[bytes]) -> list[tuple[int, int]]:
     """(first word, phrase) of every place where a phrase's words stand."""
     line = b" " + b" ".join(words) + b" "
@@ -136,7 +199,10 @@ def phrase_places(words: list[bytes], phrases: list[bytes]) -> list[tuple[int, i
 def scan_licenses(df: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES,
                   phrases: tuple[tuple[str, str], ...] = PHRASES, threshold: float = 0.9) -> DataFrame:
     """Add to every row of ``df``: n_words, ``matches`` (every block and template
-    that meet the threshold) and ``places`` (word, label) of the phrases.
+    that meet the threshold) and ``places`` (word, label) of the phrases.  The
+    number of a block is that of its (first) line.  A run over several lines is
+    a match if it holds more of the template than each line it touches that
+    matches by itself.
 
     Null and empty texts have no words, matches or places.  Columns of the names
     added are replaced; all others pass through."""
@@ -158,10 +224,16 @@ def scan_licenses(df: DataFrame, text: str = "text", templates: tuple[tuple[str,
         words = clean.split()
         found = []
         if not index.prefix.keys().isdisjoint(words):
-            for k, line in enumerate(clean.split(b"\n")):
-                for t, overlap in matches_of(line.split(), index):
-                    label, own, _ = index.templates[t]
-                    found.append({"block": k, "template": t, "label": label, "overlap": overlap, "containment": overlap / len(own)})
+            lines = [line.split() for line in clean.split(b"\n")]
+            met = {(k, t): overlap for k, line in enumerate(lines) for t, overlap in matches_of(line, index)}
+            ends = list(accumulate(map(len, lines)))
+            for t, start, end, overlap in runs_of(words, index):
+                first, last = bisect_right(ends, start), bisect_right(ends, end - 1)
+                if first < last and overlap > max(met.get((k, t), 0) for k in range(first, last + 1)):
+                    met[first, t] = overlap
+            for (k, t), overlap in sorted(met.items()):
+                label, own, _ = index.templates[t]
+                found.append({"block": k, "template": t, "label": label, "overlap": overlap, "containment": overlap / len(own)})
         return len(words), found, [{"word": w, "label": phrases[p][1]} for w, p in phrase_places(words, spoken)]
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
