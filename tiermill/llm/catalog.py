@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 
 from tiermill.llm.common import table
 from tiermill.llm.decontaminate import contaminated
+from tiermill.llm.hard_negatives import mine_negatives
 from tiermill.llm.jaccard_join import jaccard_classes
 from tiermill.llm.langid import fit_languages, label_language
 from tiermill.llm.licenses import PHRASES, TEMPLATES, plain, scan_licenses
 from tiermill.llm.line_dedup import line_dedup
+from tiermill.llm.near_vectors import near_vectors
 from tiermill.llm.packing import pack_documents
 from tiermill.llm.quality import CONTENT_SHARE, fit_quality, judge
 from tiermill.llm.sharding import histogram_shards
 from tiermill.llm.substring_dedup import substring_dedup
 from tiermill.llm.url_cascade import build_cascade, first_listed, is_listed, rule_keys, split_url
+from tiermill.llm.vector_codes import code_vectors, codebook_sha256
 
 #: Fixed URL rules (host, path) and their verdicts.
 URL_RULES = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
@@ -101,8 +104,22 @@ def op10_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_strassen_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(table(spark, sf_dir, "embeddings"), anchor=F.col("vec_id") % 100 == 0, label=label)
+
+
+def op12_hyperplane_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op13_bounded_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = code_vectors(table(spark, sf_dir, "embeddings"))
+    return codes.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codebook_sha256(books)).alias("codebooks_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_patience_line_dedup, op2_fixed_block_dedup, op3_jaccard_join, op4_url_cascade, op5_crf_language_id, op6_best_fit_packing, op7_quality_lines, op8_license_scan, op10_simhash_decontamination,
-                                    op9_histogram_shards)}
+                                    op9_histogram_shards, op11_strassen_hard_negatives, op12_hyperplane_near_vectors, op13_bounded_vector_codes)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -179,7 +196,63 @@ SELECT documents.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS
 FROM documents LEFT JOIN sized USING (doc_id) JOIN reach USING (doc_id) GROUP BY documents.doc_id"""
 
 
+#: Vectors that take part, as doubles; all of the table have one length.
+_VECTORS_SQL = """
+given AS (SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings WHERE embedding IS NOT NULL),
+finite AS (SELECT * FROM given WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+def _op11_sql() -> str:
+    return f"""
+WITH {_VECTORS_SQL},
+d AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x) FOR x IN v] AS q FROM finite WHERE label IS NOT NULL),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+           FROM d a JOIN d b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+pos AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN scored USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5"""
+
+
+def _op12_sql() -> str:
+    return f"""
+WITH RECURSIVE {_VECTORS_SQL},
+d AS (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS norm FROM finite WHERE list_inner_product(v, v) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM d a JOIN d b ON a.vec_id <> b.vec_id AND list_inner_product(a.v, b.v) >= 0.9 * a.norm * b.norm),
+reach(vec_id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT vec_id, b FROM reach JOIN links ON a = other),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach LEFT JOIN counted USING (vec_id) GROUP BY vec_id"""
+
+
+def _op13_sql() -> str:
+    rounds, mean = "", ", ".join(f"floor(sum(x[{j}]) / count(*))::BIGINT" for j in (1, 2, 3, 4))
+    distance = "list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    for r in (0, 1, 2):
+        rounds += f""",
+a{r} AS (SELECT vec_id, label, part, x, min(dist * 64 + entry) AS best
+         FROM (SELECT p.vec_id, p.label, p.part, p.x, c.entry, {distance} AS dist FROM p JOIN c{r} c USING (part)) GROUP BY ALL)"""
+        if r < 2:
+            rounds += f""",
+m{r} AS (SELECT part, (best % 64)::INTEGER AS entry, [{mean}] AS x FROM a{r} GROUP BY part, best % 64),
+c{r + 1} AS (SELECT part, entry, coalesce(m{r}.x, c{r}.x) AS x FROM c{r} LEFT JOIN m{r} USING (part, entry))"""
+    return f"""
+WITH {_VECTORS_SQL},
+d AS (SELECT vec_id, label, [floor(256 * x)::BIGINT FOR x IN v] AS q FROM finite),
+p AS (SELECT vec_id, label, part, q[4 * part + 1:4 * part + 4] AS x FROM d, (SELECT unnest(range(16)) AS part)),
+smallest AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM d QUALIFY entry < 64),
+c0 AS (SELECT part, entry::INTEGER AS entry, x FROM p JOIN smallest USING (vec_id)){rounds},
+codes AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', best % 64), '' ORDER BY part) AS code, sum(best // 64)::BIGINT AS error FROM a2 GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM codes, books"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_strassen_hard_negatives": _op11_sql(),
+    "op12_hyperplane_near_vectors": _op12_sql(),
+    "op13_bounded_vector_codes": _op13_sql(),
     "op3_jaccard_join": _op3_sql(),
     "op2_fixed_block_dedup": _op2_sql(),
     "op4_url_cascade": _op4_sql(),
