@@ -86,7 +86,7 @@ def first_state(x: np.ndarray, books: np.ndarray, b: int) -> tuple[State, np.nda
         s = _list(d, b)
         own[:, p], listed[:, p], bounds[:, p] = s.own, s.listed, s.bounds
         least[:, p] = np.take_along_axis(d, s.own[:, None], axis=1)[:, 0]
-    return State(own.ravel(), listed.reshape(-1, b), bounds.reshape(-1, b + 1)), least.ravel()
+    return State(own.ravel(), listed.reshape(n * parts, b), bounds.reshape(n * parts, b + 1)), least.ravel()
 
 
 def moved_state(x: np.ndarray, state: State, before: np.ndarray, books: np.ndarray) -> tuple[State, np.ndarray, np.ndarray]:
