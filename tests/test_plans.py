@@ -3,7 +3,7 @@
 import os
 
 from tiermill.operators import marts, staging
-from tiermill.operators.snapshots import VersionedTable, overwrite
+from tiermill.operators.snapshots import StoredTable, overwrite
 from tiermill.plans.catalog import layers
 from tiermill.sources import feed
 from conftest import SF_SMALL
@@ -30,11 +30,11 @@ def test_dept_performance_has_no_cross_join(spark):
 
 
 def test_year_filter_reaches_stored_staging(spark, root):
-    t = VersionedTable(spark, root, "staging/employees", partition_by=["hire_year"])
+    t = StoredTable(spark, root, "staging/employees", partition_by=["hire_year"])
     stg = staging.staging_employees(feed.raw_employees(spark, SF_SMALL))
     from pyspark.sql import functions as F
     overwrite(t, stg.withColumn("hire_year", F.year("hired_at")))
-    path = t.current()["paths"][0]
+    path = t.current()
     stored = spark.read.parquet(path)
     p = plan_of(marts.quarterly_hires(stored, layers(spark, SF_SMALL)["departments"],
                                       layers(spark, SF_SMALL)["jobs"], 1997))

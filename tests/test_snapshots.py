@@ -1,4 +1,7 @@
-"""Versioned tables, snapshots and table operations."""
+"""Stored tables, snapshots and table operations."""
+
+import os
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +13,8 @@ ROWS = [(1, "a", "2021-01-01", 1, 1.0), (2, "b", "2021-01-01", 1, 2.0),
         (5000, "c", "2021-01-01", 2, 1.0), (None, "d", "2021-01-01", 2, 1.0)]
 
 
-def table_with_rows(spark, root):
-    t = snapshots.VersionedTable(spark, root, "employees")
+def table_with_rows(spark, root, key=None):
+    t = snapshots.StoredTable(spark, root, "employees", key=key, parts=8)
     snapshots.overwrite(t, spark.createDataFrame(ROWS, schemas.RAW_EMPLOYEES))
     return t
 
@@ -29,7 +32,7 @@ def test_backup_delete_restore(spark, root):
     res = snapshots.restore(t, root, "20240502_143022", schema=schemas.RAW_EMPLOYEES)
     assert res["rows_restored"] == 4
     assert rows(t.read()) == rows(spark.createDataFrame(ROWS, schemas.RAW_EMPLOYEES))
-    assert [r.operation for r in t.log().orderBy("version").collect()] == ["overwrite", "delete", "restore"]
+    assert len(t.versions()) == 3
 
 
 def test_missing_snapshot(spark, root):
@@ -49,26 +52,71 @@ def test_latest_snapshot(spark, root):
 def test_truncate_keeps_schema(spark, root):
     t = table_with_rows(spark, root)
     snapshots.truncate(t)
-    assert t.read().count() == 0 and t.read().schema == t.read(version=0).schema
+    assert t.read().count() == 0 and t.read().schema == schemas.RAW_EMPLOYEES
+
+
+def files_of(t):
+    return {(str(f.relative_to(t.current())), f.stat().st_mtime_ns) for f in pathlib.Path(t.current()).rglob("part-*")}
+
+
+def parts_of(files):
+    return {f.split("/")[0] for f, _ in files}
+
+
+BATCH = "id long, name string, datetime string, department_id long, job_id double, seq long"
 
 
 def test_upsert_twice_equals_once(spark, root):
-    t = table_with_rows(spark, root)
+    t = table_with_rows(spark, root, key="id")
     batch = spark.createDataFrame(
         [(2, "b2", "2021-02-02", 1, 2.0, 1), (2, "b3", "2021-02-03", 1, 2.0, 2),
-         (7, "g", "2021-02-02", 3, 3.0, 1), (None, "n", "2021-02-02", 3, 3.0, 1)],
-        "id long, name string, datetime string, department_id long, job_id double, seq long")
-    snapshots.upsert(t, batch, "id", ["seq"])
+         (7, "g", "2021-02-02", 3, 3.0, 1), (None, "n", "2021-02-02", 3, 3.0, 1)], BATCH)
+    snapshots.upsert(t, batch, ["seq"])
     once = rows(t.read())
     assert [r for r in once if r[0] == 2] == [(2, "b3", "2021-02-03", 1, 2.0)]
     assert len(once) == 5  # 4 old - 1 replaced + 2 new keys; the batch row without a key is left out
     assert [r for r in once if r[0] is None] == [ROWS[3]]
-    snapshots.upsert(t, batch, "id", ["seq"])
-    assert rows(t.read()) == once
+    snapshots.upsert(t, batch, ["seq"])
+    assert rows(t.read()) == once and t.read().schema == schemas.RAW_EMPLOYEES
+
+
+def test_upsert_writes_the_touched_partitions_only(spark, root):
+    t = snapshots.StoredTable(spark, root, "employees", key="id", parts=8)
+    snapshots.overwrite(t, spark.range(1, 400).selectExpr("id", "'n' AS name", "'2021-01-01' AS datetime", "1L AS department_id", "1.0D AS job_id"))
+    before, folder = files_of(t), t.current()
+    touched = snapshots.upsert(t, spark.createDataFrame([(2, "b", "2021-02-02", 1, 2.0, 1), (1000, "c", "2021-02-02", 1, 2.0, 1)], BATCH), ["seq"])
+    own = {f"_part={k}" for k in touched}
+    assert 0 < len(own) <= 2 and t.current() == folder
+    assert {f for f in before if f[0].split("/")[0] not in own} == {f for f in files_of(t) if f[0].split("/")[0] not in own}
+    assert not {f for f in before if f[0].split("/")[0] in own} & files_of(t)
+    assert t.read().count() == 400 and t.read().filter("name <> 'n'").count() == 2
+
+
+def test_delete_writes_the_touched_partitions_only(spark, root):
+    t = snapshots.StoredTable(spark, root, "employees", key="id", parts=8)
+    snapshots.overwrite(t, spark.range(1, 40).selectExpr("id", "'n' AS name", "'2021-01-01' AS datetime", "1L AS department_id", "1.0D AS job_id"))
+    before = files_of(t)
+    of = {r.id: f"_part={r._part}" for r in t.stored().collect()}
+    whole = [i for i, p in of.items() if p == of[1]]
+    snapshots.delete_where(t, F.col("id").isin(*whole, next(i for i in of if of[i] != of[1])))
+    changed = parts_of(before ^ files_of(t))
+    assert of[1] in changed and len(changed) == 2 and of[1] not in parts_of(files_of(t))
+    assert t.read().count() == 39 - len(whole) - 1
+    snapshots.delete_where(t, F.col("id") < 0)
+    assert t.read().count() == 39 - len(whole) - 1
+
+
+def test_null_keys_are_spread_and_stay(spark, root):
+    t = snapshots.StoredTable(spark, root, "employees", key="id", parts=8)
+    rows_ = [(None, f"n{i}", "2021-01-01", 1, 1.0) for i in range(200)]
+    snapshots.overwrite(t, spark.createDataFrame(rows_, schemas.RAW_EMPLOYEES))
+    assert t.stored().select("_part").distinct().count() == 8
+    snapshots.upsert(t, spark.createDataFrame([(i, "k", "2021-02-02", 1, 2.0, 1) for i in range(50)], BATCH), ["seq"])
+    assert t.read().filter("id IS NULL").count() == 200 and t.read().count() == 250
 
 
 def test_upsert_reads_the_batch_once(spark, root):
-    t = table_with_rows(spark, root)
+    t = table_with_rows(spark, root, key="id")
     seen = spark.sparkContext.accumulator(0)
 
     def count(batches):
@@ -76,35 +124,37 @@ def test_upsert_reads_the_batch_once(spark, root):
             seen.add(len(b))
             yield b
 
-    batch = t.read().selectExpr("*", "1L as seq").mapInPandas(count, "id long, name string, datetime string, department_id long, job_id double, seq long")
-    snapshots.upsert(t, batch, "id", ["seq"])
+    batch = t.read().selectExpr("*", "1L as seq").mapInPandas(count, BATCH)
+    snapshots.upsert(t, batch, ["seq"])
     assert seen.value == 4
 
 
-def test_append_keeps_folders_and_checks_the_schema(spark, root):
+def test_append_checks_the_schema(spark, root):
     t = table_with_rows(spark, root)
     more = spark.createDataFrame([(8, "h", "2021-01-01", 1, 1.0)], schemas.RAW_EMPLOYEES)
-    first = t.current()["paths"]
-    entry = snapshots.append(t, more, schemas.RAW_EMPLOYEES)
-    assert entry["paths"][:1] == first and entry["rows"] == 5 and t.read().count() == 5
+    snapshots.append(t, more, schemas.RAW_EMPLOYEES)
+    assert len(t.versions()) == 1 and t.read().count() == 5
     for wrong in (more.drop("job_id"), more.withColumn("id", F.col("id").cast("int")), more.select("name", "id", "datetime", "department_id", "job_id")):
         with pytest.raises(ValueError, match="append to employees"):
             snapshots.append(t, wrong, schemas.RAW_EMPLOYEES)
-    assert t.read().count() == 5 and t.read(version=0).count() == 4
+    assert t.read().count() == 5
 
 
-def test_two_writers_cannot_commit_one_version(spark, root, monkeypatch):
+def test_a_write_that_died_does_not_count(spark, root):
     t = table_with_rows(spark, root)
-    other = snapshots.VersionedTable(spark, root, "employees")
-    stale = dict(t.current())
-    snapshots.append(other, t.read().limit(1))
-    monkeypatch.setattr(t, "current", lambda: stale)  # read before the other's commit
-    with pytest.raises(snapshots.CommitConflict):
-        snapshots.overwrite(t, other.read().limit(2))
-    monkeypatch.undo()
-    assert t.current()["version"] == 1 and t.read().count() == 5  # the first writer's version stands
-    snapshots.overwrite(t, other.read(version=0))
-    assert other.read().count() == 4  # no handle keeps an old head
+    for name, files in (("v99999999999999999998-dead", []), ("v99999999999999999999-torn", ["part-00000.parquet"])):
+        os.makedirs(os.path.join(t.location, name))
+        for f in files:
+            open(os.path.join(t.location, name, f), "w").close()
+    assert t.read().count() == 4 and len(t.versions()) == 1
+
+    def fail(batches):
+        yield from ()
+        raise OSError("the job dies")
+
+    with pytest.raises(Exception, match="the job dies"):
+        snapshots.overwrite(t, t.read().mapInPandas(fail, t.read().schema))
+    assert t.read().count() == 4
 
 
 def test_damaged_snapshot_changes_nothing(spark, root):
@@ -113,7 +163,7 @@ def test_damaged_snapshot_changes_nothing(spark, root):
     spark.createDataFrame(ROWS[:1], schemas.RAW_EMPLOYEES).write.mode("overwrite").parquet(out["backup_uri"])
     with pytest.raises(RuntimeError, match="expected 4"):
         snapshots.restore(t, root, schema=schemas.RAW_EMPLOYEES)
-    assert t.current()["version"] == 0 and t.read().count() == 4
+    assert len(t.versions()) == 1 and t.read().count() == 4
 
 
 def test_two_backups_of_one_second(spark, root):

@@ -14,14 +14,14 @@ def test_csv_text_and_empty_fields(spark, root):
     os.makedirs(path)
     with open(os.path.join(path, "a.csv"), "w") as f:
         f.write("id,name,datetime,department_id,job_id\n"
-                "1,Harold,2021-11-07T02:48:42Z,2,96.0\n"
-                "2,,2021-05-30T05:43:46Z,8,\n"
-                '3,"",2021-05-30T05:43:46Z,8,1.0\n')
+                "1,Mirela,2019-02-03T04:05:06Z,4,17.0\n"
+                "2,,2020-10-11T12:13:14Z,5,\n"
+                '3,"",2018-07-08T09:10:11Z,6,1.0\n')
     with open(os.path.join(path, "b.csv"), "w") as f:
         f.write("id,name,datetime,department_id,job_id\n4,  Padded ,202,1,3.0\n")
     df = readers.read_csv(spark, path + "/*.csv", "employees")
     rows = {r.id: r for r in df.collect()}
-    assert len(rows) == 4 and rows[1].job_id == 96.0 and rows[2].job_id is None
+    assert len(rows) == 4 and rows[1].job_id == 17.0 and rows[2].job_id is None
     assert rows[2].name is None and rows[3].name is None  # empty text reads as null
     assert rows[4].name == "  Padded " and rows[4].datetime == "202"
     out = writers.write_csv(df, os.path.join(root, "out"))

@@ -170,6 +170,11 @@ def field_plan() -> list[tuple[str, Field, tuple[str, ...]]]:
     return [(name, f, tuple(tables)) for (name, f), tables in plan.items()]
 
 
+def tables_of_field() -> dict[str, list[str]]:
+    """The tables that have a field, for every field name."""
+    return {n: [t for t, fields in MODELS.items() if any(f.name == n for f in fields)] for n in ALL_FIELDS}
+
+
 ERROR_SEP = "; "
 
 

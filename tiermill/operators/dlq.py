@@ -1,7 +1,7 @@
 """Dead-letter sink for rejected records and the quarantine export.
 
 Rejected records are written one JSON line each, under a directory of the
-ingest run, so a retried run overwrites its own output.  The per-batch
+ingest run, so a retried run overwrites its own output.  The per-request
 envelope ``{timestamp, table, count, records}`` is built by a grouped
 aggregate over the invalid records of accepted requests: at most 1000 each, so
 no group is unbounded.
@@ -23,11 +23,11 @@ RECORD_FIELDS = ["index", "record", "error", "error_type"]
 
 
 def envelopes(rejected: DataFrame, as_of: str | None = None) -> DataFrame:
-    """(table, batch_id, count, envelope): one row per batch with rejects;
+    """(table, batch_id, count, envelope): one row per request with rejects;
     ``envelope`` is the JSON text of the dead-letter entry, records ordered
     by their position in the batch."""
     ts = stamp_text(audit_time(as_of))
-    grouped = rejected.groupBy("table", "batch_id").agg(
+    grouped = rejected.groupBy("request", "table", "batch_id").agg(
         F.count(F.lit(1)).alias("count"),
         F.array_sort(F.collect_list(F.struct(*RECORD_FIELDS))).alias("records"))
     return grouped.select(

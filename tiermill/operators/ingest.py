@@ -22,6 +22,9 @@ from ..functions import rules
 from ..sources.readers import CORRUPT
 
 BATCH_KEY = ["table", "batch_id"]
+#: ``request`` is the digest of the line: two requests of one batch id are two, and a
+#: line that is delivered again is the same request.
+REQUEST_KEY = ["request", *BATCH_KEY]
 
 # Error texts that name a table or a record's shape.
 ERR_TABLE = "Invalid table: "
@@ -34,15 +37,21 @@ REQUEST_ERROR = "RequestError"
 
 
 def read_requests(lines: DataFrame) -> DataFrame:
-    """(line, table, batch_id, data, corrupt) from a text column ``value``.
+    """(line, request, table, batch_id, data, corrupt) from a text column ``value``.
     ``data`` keeps each record as its JSON text; blank lines are skipped."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = lines.filter(F.trim("value") != "").select(
         F.col("value").alias("line"), F.from_json("value", schemas.REQUEST, options).alias("r"))
-    return parsed.select("line", "r.table", "r.batch_id", "r.data",
+    return parsed.select("line", F.md5("line").alias("request"), "r.table", "r.batch_id", "r.data",
                          (F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()).alias("corrupt"))
 
 
+def once(requests: DataFrame) -> DataFrame:
+    """Requests that were delivered more than once, once (the batch counterpart of
+    the stream's replay window)."""
+    return requests.dropDuplicates(["request"])
+
+
 def request_error() -> Column:
     """Why a whole request is rejected, else null."""
     return (F.when(F.col("corrupt"), F.lit(ERR_MALFORMED))
@@ -59,7 +68,7 @@ def batch_verdicts(requests: DataFrame) -> DataFrame:
 
 
 def evaluate(requests: DataFrame) -> DataFrame:
-    """One row per record: table, batch_id, ``index`` (place in the request),
+    """One row per record: request, table, batch_id, ``index`` (place in the request),
     ``record`` (its text, or the line of a request without records), the field
     texts ``f_<name>``, the integral values ``v_<name>`` of id fields,
     ``request_error``, ``n_errors`` and ``error_list`` (all messages).
@@ -67,17 +76,22 @@ def evaluate(requests: DataFrame) -> DataFrame:
     A record is parsed once, into a variant; field texts and kinds are columns
     below the rules.  The last step goes through a generator, so that later
     filters on its columns are not pushed down with the rules inlined."""
-    judged = requests.select(*BATCH_KEY, "line", "data", request_error().alias("request_error"))
-    listed = judged.select(*BATCH_KEY, "line", "request_error", F.posexplode_outer("data").alias("_at", "_text"))
+    judged = requests.select(*REQUEST_KEY, "line", "data", request_error().alias("request_error"))
+    listed = judged.select(*REQUEST_KEY, "line", "request_error", F.posexplode_outer("data").alias("_at", "_text"))
     parsed = listed.select(
-        *BATCH_KEY, "request_error", F.col("_at").cast("bigint").alias("index"),
+        *REQUEST_KEY, "request_error", F.col("_at").cast("bigint").alias("index"),
         F.coalesce("_text", F.when(F.col("_at").isNull(), F.col("line")), F.lit("null")).alias("record"),
         F.when(F.col("request_error").isNull(), F.try_parse_json("_text")).alias("_v"))
-    fields = parsed.select(
-        *BATCH_KEY, "request_error", "index", "record",
+    # each field is looked up once, and only in records of a table that has it
+    tokens = parsed.select(
+        *REQUEST_KEY, "request_error", "index", "record",
         F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)).alias("_is_object"),
-        *[F.try_variant_get("_v", f"$.{n}", "string").alias(f"f_{n}") for n in rules.ALL_FIELDS],
-        *[F.schema_of_variant(F.try_variant_get("_v", f"$.{n}", "variant")).alias(f"k_{n}") for n in rules.ALL_FIELDS])
+        *[F.when(F.col("table").isin(*tables), F.try_variant_get("_v", f"$.{n}", "variant")).alias(f"_t_{n}")
+          for n, tables in rules.tables_of_field().items()])
+    fields = tokens.select(
+        *REQUEST_KEY, "request_error", "index", "record", "_is_object",
+        *[F.try_variant_get(f"_t_{n}", "$", "string").alias(f"f_{n}") for n in rules.ALL_FIELDS],
+        *[F.schema_of_variant(f"_t_{n}").alias(f"k_{n}") for n in rules.ALL_FIELDS])
     typed = fields.select("*", *rules.id_values())
     checks = rules.record_checks()
     messages = typed.select("*", *[c.alias(f"_e{i}") for i, c in enumerate(checks)])
@@ -87,7 +101,7 @@ def evaluate(requests: DataFrame) -> DataFrame:
         F.when(whole | ~F.col("_is_object"), F.lit(1)).otherwise(n_rules).alias("n_errors"),
         F.when(whole, F.col("request_error")).when(F.col("_is_object"), joined).otherwise(F.lit(ERR_NOT_OBJECT)).alias("error_list"))
     return messages.select(
-        *BATCH_KEY, "index", "record", "request_error", *[F.col(f"f_{n}") for n in rules.ALL_FIELDS],
+        *REQUEST_KEY, "index", "record", "request_error", *[F.col(f"f_{n}") for n in rules.ALL_FIELDS],
         *[F.col(f"v_{n}") for n in rules.ID_FIELDS], F.inline(F.array(result)))
 
 
@@ -106,11 +120,11 @@ def error_text() -> Column:
 
 
 def all_rejects(evaluated: DataFrame) -> DataFrame:
-    """(table, batch_id, index, record, error, error_type) of every record that
-    was not stored: invalid ones and those of rejected requests."""
+    """(request, table, batch_id, index, record, error, error_type) of every record
+    that was not stored: invalid ones and those of rejected requests."""
     whole = F.col("request_error").isNotNull()
     return (evaluated.filter(F.col("n_errors") > 0)
-            .select(*BATCH_KEY, "index", "record", F.when(whole, F.col("request_error")).otherwise(error_text()).alias("error"),
+            .select(*REQUEST_KEY, "index", "record", F.when(whole, F.col("request_error")).otherwise(error_text()).alias("error"),
                     F.when(whole, F.lit(REQUEST_ERROR)).otherwise(F.lit(rules.ERROR_TYPE)).alias("error_type")))
 
 
@@ -120,7 +134,13 @@ def rejected_records(evaluated: DataFrame) -> DataFrame:
 
 
 def summary(evaluated: DataFrame) -> DataFrame:
-    """(table, batch_id, inserted, rejected) per accepted request."""
-    return evaluated.filter(F.col("request_error").isNull()).groupBy(*BATCH_KEY).agg(
+    """(request, table, batch_id, inserted, rejected) per accepted request."""
+    return evaluated.filter(F.col("request_error").isNull()).groupBy(*REQUEST_KEY).agg(
         F.count_if(F.col("n_errors") == 0).alias("inserted"),
         F.count_if(F.col("n_errors") > 0).alias("rejected"))
+
+
+def rejected_requests(evaluated: DataFrame) -> DataFrame:
+    """(request, table, batch_id, error, n_records) per rejected request."""
+    return (evaluated.filter(F.col("request_error").isNotNull()).groupBy(*REQUEST_KEY, F.col("request_error").alias("error"))
+            .agg(F.count("index").alias("n_records")))

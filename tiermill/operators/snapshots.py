@@ -1,12 +1,14 @@
-"""Snapshots (backup / restore) and table operations on versioned tables.
+"""Snapshots (backup / restore) and table operations on stored tables.
 
-A table is a directory of immutable data folders plus one small commit file per
-version, which lists the folders of that version.  A write -- append, restore,
-delete, truncate, upsert, plain overwrite -- puts its data into a folder of its
-own and then creates the next commit file, which must not exist yet; readers take
-the newest commit file.  So a job that dies half-way leaves the previous version
-current, a table can be rewritten from a query that reads it, two writers cannot
-both commit one version, and no committed folder is ever written again.
+A table is a directory of folders, each of which is one Spark write.  A folder
+counts once it holds the ``_SUCCESS`` marker, which is created, empty, after the write has
+ended and its rows have been checked; the newest one that counts is the table.
+So a job that dies half-way leaves the table as it was, and a table can be
+replaced from a query that reads it.
+
+A table with a ``key`` is partitioned by a hash of the key.  Upsert and delete
+first find the partitions that they touch, and Spark's dynamic partition overwrite
+replaces only those; the files of all others stay as they are.
 
 Snapshots are written as ``<root>/backups/<table>/<yyyyMMdd_HHmmss>-<id>/`` with a
 manifest row (table, ts, path, format, rows) appended per backup.
@@ -15,18 +17,19 @@ manifest row (table, ts, path, format, rows) appended per backup.
 from __future__ import annotations
 
 import datetime as dt
-import json
 import os
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from ..sources.writers import write_table
 
+# The manifest's columns, the keys of the backup and restore results
+# and the form of the stamp.
 MANIFEST = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("ts", T.StringType()),
@@ -36,23 +39,10 @@ MANIFEST = T.StructType([
     T.StructField("made_at_ns", T.LongType()),
 ])
 
-COMMIT_LOG = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("paths", T.ArrayType(T.StringType())),
-    T.StructField("rows", T.LongType()),
-    T.StructField("committed_at", T.StringType()),
-])
-
-
 class SnapshotNotFound(LookupError):
     pass
 
 
-class CommitConflict(RuntimeError):
-    """Another writer committed the version first; nothing of it was touched."""
-
-
 def _now_stamp() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
 
@@ -76,30 +66,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, hpath = _file_system(spark, path)
-    stream = fs.open(hpath)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def _create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a file that must not exist."""
-    fs, hpath = _file_system(spark, path)
-    try:
-        stream = fs.create(hpath, False)
-    except Exception as exc:
-        if fs.exists(hpath):
-            raise CommitConflict(f"{path} exists") from exc
-        raise
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-
-
 def snapshot_format(spark: SparkSession, preferred: str = "avro") -> str:
     """``preferred`` when its data source is on the classpath, else parquet."""
     if preferred == "parquet":
@@ -126,95 +92,112 @@ def _count_written(spark: SparkSession, path: str, fmt: str) -> int:
     return spark.read.format(fmt).load(path).count()
 
 
-class VersionedTable:
-    """A named table under ``<root>/tables/<name>``."""
+#: Partitions of a table that is kept by key.
+KEY_PARTS = 64
+MARKER, PART = "_SUCCESS", "_part"
 
-    def __init__(self, spark: SparkSession, root: str, name: str, fmt: str = "parquet",
-                 partition_by: list[str] | None = None):
-        self.spark, self.name, self.fmt, self.partition_by = spark, name, fmt, partition_by
-        self.location = os.path.join(root, "tables", name)
-        self.log_path = os.path.join(self.location, "_commits")
 
-    def _commit_file(self, version: int) -> str:
-        return os.path.join(self.log_path, f"{version:08d}.json")
+class StoredTable:
+    """A named table under ``<root>/tables/<name>``.  With ``key`` it is partitioned
+    by a hash of that column into ``parts``; rows with a null key are dealt out by
+    their other columns."""
 
-    def log(self) -> DataFrame:
-        if not _exists(self.spark, self.log_path):
-            return self.spark.createDataFrame([], COMMIT_LOG)
-        return self.spark.read.schema(COMMIT_LOG).json(self.log_path)
+    def __init__(self, spark: SparkSession, root: str, name: str, fmt: str = "parquet", partition_by: list[str] | None = None,
+                 schema: T.StructType | None = None, key: str | None = None, parts: int = KEY_PARTS):
+        self.spark, self.name, self.fmt, self.schema, self.key, self.parts = spark, name, fmt, schema, key, parts
+        self.partition_by = [PART] if key else partition_by
+        self.location = os.path.join(root, "tables", name)
 
-    def current(self) -> dict | None:
-        """The newest commit.  One listing and one small file, no Spark job."""
-        fs, hpath = _file_system(self.spark, self.log_path)
+    def versions(self) -> list[str]:
+        """Folders that count, oldest first: two listings, no Spark job."""
+        fs, hpath = _file_system(self.spark, self.location)
         if not fs.exists(hpath):
-            return None
+            return []
         names = sorted(x.getPath().getName() for x in fs.listStatus(hpath))
-        versions = [n for n in names if n.endswith(".json") and not n.startswith(("_", "."))]
-        return json.loads(_read_text(self.spark, os.path.join(self.log_path, versions[-1]))) if versions else None
-
-    def _load(self, paths: list[str]) -> DataFrame:
-        frames = [self.spark.read.format(self.fmt).load(p) for p in paths] if self.partition_by else \
-            [self.spark.read.format(self.fmt).load(paths)]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
-
-    def read(self, version: int | None = None) -> DataFrame:
-        if version is None:
-            entry = self.current()
-        else:
-            path = self._commit_file(version)
-            entry = json.loads(_read_text(self.spark, path)) if _exists(self.spark, path) else None
-        if entry is None:
-            raise LookupError(f"table {self.name} has no committed version")
-        return self._load(entry["paths"])
-
-    def commit(self, df: DataFrame, operation: str, expect_rows: int | None = None, keep: bool = False) -> dict:
-        """Write ``df`` into a new folder, then create the next commit file:
-        with ``keep`` the folders of the current version stay, else the new one
-        replaces them.  Raises before the commit if ``expect_rows`` is not met,
-        and CommitConflict if another writer was first."""
-        head = self.current()
-        version = 0 if head is None else head["version"] + 1
-        path = os.path.join(self.location, f"v{version:08d}-{uuid.uuid4().hex[:12]}")
-        write_table(df, path, self.fmt, mode="errorifexists", partition_by=self.partition_by)
-        rows = _count_written(self.spark, path, self.fmt)
+        return [p for p in (os.path.join(self.location, n) for n in names if n.startswith("v")) if _exists(self.spark, os.path.join(p, MARKER))]
+
+    def current(self) -> str | None:
+        found = self.versions()
+        return found[-1] if found else None
+
+    def stored(self) -> DataFrame:
+        """The table as it is stored, partition columns included."""
+        path = self.current()
+        if path is None:
+            raise LookupError(f"table {self.name} has no version")
+        reader = self.spark.read.format(self.fmt)
+        return (reader.schema(self.schema) if self.schema is not None else reader).load(path)
+
+    def read(self) -> DataFrame:
+        return self.stored().drop(PART) if self.key else self.stored()
+
+    def parted(self, df: DataFrame) -> DataFrame:
+        """``df`` with the partition column of a table with a key."""
+        if not self.key:
+            return df
+        of = F.when(F.col(self.key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.xxhash64(self.key))
+        return df.withColumn(PART, F.pmod(of, F.lit(self.parts)).cast("int"))
+
+    def replace(self, df: DataFrame, expect_rows: int | None = None) -> dict:
+        """Write ``df`` as the table's next version.  Raises, and leaves the table as
+        it was, if the rows written are not ``expect_rows``."""
+        path = os.path.join(self.location, f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
+        out = self.parted(df)
+        writer = (out.hint("rebalance", PART) if self.key else out).write.format(self.fmt).mode("errorifexists")
+        writer = writer.option("compression", "snappy").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).save(path)
+        reader = self.spark.read.format(self.fmt).schema(out.schema)
+        rows = reader.load(path).count()
         if expect_rows is not None and rows != expect_rows:
-            raise RuntimeError(f"{operation} of {self.name} wrote {rows} rows, expected {expect_rows}")
-        before = head if keep and head else {"paths": [], "rows": 0}
-        entry = {"version": version, "operation": operation, "paths": [*before["paths"], path],
-                 "rows": before["rows"] + rows, "committed_at": _now_stamp()}
-        _create_text(self.spark, self._commit_file(version), json.dumps(entry))
-        return entry
+            raise RuntimeError(f"{self.name}: wrote {rows} rows, expected {expect_rows}")
+        fs, marker = _file_system(self.spark, os.path.join(path, MARKER))
+        fs.create(marker, False).close()
+        return {"path": path, "rows": rows}
+
+    def replace_parts(self, df: DataFrame) -> None:
+        """Replace the partitions that ``df`` has rows of, in the current version."""
+        (df.hint("rebalance", PART).write.format(self.fmt).option("compression", "snappy").mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(PART).save(self.current()))
 
 
 # -- operations ---------------------------------------------------------------
 
-def overwrite(table: VersionedTable, df: DataFrame) -> dict:
-    return table.commit(df, "overwrite")
+def overwrite(table: StoredTable, df: DataFrame) -> dict:
+    return table.replace(df)
 
 
-def append(table: VersionedTable, df: DataFrame, schema: T.StructType | None = None) -> dict:
-    """Add rows as a folder of their own; the folders there stay.  The columns
+def append(table: StoredTable, df: DataFrame, schema: T.StructType | None = None) -> None:
+    """Add rows to the current version (a plain Spark append).  The columns
     must be those of ``schema`` (by default of the table) in name, order and
     type.  Not idempotent: appending twice adds the rows twice."""
     want = schema if schema is not None else table.read().schema
     if [(f.name, f.dataType) for f in df.schema] != [(f.name, f.dataType) for f in want]:
         raise ValueError(f"append to {table.name}: {df.schema.simpleString()} is not {want.simpleString()}")
-    return table.commit(df, "append", keep=True)
+    write_table(table.parted(df), table.current(), table.fmt, mode="append", partition_by=table.partition_by)
 
 
-def delete_where(table: VersionedTable, predicate) -> dict:
+def delete_where(table: StoredTable, predicate: Column) -> None:
     """Remove rows where ``predicate`` is true (null counts as false, as in
-    ``DELETE ... WHERE``)."""
-    kept = table.read().filter(~F.coalesce(predicate, F.lit(False)))
-    return table.commit(kept, "delete")
-
-
-def truncate(table: VersionedTable) -> dict:
-    current = table.read()
-    return table.commit(table.spark.createDataFrame([], current.schema), "truncate")
+    ``DELETE ... WHERE``).  Of a table with a key only the partitions that hold
+    such rows are written again."""
+    hit = F.coalesce(predicate, F.lit(False))
+    if not table.key:
+        table.replace(table.read().filter(~hit))
+        return
+    rows = table.stored()
+    # one row a partition: bounded by the table's number of partitions
+    touched = rows.groupBy(PART).agg(F.count_if(hit).alias("gone"), F.count(F.lit(1)).alias("all")).filter("gone > 0").collect()
+    some = [r[PART] for r in touched if r["gone"] < r["all"]]
+    if some:
+        table.replace_parts(rows.filter(F.col(PART).isin(some) & ~hit))
+    for r in touched:
+        if r["gone"] == r["all"]:
+            fs, path = _file_system(table.spark, os.path.join(table.current(), f"{PART}={r[PART]}"))
+            fs.delete(path, True)
+
+
+def truncate(table: StoredTable) -> None:
+    table.replace(table.spark.createDataFrame([], table.read().schema))
 
 
 def latest_per_key(batch: DataFrame, key: str, order_by: list[str]) -> DataFrame:
@@ -228,24 +211,29 @@ def latest_per_key(batch: DataFrame, key: str, order_by: list[str]) -> DataFrame
     return newest.select("_r.*")
 
 
-def upsert(table: VersionedTable, batch: DataFrame, key: str, order_by: list[str]) -> dict:
-    """Insert-or-replace by ``key``: the newest batch row per key replaces the
-    table's rows with that key.  Batch rows with a null key match nothing and
+def upsert(table: StoredTable, batch: DataFrame, order_by: list[str]) -> list[int]:
+    """Insert-or-replace by the table's key: the newest batch row per key replaces
+    the table's rows with that key.  Batch rows with a null key match nothing and
     could not be told from their own repetition, so they are left out; running a
     batch twice gives the same table as running it once.
 
-    The batch is evaluated once, into a folder of the table's own; rows of the
-    table with a null key stay and take no part in the join."""
-    target = table.read()
-    batch = batch.select(*target.columns, *[c for c in order_by if c not in target.columns])
+    The batch is evaluated once, into a folder of the table's own; its keys give
+    the partitions that are touched (at most the table's number of them), and only those are
+    read and written.  Returns their numbers."""
+    key, columns = table.key, table.read().columns
+    batch = batch.select(*columns, *[c for c in order_by if c not in columns])
     staged = os.path.join(table.location, "_staged", uuid.uuid4().hex)
-    write_table(batch.filter(F.col(key).isNotNull()), staged, mode="errorifexists")
-    newest = latest_per_key(table.spark.read.parquet(staged), key, order_by).select(*target.columns)
-    keyed = target.filter(F.col(key).isNotNull()).join(newest.select(key), key, "left_anti").select(*target.columns)
-    entry = table.commit(keyed.unionByName(newest).unionByName(target.filter(F.col(key).isNull())), "upsert")
-    fs, hpath = _file_system(table.spark, staged)
-    fs.delete(hpath, True)
-    return entry
+    write_table(table.parted(latest_per_key(batch, key, order_by).select(*columns)), staged, mode="errorifexists")
+    newest = table.spark.read.parquet(staged)
+    touched = [r[0] for r in newest.select(PART).distinct().collect()]
+    if touched:
+        old = table.stored().filter(F.col(PART).isin(touched))
+        # the partition is part of the join key: rows with a null key, which match nothing, stay spread
+        kept = old.join(newest.select(PART, key), [PART, key], "left_anti").select(*columns, PART)
+        table.replace_parts(kept.unionByName(newest.select(*columns, PART)))
+    fs, path = _file_system(table.spark, staged)
+    fs.delete(path, True)
+    return touched
 
 
 # -- snapshots ----------------------------------------------------------------
@@ -292,14 +280,14 @@ def find_snapshot(spark: SparkSession, root: str, table: str, ts: str | None = N
     return rows[0].asDict()
 
 
-def restore(target: VersionedTable, root: str, ts: str | None = None,
+def restore(target: StoredTable, root: str, ts: str | None = None,
             schema: T.StructType | None = None) -> dict:
     """Replace ``target`` with a snapshot (its schema enforced), as a new
-    version; the row count is checked against the manifest before the commit."""
+    version; the row count is checked against the manifest before it counts."""
     snap = find_snapshot(target.spark, root, target.name, ts)
     reader = target.spark.read.format(snap["format"])
     if schema is not None:
         reader = reader.schema(schema)
-    entry = target.commit(reader.load(snap["path"]), "restore", expect_rows=snap["rows"])
+    entry = target.replace(reader.load(snap["path"]), expect_rows=snap["rows"])
     return {"status": "success", "table": target.name, "restored_from": snap["path"],
             "rows_restored": entry["rows"]}

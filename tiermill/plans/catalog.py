@@ -189,7 +189,7 @@ def q_ingest_valid(spark, sf_dir):
 
 @register
 def q_ingest_rejected(spark, sf_dir):
-    return ingest.rejected_records(evaluated_feed(spark, sf_dir))
+    return ingest.rejected_records(evaluated_feed(spark, sf_dir)).drop("request")
 
 
 @register
@@ -202,7 +202,7 @@ def q_dlq_all_rejects(spark, sf_dir):
 
 @register
 def q_ingest_summary(spark, sf_dir):
-    return ingest.summary(evaluated_feed(spark, sf_dir))
+    return ingest.summary(evaluated_feed(spark, sf_dir)).drop("request")
 
 
 # -- sinks, dead-letter queue, snapshots ---------------------------------------
@@ -210,7 +210,7 @@ def q_ingest_summary(spark, sf_dir):
 AS_OF = "2024-01-01 00:00:00"
 AS_OF_LATER = "2024-01-02 00:00:00"
 DELETE_ABOVE_ID = 4540
-NEW_IDS_ABOVE = feed.LONG_ID  # the 19-digit ids of the request lines
+DELETE_IDS = (100, 120)
 RAW_COLUMNS = [f.name for f in schemas.RAW_EMPLOYEES.fields]
 DLQ_LINE = T.StructType([T.StructField("table", T.StringType()), T.StructField("batch_id", T.StringType()),
                          *schemas.REJECTED_RECORD.fields])
@@ -255,7 +255,7 @@ def q_dlq_roundtrip(spark, sf_dir):
 
 @register
 def q_dlq_envelope(spark, sf_dir):
-    return dlq.envelopes(q_ingest_rejected(spark, sf_dir), as_of=AS_OF)
+    return dlq.envelopes(ingest.rejected_records(evaluated_feed(spark, sf_dir)), as_of=AS_OF)
 
 
 QUARANTINE_EXPORT = T.StructType([
@@ -275,8 +275,8 @@ def q_quarantine_export(spark, sf_dir):
     return readers.read_table(spark, path, fmt="json", schema=QUARANTINE_EXPORT)
 
 
-def _raw_table(spark, sf_dir):
-    table = snapshots.VersionedTable(spark, run_root(spark), "employees")
+def _raw_table(spark, sf_dir, key=None):
+    table = snapshots.StoredTable(spark, run_root(spark), "employees", key=key)
     snapshots.overwrite(table, layers(spark, sf_dir)["raw"])
     return table
 
@@ -311,17 +311,29 @@ def q_delete_rows(spark, sf_dir):
 
 @register
 def q_truncate_table(spark, sf_dir):
+    """Rows of the first and of the second version: all of them, then none."""
     table = _raw_table(spark, sf_dir)
     snapshots.truncate(table)
-    return table.log().select("version", "operation", "rows")
+    counts = [spark.read.schema(schemas.RAW_EMPLOYEES).parquet(p).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(k).cast("bigint").alias("version"), "rows")
+              for k, p in enumerate(table.versions())]
+    return counts[0].unionByName(counts[1])
+
+
+@register
+def q_delete_by_key(spark, sf_dir):
+    """Rows of some ids deleted from a table kept by id: only the partitions of
+    those ids are written again."""
+    table = _raw_table(spark, sf_dir, key="id")
+    snapshots.delete_where(table, F.col("id").between(*DELETE_IDS))
+    return table.read()
 
 
 @register
 def q_upsert_by_id(spark, sf_dir):
     """Valid ingest records upserted into the raw table by id."""
-    table = _raw_table(spark, sf_dir)
+    table = _raw_table(spark, sf_dir, key="id")
     batch = q_ingest_valid(spark, sf_dir).withColumn("job_id", F.col("job_id").cast("double"))
-    snapshots.upsert(table, batch, "id", ["batch_id", "index"])
+    snapshots.upsert(table, batch, ["batch_id", "index"])
     return table.read()
 
 
@@ -329,12 +341,12 @@ def q_upsert_by_id(spark, sf_dir):
 def q_upsert_twice(spark, sf_dir):
     """The same batch upserted twice, rows with a null key included: the second
     time changes nothing."""
-    table = _raw_table(spark, sf_dir)
+    table = _raw_table(spark, sf_dir, key="id")
     batch = q_ingest_valid(spark, sf_dir).withColumn("job_id", F.col("job_id").cast("double"))
     nameless = layers(spark, sf_dir)["raw"].filter(F.col("id").isNull()).select(
         "*", F.lit("nameless").alias("batch_id"), F.lit(0).cast("bigint").alias("index"))
     for _ in range(2):
-        snapshots.upsert(table, batch.unionByName(nameless), "id", ["batch_id", "index"])
+        snapshots.upsert(table, batch.unionByName(nameless), ["batch_id", "index"])
     return table.read()
 
 
@@ -346,26 +358,23 @@ def q_ingest_to_mart(spark, sf_dir):
     t = refresh_plan.tables(spark, root)
     for name, df in feed.raw_layer(spark, sf_dir).items():
         snapshots.overwrite(t[f"raw/{name}"], df)
-    for name in ("employees", "departments", "jobs"):
-        want = schemas.RAW[name]
-        valid = ingest.valid_records(evaluated_feed(spark, sf_dir), name)
+    for name in schemas.TABLES:
+        stored, want = t[f"raw/{name}"], schemas.RAW[name]
+        valid = ingest.valid_records(evaluated_feed(spark, sf_dir), name).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want.fields])
         # ids that the raw layer does not have yet
-        fresh = valid.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want.fields]).filter(F.col("id") > NEW_IDS_ABOVE)
-        snapshots.append(t[f"raw/{name}"], fresh, want)
+        snapshots.append(stored, valid.join(stored.read().select("id"), "id", "left_anti").select(*want.names), want)
     refresh_plan.refresh(spark, {}, root, YEAR)
     return serving.quarterly_hires(t["marts/quarterly_hires"].read())
 
 
 @register
 def q_row_counts(spark, sf_dir):
-    """Row counts of the stored raw tables, read from their commit logs."""
-    raw = feed.raw_layer(spark, sf_dir)
-    root = run_root(spark)
-    parts = []
-    for name, df in raw.items():
-        t = snapshots.VersionedTable(spark, root, name)
+    """Row counts of the stored raw tables."""
+    root, parts = run_root(spark), []
+    for name, df in feed.raw_layer(spark, sf_dir).items():
+        t = snapshots.StoredTable(spark, root, name)
         snapshots.overwrite(t, df)
-        parts.append(t.log().select(F.lit(name).alias("table"), "rows"))
+        parts.append(t.read().agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -444,6 +453,47 @@ def q_stream_ingest(spark, sf_dir):
     return ingest_stream.ingested(spark, root + "/out", "employees").drop("batch")
 
 
+def _streamed(spark, sf_dir, deliveries: int = 1) -> str:
+    """Root of a stream that ingested the request lines, in two runs: those of the
+    employees, then the others.  Further deliveries bring all lines again."""
+    ensure_conventions(spark)
+    root, lines = run_root(spark), feed.request_lines(spark, sf_dir)
+    employees = F.coalesce(F.col("value").startswith('{"table":"employees"'), F.lit(False))
+    files = [lines.filter(employees), lines.filter(~employees), *[lines] * (deliveries - 1)]
+    for k, part in enumerate(files):
+        ingest_stream.write_lines(part, f"{root}/incoming/part={k}")
+        ingest_stream.run_available(spark, f"{root}/incoming", f"{root}/out", f"{root}/_checkpoint")
+        ingest_stream.total_available(spark, f"{root}/out", f"{root}/_totals")
+    return root + "/out"
+
+
+@register
+def q_stream_replayed_requests(spark, sf_dir):
+    """All request files delivered twice: every valid record is stored once."""
+    return ingest_stream.ingested(spark, _streamed(spark, sf_dir, deliveries=2), "employees").drop("batch")
+
+
+@register
+def q_stream_verdicts(spark, sf_dir):
+    """The requests that the stream rejected, in whatever micro-batch."""
+    return spark.read.parquet(_streamed(spark, sf_dir) + "/rejected_requests").select("table", "batch_id", "n_records", "error")
+
+
+@register
+def q_stream_summary(spark, sf_dir):
+    """Totals of each batch id over all its requests, kept up by a stateful aggregate."""
+    return ingest_stream.totals(spark, _streamed(spark, sf_dir, deliveries=2))
+
+
+@register
+def q_stream_to_mart(spark, sf_dir):
+    """Departments, jobs and employees that came as requests only -> staging -> mart."""
+    out = _streamed(spark, sf_dir)
+    root = run_root(spark)
+    refresh_plan.refresh(spark, {}, root, YEAR, ingested=out)
+    return serving.quarterly_hires(refresh_plan.tables(spark, root)["marts/quarterly_hires"].read())
+
+
 @register
 def q_above_mean_subquery(spark, sf_dir):
     """Departments above the mean with an uncorrelated scalar subquery in SQL

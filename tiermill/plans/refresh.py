@@ -1,17 +1,19 @@
 """Full refresh: raw -> staging + quarantine -> checks -> marts -> DLQ export.
 
-Each layer table is a :class:`~tiermill.operators.snapshots.VersionedTable`
+Each layer table is a :class:`~tiermill.operators.snapshots.StoredTable`
 under ``root``; each step reads the previous layer from storage, so every
 step starts from a cut lineage and a failed step leaves the published
 versions untouched.  The blocking checks run on staging *before* the marts
 are published.  Tables of one step do not depend on each other and are
 written by concurrent jobs, so small dimension writes overlap the large ones.
 Raw tables that are stored already (by an ingest that appends to them) are taken
-as they are: ``raw`` names only those to replace.
+as they are: ``raw`` names only those to replace.  The valid records of a request stream
+(``ingested``) are part of the raw layer.
 """
 
 from __future__ import annotations
 
+import os
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -20,52 +22,53 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import dlq, marts, quality, staging
-from ..operators.snapshots import VersionedTable, overwrite
+from ..operators.snapshots import StoredTable, overwrite
 from ..session import ensure_conventions
 
 DIMENSIONS = {"departments": "department", "jobs": "job"}
 
 
-def tables(spark: SparkSession, root: str) -> dict[str, VersionedTable]:
+def tables(spark: SparkSession, root: str) -> dict[str, StoredTable]:
     names = ["raw/employees", "raw/departments", "raw/jobs",
              "staging/employees", "staging/departments", "staging/jobs",
              "quarantine/employees", "marts/quarterly_hires", "marts/dept_performance"]
     # staging is partitioned by hire year: the marts read one year, so the
     # scan is pruned to one directory.
     partitioning = {"staging/employees": ["hire_year"]}
-    return {n: VersionedTable(spark, root, n, partition_by=partitioning.get(n)) for n in names}
+    return {n: StoredTable(spark, root, n, partition_by=partitioning.get(n)) for n in names}
 
 
-def publish(spark: SparkSession, name: str, table: VersionedTable, prefix: str = "tiermill") -> str:
+def publish(spark: SparkSession, name: str, table: StoredTable, prefix: str = "tiermill") -> str:
     """Point the catalog table ``<prefix>_<layer>.<table>`` at the current
     version of ``table`` (an external table whose location moves with each
-    commit), so the layers can be read by name and from SQL."""
+    version), so the layers can be read by name and from SQL."""
     layer, short = name.split("/", 1)
-    fq = schemas.table_name(layer, short, prefix)
-    paths = table.current()["paths"]
+    fq, path = schemas.table_name(layer, short, prefix), table.current()
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schemas.schema_name(layer, prefix=prefix)}")
-    known = spark.catalog.getTable(fq).tableType if spark.catalog.tableExists(fq) else None
-    if known is not None and (known == "VIEW") != (len(paths) > 1):
-        spark.sql(f"DROP {'VIEW' if known == 'VIEW' else 'TABLE'} {fq}")  # external: no data goes
-        known = None
-    if len(paths) > 1:  # a table that was appended to
-        parts = " UNION ALL ".join(f"SELECT * FROM {table.fmt}.`{p}`" for p in paths)
-        spark.sql(f"CREATE OR REPLACE VIEW {fq} AS {parts}")
-        return fq
-    if known:
-        spark.sql(f"ALTER TABLE {fq} SET LOCATION '{paths[0]}'")
+    if spark.catalog.tableExists(fq):
+        spark.sql(f"ALTER TABLE {fq} SET LOCATION '{path}'")
         spark.catalog.refreshTable(fq)
     else:
-        spark.sql(f"CREATE TABLE {fq} USING {table.fmt} LOCATION '{paths[0]}'")
+        spark.sql(f"CREATE TABLE {fq} USING {table.fmt} LOCATION '{path}'")
     if table.partition_by:
         spark.sql(f"MSCK REPAIR TABLE {fq}")
     return fq
 
 
+def raw_rows(spark: SparkSession, table: StoredTable, name: str, ingested: str | None) -> DataFrame:
+    """The raw layer's rows of a table: those stored, and those of a request stream."""
+    want = schemas.RAW[name]
+    parts = [table.read()] if ingested is None or table.current() else []
+    if ingested is not None:
+        new = spark.read.parquet(os.path.join(ingested, "raw", name))
+        parts.append(new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want.fields]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, year: int,
             as_of: str | None = None, gate: bool = True,
-            blank_name_to_staging: bool = True, catalog_prefix: str | None = None) -> dict:
-    """Run the whole refresh; returns the commit entry of every table and
+            blank_name_to_staging: bool = True, catalog_prefix: str | None = None, ingested: str | None = None) -> dict:
+    """Run the whole refresh; returns path and rows of every table written and
     the check rows.  Raises QualityGateError (no mart version, no name moved)
     when a blocking check fails and ``gate`` is on.  With ``catalog_prefix``
     every table is published to the session catalog at the end."""
@@ -83,12 +86,12 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, year: int
     if writes:
         step(writes)
 
-    raw_emp = t["raw/employees"].read()
+    raw_emp = raw_rows(spark, t["raw/employees"], "employees", ingested)
     step({
         "staging/employees": staging.staging_employees(raw_emp, as_of, blank_name_to_staging)
                              .withColumn("hire_year", F.year("hired_at")),
         "quarantine/employees": staging.quarantine_employees(raw_emp, as_of),
-        **{f"staging/{name}": staging.staging_dimension(t[f"raw/{name}"].read(), col)
+        **{f"staging/{name}": staging.staging_dimension(raw_rows(spark, t[f"raw/{name}"], name, ingested), col)
            for name, col in DIMENSIONS.items()},
     })
 
@@ -102,15 +105,12 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, year: int
     out["dlq/quarantine"] = dlq.write_quarantine_export(
         t["quarantine/employees"].read(), root, as_of)
     if catalog_prefix:
-        for name, table in t.items():
-            publish(spark, name, table, catalog_prefix)
+        for name in [n for n, table in t.items() if table.current()]:
+            publish(spark, name, t[name], catalog_prefix)
     return {"commits": out, "checks": check_rows}
 
 
 def table_counts(spark: SparkSession, root: str) -> DataFrame:
-    """(table, rows) of the current version of every layer table, read from
-    the commit logs."""
-    parts = [vt.log().orderBy(F.desc("version")).limit(1)
-             .select(F.lit(name).alias("table"), "rows")
-             for name, vt in tables(spark, root).items()]
+    """(table, rows) of every layer table."""
+    parts = [t.read().agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows") for name, t in tables(spark, root).items()]
     return reduce(DataFrame.unionByName, parts)

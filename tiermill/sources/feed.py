@@ -72,10 +72,12 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 # Fixed values of the request lines: the key ranges that bound a batch (orders
 # have narrow ones, and in every fourth wide range one batch over the limit), and
-# the divisors of the order key that give a record an unusual token.
+# the divisors of the order key that give a record an unusual token, and the first
+# ids of the departments and jobs that come with the requests only.
 ORDERS_BLOCK, ORDERS_WIDE, PARTS_BLOCK, SUPPLIERS_BLOCK = 750, 6000, 400, 500
 TOKEN_LONG_ID, TOKEN_TEXT_ID, TOKEN_HUGE_ID = 61, 43, 59
 TOKEN_NUMBER_NAME, TOKEN_OBJECT_NAME, TOKEN_NO_OBJECT = 53, 47, 41
+NEW_DEPARTMENTS, NEW_JOBS = 25, 2001
 LONG_ID, HUGE_ID = 1_000_000_000_000_000_000, "99999999999999999999"
 
 
@@ -104,7 +106,8 @@ def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request lines (column ``value``) over the driver's tables: every raw
     employee, nation, part and supplier as a record, every row kept.  A batch is
     a range of the table's unique key, so its records are bounded whatever the
-    size of the table.  The regions add one line of each other kind: a null
+    size of the table.  Each nation sends a department and a job that the raw layer may
+    not have.  The regions add one line of each other kind: a null
     table, no batch id, no records, malformed text, and no ``data``."""
     def requests(name: str, table: str, batch: Column, key: str, record: Column) -> DataFrame:
         rows = testdata(spark, sf_dir, name).select(batch.alias("batch"), F.col(key).cast("bigint").alias("key"), record.alias("record"))
@@ -123,7 +126,11 @@ def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('{"table":"jobs","batch_id":"region-2","data":[]}'),
         F.lit('{"table":"jobs","batch_id":"region-3","data":[{"id":4,'),
         F.lit('{"table":"jobs","batch_id":"region-4"}')), (F.col("r_regionkey") % 5 + 1).cast("int")).alias("value"))
+    new_department = F.to_json(F.struct((F.col("n_nationkey") + NEW_DEPARTMENTS).cast("bigint").alias("id"), F.concat(F.lit("new "), "n_name").alias("department")))
+    new_job = F.to_json(F.struct((F.col("n_nationkey") + NEW_JOBS).cast("bigint").alias("id"), F.concat(F.lit("new "), "n_name").alias("job")))
     return (requests("orders", "employees", orders, "o_orderkey", employee_record())
+            .unionByName(requests("nation", "departments", block("new-", "n_nationkey", 1), "n_nationkey", new_department))
+            .unionByName(requests("nation", "jobs", block("new-", "n_nationkey", 1), "n_nationkey", new_job))
             .unionByName(requests("nation", "departments", block("region-", "n_regionkey", 1), "n_nationkey",
                                   F.to_json(F.struct(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("department")))))
             .unionByName(requests("part", "jobs", block("parts-", "p_partkey", PARTS_BLOCK), "p_partkey",
