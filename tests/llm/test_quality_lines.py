@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 from conftest import SF_ORACLE
 from fixtures import AWKWARD, CLASHES, awkward, corpus, empty
 from tiermill.llm.catalog import QUERIES
-from tiermill.llm.quality import judge, train
+from tiermill.llm.quality import fit_quality, judge, splices, train
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -52,3 +52,37 @@ def test_clashing_names_and_empty(spark):
     assert out.count() == len(AWKWARD)
     assert judge(empty(spark), model()).collect() == []
     assert judge(empty(spark), train([])).collect() == []
+
+
+def test_splices_keep_every_line_once_and_switch_labels():
+    counts, labels = [3, 0, 5, 1, 4, 2], [0, 1, 1, 0, 1, 0]
+    chains = splices(counts, labels, 0.5, 6, 1)
+    seen = [x for chain in chains for x in chain]
+    assert sorted(seen) == [(d, i) for d, n in enumerate(counts) for i in range(n)]
+    assert all([i for e, i in seen if e == d] == list(range(n)) for d, n in enumerate(counts))
+    assert all(len(c) <= 6 for c in chains) and any(len({labels[d] for d, _ in c}) == 2 for c in chains)
+    assert splices([], [], 0.5, 6, 1) == []
+
+
+def test_learned_model_marks_lines_of_mixed_documents(spark):
+    """The model learned from the table, on documents spliced from stretches of
+    good and of bad documents that it did not learn from."""
+    docs, labels = (spark.read.parquet(f"{SF_ORACLE}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit_quality(docs.where("doc_id % 2 = 0"), labels)
+    quality = {r.doc_id: r.quality for r in labels.where("doc_id % 2 = 1").collect()}
+    own: dict = {0: [], 1: []}
+    for r in docs.where("doc_id % 2 = 1 AND text IS NOT NULL").collect():
+        lines = [x for x in r.text.split("\n") if x.split()]
+        if r.doc_id in quality and len(lines) >= 3:
+            own[quality[r.doc_id]].append(lines[:6])
+    pairs = list(zip(own[1], own[0], strict=False))
+    assert len(pairs) >= 10
+    given = [(k, "\n".join(a + b if k % 2 else b + a)) for k, (a, b) in enumerate(pairs)]
+    right = total = both = 0
+    for r in judge(spark.createDataFrame(given, "doc_id long, text string"), model).collect():
+        a, b = pairs[r.doc_id]
+        want = [True] * len(a) + [False] * len(b) if r.doc_id % 2 else [False] * len(b) + [True] * len(a)
+        right += sum(x == y for x, y in zip(r.lines, want, strict=True))
+        total += len(want)
+        both += len(set(r.lines)) == 2
+    assert right >= 0.9 * total and both >= 0.8 * len(pairs)

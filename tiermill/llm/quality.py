@@ -4,7 +4,8 @@ The lines of a document that hold a word are one chain.  A line is described by
 its own looks (length, symbols, capitals, digits, separators, repetition), and
 by the looks of no other line: what its neighbours say reaches it through the
 learned transitions.  Labels are per document, so every line of a training
-document takes its document's label.  Viterbi decoding marks each line; the
+document takes its document's label, and training chains are spliced from
+stretches of lines of differently labelled documents.  Viterbi decoding marks each line; the
 share of words that stand in content lines decides whether a document stays.
 """
 
@@ -86,14 +87,39 @@ def _numbers(looks: list[list[int]]) -> np.ndarray:
     return 1 + np.arange(LOOKS) * VALUES + x
 
 
-def train(rows: list[tuple[str, int]]) -> Model:
+def splices(counts: list[int], labels: list[int], switch: float, chain_lines: int, seed: int) -> list[list[tuple[int, int]]]:
+    """Chains of (document, line), each line of each document once and in its
+    order.  After a line, ``switch`` is the chance that the chain goes on in a document
+    of another label, if one is left."""
+    rng = np.random.default_rng(seed)
+    queues: dict[int, list[int]] = {}
+    for d in rng.permutation(len(counts)).tolist():
+        if counts[d]:
+            queues.setdefault(labels[d], []).append(d)
+    at = [0] * len(counts)
+    chains: list[list[tuple[int, int]]] = []
+    while any(queues.values()):
+        chain: list[tuple[int, int]] = []
+        label = max(queues, key=lambda k: len(queues[k]))
+        while len(chain) < chain_lines and any(queues.values()):
+            if not queues[label] or rng.random() < switch:
+                label = next((k for k in queues if k != label and queues[k]), label)
+            d = queues[label][-1]
+            chain.append((d, at[d]))
+            at[d] += 1
+            if at[d] == counts[d]:
+                queues[label].pop()
+        chains.append(chain)
+    return chains
+
+
+def train(rows: list[tuple[str, int]], switch: float = 0.15, chain_lines: int = 200, seed: int = 13) -> Model:
     """Fit on (text, label) rows; label 1 is content."""
-    looks, labels, counts = [], [], []
-    for text, label in rows:
-        own, _ = lines_of(text.encode())
-        looks += own
-        labels += [int(label)] * len(own)
-        counts.append(len(own))
+    own = [lines_of(text.encode())[0] for text, _ in rows]
+    chains = splices([len(x) for x in own], [int(label) for _, label in rows], switch, chain_lines, seed)
+    looks = [own[d][i] for chain in chains for d, i in chain]
+    labels = [int(rows[d][1]) for chain in chains for d, _ in chain]
+    counts = [len(chain) for chain in chains]
     kinds, items = np.unique(_numbers(looks), axis=0, return_inverse=True) if looks else (np.zeros((0, LOOKS), int), np.zeros(0, int))
     return Model(*fit(items.ravel(), kinds, np.array(labels, dtype=np.int64), np.array(counts, dtype=np.int64),
                       1 + LOOKS * VALUES, 2, rounds=12, parts=8))
@@ -102,7 +128,7 @@ def train(rows: list[tuple[str, int]]) -> Model:
 def training_rows(df: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", doc_id: str = "doc_id",
                   per_label: int = SAMPLE_PER_LABEL) -> list[tuple[str, int]]:
     """About ``per_label`` labelled documents of each label (0 and 1), chosen by
-    the hash of their ids; the ids drawn are joined to the texts."""
+    the hash of their ids.  The ids drawn pass the driver, and are a filter of the texts."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(
         F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
     counts = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
@@ -110,9 +136,13 @@ def training_rows(df: DataFrame, labels: DataFrame, label: str = "quality", text
     for k, n in counts.items():
         rate = F.when(F.col("_label") == k, F.lit(min(1.0, per_label / n))).otherwise(rate)
     drawn = known.where(F.pmod(F.xxhash64("_id", F.lit("quality")), F.lit(1 << 40)) < rate * (1 << 40))
-    texts = df.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    found = texts.join(drawn, "_id").select("_id", "_text", "_label").collect()
-    return [(r[1], r[2]) for r in sorted(found, key=lambda r: (str(r[0]), r[2], r[1]))]
+    labels_of: dict = {}
+    for r in drawn.distinct().collect():
+        labels_of.setdefault(r[0], []).append(r[1])
+    if not labels_of:
+        return []
+    found = df.where(F.col(text).isNotNull() & F.col(doc_id).isin(list(labels_of))).select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).collect()
+    return [(t, label) for i, t in sorted(map(tuple, found), key=lambda r: (str(r[0]), r[1])) for label in sorted(labels_of[i])]
 
 
 def fit_quality(df: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", doc_id: str = "doc_id",
