@@ -1,9 +1,10 @@
-"""Token ids of whole texts, a word at a time.
+"""Token ids of whole texts, a part at a time.
 
-A tokenizer that drops white space gives a text the ids of its words one after
-another, so each distinct word is tokenized once a task and then looked up.
-Words of ASCII and Latin-1 letters, which its normalizer only lower-cases, go
-straight to its merge table; any other word takes the full tokenizer.
+A tokenizer that drops white space gives a text the ids of its pre-tokenized parts
+one after another, so each distinct part is tokenized once a worker and then looked up.
+A text of ASCII and Latin-1 letters, which its normalizer only lower-cases, is cut
+into parts at once; of any other text, words of such letters are, and any other
+word takes the full tokenizer.
 """
 
 from __future__ import annotations
@@ -16,12 +17,14 @@ import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
-#: Words that a worker holds at a time: as many again of those it held before.
-HELD = 150_000
+#: Parts that a worker holds at a time, and words of other texts: as many again of
+#: those it held before.
+HELD, HELD_WORDS = 300_000, 30_000
 
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_TEXT = re.compile(r"[\t-\r !-~À-ÖØ-öø-ÿ]*")
 _LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
-_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9\s]+")
 #: The pre-tokenizer pattern that _PARTS stands for, on plain words.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -73,7 +76,7 @@ class WordIds:
                 ids = b"".join(map(self._part, _PARTS.findall(text.lower())))
             else:
                 ids = self._all(text)
-        if len(self.words) >= HELD:
+        if len(self.words) >= HELD_WORDS:
             self.words_before, self.words = self.words, {}
         self.words[word] = ids
         return ids
@@ -81,6 +84,10 @@ class WordIds:
     def __call__(self, text: bytes) -> bytes:
         if not self.by_word:
             return self._all(text.decode())
+        plain = text.decode()
+        if _PLAIN_TEXT.fullmatch(plain) and not self.special.search(text):
+            held = self.parts.get
+            return b"".join([held(p) or self._part(p) for p in _PARTS.findall(plain.lower())])
         known = self.words.get
         return b"".join([known(w) or self._word(w) for w in text.split()])
 
