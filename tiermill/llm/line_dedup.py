@@ -1,20 +1,18 @@
 """Line dedup by pairwise alignment.
 
-Documents that share a telling line hash are paired: each later document with
-the earliest document that has that line, so a line of k documents makes k - 1
-pairs, not k * k.  Telling ("anchors") are
-
-* a rare line: of ``anchor_words`` words or more, in ``rare`` documents at most,
-* a long line, of ``long_words`` words or more, or of ``block_words``, which is
-  a block by itself, in any number of documents,
-* two neighbouring lines, or the only line of a document, in any number.
-
-So large groups of copies, whose lines are no longer rare, are still paired, and
-a short line of boilerplate that many documents have pairs nobody by itself.
+A common block is a run of neighbouring lines of ``block_words`` words or more.  Documents
+that share one are paired by the hashes of its least runs: from each line on, and up
+to each line, the shortest run of so many words.  Every line of a block lies in such
+a run that is within the block, and each later document is paired with the earliest
+document that has the run.  So a run of k documents makes k - 1 pairs, not k * k,
+however many documents have it, and no block is lost to a third document.
+Documents that are smaller than a block are paired by their lines of ``anchor_words`` words or more,
+by two neighbouring lines and, if they have one line only, by that.
 
 Each pair is aligned by patience diff over all its lines: equal ends are taken
 off, lines that are unique on both sides are matched in their longest ascending
-chain, and the stretches between them are aligned in the same way.  Runs of
+chain, and the stretches between them are aligned in the same way.  A run that both have
+but in another order, so that the alignment leaves it out, is aligned by itself.  Runs of
 neighbouring aligned lines are common blocks; those of ``block_words`` words or
 more, and any that is the whole later document, are deleted from the later one.
 All is judged on the texts as they come in.
@@ -95,9 +93,67 @@ def blocks(aligned: list[tuple[int, int]], words: list[int], block_words: int) -
     return out
 
 
-def line_table(df: DataFrame, text: str, doc_id: str, anchor_words: int, long_words: int, block_words: int) -> DataFrame:
+def least_runs(words: np.ndarray, block_words: int) -> np.ndarray:
+    """(first, last) of the shortest runs of ``block_words`` words from each line on and up to each line."""
+    total = np.cumsum(words)
+    before = total - words
+    first = np.arange(len(words))
+    last = np.searchsorted(total, before + block_words)
+    on = np.stack([first, last], axis=1)[last < len(words)]
+    start = np.searchsorted(before, total - block_words, "right") - 1
+    up = np.stack([start, first], axis=1)[total >= block_words]
+    return np.unique(np.concatenate([on, up]), axis=0)
+
+
+_BASE, _BACK = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+
+
+def run_hashes(lines: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Hash of each run of lines, whatever stands around it."""
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(len(lines) + 1, _BASE, dtype=np.uint64))
+        back = np.cumprod(np.full(len(lines) + 1, _BACK, dtype=np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lines * back[:-1])])
+        own = (sums[runs[:, 1] + 1] - sums[runs[:, 0]]) * power[runs[:, 0]]
+        return mix(own + (runs[:, 1] - runs[:, 0]).astype(np.uint64))
+
+
+def anchors(lines: np.ndarray, words: np.ndarray, anchor_words: int, block_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a document, and whether it looks for owners of them (2) or
+    only has them (1)."""
+    runs = least_runs(words, block_words)
+    at = np.arange(len(words))
+    one = at[(words >= anchor_words) & (words < block_words)]
+    two = at[:-1][words[:-1] + words[1:] < block_words]
+    small = np.concatenate([np.stack([one, one], axis=1), np.stack([two, two + 1], axis=1)])
+    keys = np.concatenate([run_hashes(lines, runs), run_hashes(lines, small), mix(lines + np.uint64(1)) if len(lines) == 1 else lines[:0]])
+    seeks = np.full(len(keys), 2 if words.sum() < block_words else 1)
+    seeks[:len(runs)] = 2
+    keys, first = np.unique(keys, return_index=True)
+    return keys, seeks[first].astype(np.int32)
+
+
+def moved(a: list[int], b: list[int], words: list[int], block_words: int, done: list[int]) -> list[int]:
+    """Lines of ``b`` in least runs that ``a`` holds as well, if any is not in ``done``."""
+    size = dict(zip(b, words, strict=True))
+    held, left = set(), []
+    for k, x in enumerate([*a, None]):
+        if x in size:
+            left.append(k)
+        elif left:
+            own = np.array([size[a[i]] for i in left])
+            held.update(tuple(a[left[i]:left[j] + 1]) for i, j in least_runs(own, block_words))
+            left = []
+    out = set(done)
+    for i, j in least_runs(np.array(words), block_words):
+        if tuple(b[i:j + 1]) in held:
+            out.update(range(i, j + 1))
+    return sorted(out)
+
+
+def line_table(df: DataFrame, text: str, doc_id: str, anchor_words: int, block_words: int) -> DataFrame:
     """For each row with an id: hashes and word counts of its lines that hold a
-    word, and its anchors: kind 1 counts only if it is rare, kind 2 always."""
+    word, and its anchors."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -106,14 +162,9 @@ def line_table(df: DataFrame, text: str, doc_id: str, anchor_words: int, long_wo
                 for body in texts:
                     own = [x for x in (line.split() for line in (body or b"").split(b"\n")) if x]
                     h = hash_words([b" ".join(x) for x in own])
-                    n = np.array([len(x) for x in own], dtype=np.int32)
-                    with np.errstate(over="ignore"):
-                        two = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) if len(h) > 1 else mix(h + np.uint64(1))
-                    one = np.flatnonzero(n >= min(anchor_words, long_words, block_words))
-                    keys = np.concatenate([h[one], two])
-                    kinds = np.concatenate([np.where(n[one] >= min(long_words, block_words), 2, 1), np.full(len(two), 2)])
-                    keys, first = np.unique(keys, return_index=True)
-                    for column, v in zip(rows, (h.view(np.int64), n, kinds[first].astype(np.int32), keys.view(np.int64)), strict=True):
+                    n = np.array([len(x) for x in own], dtype=np.int64)
+                    keys, kinds = anchors(h, n, anchor_words, block_words)
+                    for column, v in zip(rows, (h.view(np.int64), n.astype(np.int32), kinds, keys.view(np.int64)), strict=True):
                         column.append(v)
                 kinds_ = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), *map(pa.array, rows, kinds_)],
@@ -129,20 +180,19 @@ def _signature(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
 
-def pairs_of(lines: DataFrame, rare: int) -> DataFrame:
-    """(later, earlier) documents that share an anchor."""
+def pairs_of(lines: DataFrame) -> DataFrame:
+    """(later, earlier): each document with the earliest owner of each key it looks for."""
     keys = lines.select("doc_id", F.explode(F.arrays_zip("kinds", "keys")).alias("x")).select("doc_id", F.col("x.kinds").alias("kind"), F.col("x.keys").alias("key"))
-    first = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("kind").alias("most"), F.min("doc_id").alias("earlier"),
-                                    F.max("doc_id").alias("latest"))
-    told = first.where("earlier < latest").where((F.col("n") <= rare) | (F.col("most") == 2)).select("key", "earlier")
-    return keys.join(told, "key").where("earlier < doc_id").select(F.col("doc_id").alias("later"), "earlier").distinct()
+    first = keys.groupBy("key").agg(F.min("doc_id").alias("earlier"), F.max("doc_id").alias("latest"))
+    told = first.where("earlier < latest").select("key", "earlier")
+    return keys.where("kind = 2").join(told, "key").where("earlier < doc_id").select(F.col("doc_id").alias("later"), "earlier").distinct()
 
 
-def aligned_lines(df: DataFrame, text: str, doc_id: str, rare: int, anchor_words: int, long_words: int, block_words: int) -> DataFrame:
+def aligned_lines(df: DataFrame, text: str, doc_id: str, anchor_words: int, block_words: int) -> DataFrame:
     """For each later document (doc_id, sig): the numbers of its deleted lines,
     among those that hold a word, and the earlier documents they stand in."""
-    lines = cut(line_table(df, text, doc_id, anchor_words, long_words, block_words))
-    pairs = pairs_of(lines, rare)
+    lines = cut(line_table(df, text, doc_id, anchor_words, block_words))
+    pairs = pairs_of(lines)
     own = lines.select("doc_id", "sig", "lines", "words")
     both = (pairs.join(own.withColumnsRenamed({"doc_id": "later", "lines": "b"}), "later")
             .join(own.drop("words", "sig").withColumnsRenamed({"doc_id": "earlier", "lines": "a"}), "earlier"))
@@ -151,7 +201,7 @@ def aligned_lines(df: DataFrame, text: str, doc_id: str, rare: int, anchor_words
         for b in batches:
             later, sigs, earlier, found = [], [], [], []
             for x, sig, y, mine, words, theirs in zip(*(b.column(c).to_pylist() for c in ("later", "sig", "earlier", "b", "words", "a")), strict=True):
-                hit = blocks(patience(theirs, mine), words, block_words)
+                hit = moved(theirs, mine, words, block_words, blocks(patience(theirs, mine), words, block_words))
                 if hit:
                     later.append(x)
                     sigs.append(sig)
@@ -166,8 +216,7 @@ def aligned_lines(df: DataFrame, text: str, doc_id: str, rare: int, anchor_words
                                       F.array_sort(F.collect_set("earlier")).alias("sources"))
 
 
-def line_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", rare: int = 20, anchor_words: int = 5,
-               long_words: int = 25, block_words: int = 10) -> DataFrame:
+def line_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", anchor_words: int = 5, block_words: int = 10) -> DataFrame:
     """``df`` with the common blocks deleted from ``text``, and three columns more:
     n_lines and n_removed (lines that hold a word) and sources (ids of the
     earlier documents).  Columns of these names are replaced.
@@ -178,7 +227,7 @@ def line_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", rare:
     are not compared with each other; what an earlier document holds of any of
     them is deleted from the row that has it.  Other columns pass through.
     """
-    gone = aligned_lines(df, text, doc_id, rare, anchor_words, long_words, block_words)
+    gone = aligned_lines(df, text, doc_id, anchor_words, block_words)
     added = ("n_lines", "n_removed", "sources")
     keep = [f for f in df.schema if f.name not in added]
     names = [f.name for f in keep]
