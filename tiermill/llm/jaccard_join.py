@@ -16,9 +16,10 @@ gives the same links.
 
 Only classes are asked for, so a list of k members need not be expanded into all
 its pairs: first, all are compared with the most central member, twice; then
-only pairs whose documents are still in different classes are compared, in rounds: a
-few pairs of each two classes, then more of those two that are still apart.  Every
-pair is compared, or its two classes have become one, so the classes are exact.
+only pairs whose documents are still in different classes are made and compared, in
+rounds: a sixty-fourth of them, an eighth, and all.  Lists that lie within one class
+leave between the rounds.  Every pair is compared, or its two classes have become
+one before, so the classes are exact.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.llm.blobs import pack, pack_sorted, range_of, run_numbers, runs, spans, unpack, unpack_sorted
@@ -281,18 +282,19 @@ def jaccard_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", s
         links = cut(_verified(_light_pairs(able, most, percent).select(F.col("doc").alias("a"), F.col("other").alias("b")), able, percent)
                     .union(_verified(_starred(lists.withColumn("c", F.col("doc")), most, percent), able, percent)))
         labels = cut(components(links))
-        for last in (False, True):
-            marked = lists.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
-                *lists.columns, F.coalesce("root", "doc").alias("c"))
+        columns = lists.columns
+        for part in (None, *ROUNDS):
+            marked = lists.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(*columns, F.coalesce("root", "doc").alias("c"))
             split = marked.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("tok")
             marked = cut(marked.join(split, "tok"))
-            if last:
-                more = _joined(_across(marked, most, percent), able, percent)
-            else:
-                more = cut(_verified(_starred(marked, most, percent, other=True), able, percent))
-            links = links.union(more)
+            if marked.isEmpty():
+                break
+            pairs = _starred(marked, most, percent, other=True) if part is None else _across(marked, most, percent, *part)
+            more = cut(_verified(pairs, able, percent))
             if not more.isEmpty():
+                links = links.union(more)
                 labels = cut(components(links))
+            lists = marked.select(*columns)
     out = sets.select("doc_id", F.col("n").alias("n_shingles"))
     if labels is None:
         out = out.withColumn("component_id", F.col("doc_id"))
@@ -323,39 +325,18 @@ def _starred(lists: DataFrame, most: int, percent: int, other: bool = False) ->
     return met.select(F.col("doc").alias("a"), "b").distinct()
 
 
-def _across(lists: DataFrame, most: int, percent: int) -> DataFrame:
-    """All pairs of a list whose members are in different classes.  The largest
-    class of each list meets the rest; it never meets itself."""
+#: Slices of the pairs across classes, of 64, in each round.
+ROUNDS = ((0, 1), (1, 8), (8, 64))
+
+
+def _across(lists: DataFrame, most: int, percent: int, low: int, high: int) -> DataFrame:
+    """Pairs of a list whose members are in different classes, of the slices from
+    ``low`` to below ``high``.  The largest class of each list meets the rest; it never meets itself."""
     share = lists.groupBy("tok", "c").count()
     main = share.groupBy("tok").agg(F.max(F.struct("count", "c")).alias("x")).select("tok", F.col("x.c").alias("main"))
-    told = cut(lists.join(main, "tok"))
+    told = lists.join(main, "tok")
     others = told.where("c != main").select("tok", F.col("doc").alias("b"), *[F.col(c).alias(o) for c, o in _OTHER.items()])
-    met = told.join(others, "tok").where((F.col("c") != F.col("c_b")) & ((F.col("c") == F.col("main")) | (F.col("doc") < F.col("b"))) & _possible(most, percent))
-    own = F.col("doc") < F.col("b")
-    return met.select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b"),
-                      F.when(own, F.col("c")).otherwise(F.col("c_b")).alias("c"), F.when(own, F.col("c_b")).otherwise(F.col("c")).alias("c_b")).distinct()
-
-
-def _joined(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among ``pairs`` (a, b, and their classes c, c_b) that join all classes
-    that any of the pairs would join.
-
-    A round compares a few pairs of each two classes, joins those that turn
-    out linked, and leaves out what is now within one class; the few grow eightfold, so
-    two classes that stay apart are through in rounds as the logarithm of their pairs."""
-    left, found, few = cut(pairs), None, 1
-    while True:
-        order = Window.partitionBy(F.least("c", "c_b"), F.greatest("c", "c_b")).orderBy("a", "b")
-        now = cut(left.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= few))
-        if now.isEmpty():
-            return left.select("a", "b").limit(0) if found is None else found
-        met = cut(_verified(now.select("a", "b"), sets, percent))
-        found = met if found is None else found.union(met)
-        left = left.join(now.select("a", "b"), ["a", "b"], "left_anti")
-        if not met.isEmpty():
-            root = cut(components(now.join(met, ["a", "b"]).select(F.col("c").alias("a"), F.col("c_b").alias("b"))))
-            for c in ("c", "c_b"):
-                named = root.select(F.col("node").alias(c), F.col("root").alias("_r"))
-                left = left.join(named, c, "left").withColumn(c, F.coalesce("_r", c)).drop("_r")
-        left = cut(left.where("c != c_b").select("a", "b", "c", "c_b"))
-        few *= 8
+    sliced = F.pmod(F.xxhash64(F.least("doc", "b"), F.greatest("doc", "b")), F.lit(64))
+    met = told.join(others, "tok").where((F.col("c") != F.col("c_b")) & ((F.col("c") == F.col("main")) | (F.col("doc") < F.col("b")))
+                                         & (sliced >= low) & (sliced < high) & _possible(most, percent))
+    return met.select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b")).distinct()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.llm.common import cut
-from tiermill.llm.components import components
+from tiermill.llm.components import components, unite
 from tiermill.llm.vectors import common_length, finite_rows
 
 #: Members of a bucket that are compared as one; of an average bucket; and rows
@@ -51,22 +51,6 @@ def hyperplanes(dim: int, signs: int, tables: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, signs * tables))
 
 
-def _roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Unite the places a[i] and b[i]: ``root`` holds the smallest place of each
-    component found so far."""
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        np.minimum.at(root, root[a], low)
-        np.minimum.at(root, root[b], low)
-        while True:
-            up = root[root]
-            if (up == root).all():
-                break
-            root[:] = up
-        apart = root[a] != root[b]
-        a, b = a[apart], b[apart]
-
-
 def bucket_links(x: np.ndarray, m: np.ndarray, signs: np.ndarray, table: int, split: np.ndarray | None, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """Weighted links of each member of a bucket, and its root among the members.
     ``split`` tells two tiles apart of which only pairs across count.  Pairs that
@@ -89,7 +73,7 @@ def bucket_links(x: np.ndarray, m: np.ndarray, signs: np.ndarray, table: int, sp
             a, b = a[fresh], b[fresh]
             np.add.at(links, a, m[b])
             np.add.at(links, b, m[a])
-            _roots(root, a, b)
+            unite(root, a, b)
     return links, root
 
 
