@@ -71,3 +71,14 @@ def test_raw_to_mart_parses_each_time_once(spark):
 def test_layer_counts_scan_raw_once(spark):
     from tiermill.plans.catalog import QUERIES
     assert plan_of(QUERIES["layer_counts"](spark, SF_SMALL)).count("FileScan parquet") == 1
+
+
+def test_deltas_do_not_read_the_stored_fact(spark, root):
+    L = layers(spark, SF_SMALL)
+    counts = StoredTable(spark, root, "marts/hire_counts")
+    overwrite(counts, marts.hire_counts(L["staging"], 1997))
+    delta = spark.createDataFrame([(1, 1, 0, 0, 0, 1, 1)], "department_id long, job_id long, Q1 long, Q2 long, Q3 long, Q4 long, total_hires long")
+    plan = plan_of(marts.with_deltas(counts.read(), delta))
+    assert "orders" not in plan and "hire_counts" in plan
+    taken = marts.with_deltas(counts.read(), marts.hire_counts(L["staging"], 1997, sign=-1))
+    assert taken.count() == 0

@@ -28,3 +28,14 @@ def test_quality_pct_and_empty_raw(spark):
     assert (r.raw, r.valid, r.quality_pct, r.passed) == (2, 1, 50.0, False)
     empty = spark.createDataFrame([], schemas.RAW_EMPLOYEES)
     assert quality.quality_pct(empty, staging.staging_employees(empty)).first().quality_pct is None
+
+
+def test_reconcile_finds_one_altered_row(spark):
+    rows = [(i, f"n{i}") for i in range(200)] + [(None, "x"), (None, "x")]
+    left = spark.createDataFrame(rows, "id long, name string")
+    assert {r.equal for r in quality.reconcile(left, left.select("name", "id").repartition(5), "id").collect()} == {True}
+    other = spark.createDataFrame([(i, "changed" if i == 77 else n) for i, n in rows], "id long, name string")
+    assert [(r["range"], r.rows_left, r.rows_right) for r in quality.reconcile(left, other, "id").filter("NOT equal").collect()] == [(77 % 64, 3, 3)]
+    twice = left.unionByName(left.limit(1)).exceptAll(left.filter("id = 70"))
+    assert quality.reconcile(left, twice, "id").filter("NOT equal").count() >= 1
+    assert quality.reconcile(left, left.limit(0), "id").filter("equal").count() == 0

@@ -14,6 +14,8 @@ merge), as the mart defines.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,24 @@ def _in_year_fact(fact: DataFrame, time_col: str, year: int) -> DataFrame:
     return fact.filter(cond)
 
 
+COUNTS = [*[f"Q{q}" for q in QUARTERS], "total_hires"]
+
+
+def hire_counts(fact: DataFrame, year: int, time_col: str = "hired_at", fact_keys: tuple[str, str] = ("department_id", "job_id"), sign: int = 1) -> DataFrame:
+    """Hires of ``year`` per (department id, job id): Q1..Q4 and the total.  With
+    ``sign`` -1 they are what deleting the rows takes away."""
+    quarter = F.quarter(time_col)
+    return _in_year_fact(fact, time_col, year).groupBy(*fact_keys).agg(
+        *[(F.lit(sign) * F.count_if(quarter == q)).alias(f"Q{q}") for q in QUARTERS], (F.lit(sign) * F.count(F.lit(1))).alias("total_hires"))
+
+
+def with_deltas(counts: DataFrame, *deltas: DataFrame, fact_keys: tuple[str, str] = ("department_id", "job_id")) -> DataFrame:
+    """Stored counts with signed counts merged in: what a recount of the changed fact
+    gives, without reading the fact.  An update is the old row taken away and the new one added."""
+    every = reduce(DataFrame.unionByName, deltas, counts)
+    return every.groupBy(*fact_keys).agg(*[F.sum(c).alias(c) for c in COUNTS]).filter("total_hires != 0")
+
+
 def quarterly_hires(fact: DataFrame, departments: DataFrame, jobs: DataFrame,
                     year: int, time_col: str = "hired_at",
                     fact_keys: tuple[str, str] = ("department_id", "job_id"),
@@ -38,22 +58,18 @@ def quarterly_hires(fact: DataFrame, departments: DataFrame, jobs: DataFrame,
                     names: tuple[str, str] = ("department", "job")) -> DataFrame:
     """Q1..Q4 and total hires per (department, job) in ``year``; one pass of
     conditional counts instead of a pivot (which would add a shuffle)."""
+    return quarterly_from_counts(hire_counts(fact, year, time_col, fact_keys), departments, jobs, fact_keys, dim_keys, names)
+
+
+def quarterly_from_counts(per_ids: DataFrame, departments: DataFrame, jobs: DataFrame, fact_keys: tuple[str, str] = ("department_id", "job_id"),
+                          dim_keys: tuple[str, str] = ("id", "id"), names: tuple[str, str] = ("department", "job")) -> DataFrame:
+    """The quarterly mart from counts per (department id, job id)."""
     dk, jk = fact_keys
-    quarter = F.quarter(time_col)
-    per_ids = (
-        _in_year_fact(fact, time_col, year)
-        .groupBy(dk, jk)
-        .agg(*[F.count_if(quarter == q).alias(f"Q{q}") for q in QUARTERS],
-             F.count(F.lit(1)).alias("total_hires"))
-    )
     dep = departments.select(F.col(dim_keys[0]).alias("_dk"), F.col(names[0]).alias("department"))
     job = jobs.select(F.col(dim_keys[1]).alias("_jk"), F.col(names[1]).alias("job"))
     joined = (per_ids.join(dep, per_ids[dk] == dep["_dk"], "inner")
               .join(job, per_ids[jk] == job["_jk"], "inner"))
-    return joined.groupBy("department", "job").agg(
-        *[F.sum(f"Q{q}").alias(f"Q{q}") for q in QUARTERS],
-        F.sum("total_hires").alias("total_hires"),
-    )
+    return joined.groupBy("department", "job").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
 def quarterly_hires_two_level(fact: DataFrame, departments: DataFrame, jobs: DataFrame,

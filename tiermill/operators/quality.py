@@ -85,6 +85,25 @@ def layer_counts(raw: DataFrame) -> DataFrame:
     return counts.select(*[F.col(c).alias(label) for c, label in labels.items()]).unpivot([], list(labels.values()), "layer", "records")
 
 
+def content_marks(df: DataFrame, key: str, ranges: int) -> DataFrame:
+    """(range, rows, mark) per range of the key: ``mark`` sums the rows' hashes, so it
+    depends on which rows there are and how often, and on no order.  One partial
+    aggregate; rows without a key are range -1."""
+    hashed = F.xxhash64(*[F.col(c) for c in sorted(df.columns)]).cast("decimal(38,0)")
+    place = F.coalesce(F.pmod(F.col(key), F.lit(ranges)), F.lit(-1)).cast("int")
+    return df.groupBy(place.alias("range")).agg(F.count(F.lit(1)).alias("rows"), F.sum(hashed).alias("mark"))
+
+
+def reconcile(left: DataFrame, right: DataFrame, key: str, ranges: int = 64) -> DataFrame:
+    """(range, rows_left, rows_right, equal) for every key range of two tables of the
+    same columns: a changed row shows although the counts agree."""
+    a = content_marks(left, key, ranges).withColumnsRenamed({"rows": "rows_left", "mark": "_a"})
+    b = content_marks(right.select(*left.columns), key, ranges).withColumnsRenamed({"rows": "rows_right", "mark": "_b"})
+    zero = F.lit(0).cast("bigint")
+    return a.join(b, "range", "full").select("range", F.coalesce("rows_left", zero).alias("rows_left"), F.coalesce("rows_right", zero).alias("rows_right"),
+                                             (F.col("rows_left").eqNullSafe(F.col("rows_right")) & F.col("_a").eqNullSafe(F.col("_b"))).alias("equal"))
+
+
 def quality_pct(raw: DataFrame, valid: DataFrame,
                 threshold: float = QUALITY_THRESHOLD_PCT) -> DataFrame:
     """(raw, valid, quality_pct, passed): share of raw rows that reached

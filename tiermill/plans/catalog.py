@@ -494,6 +494,30 @@ def q_stream_to_mart(spark, sf_dir):
     return serving.quarterly_hires(refresh_plan.tables(spark, root)["marts/quarterly_hires"].read())
 
 
+@register
+def q_marts_by_deltas(spark, sf_dir):
+    """The quarterly mart after a delete and an append, from stored counts and the
+    signed counts of the rows that went and came; the stored fact is not counted again."""
+    L, root = layers(spark, sf_dir), run_root(spark)
+    counts = snapshots.StoredTable(spark, root, "marts/hire_counts")
+    snapshots.overwrite(counts, marts.hire_counts(L["staging"], YEAR))
+    gone = L["staging"].filter(F.col("id") > DELETE_ABOVE_ID)
+    raw_new = q_ingest_valid(spark, sf_dir).join(L["raw"].select("id"), "id", "left_anti").withColumn("job_id", F.col("job_id").cast("double"))
+    came = staging.staging_employees(raw_new.select(*RAW_COLUMNS))
+    snapshots.overwrite(counts, marts.with_deltas(counts.read(), marts.hire_counts(gone, YEAR, sign=-1), marts.hire_counts(came, YEAR)))
+    return marts.quarterly_from_counts(counts.read(), L["departments"], L["jobs"])
+
+
+@register
+def q_reconcile_layers(spark, sf_dir):
+    """The raw table against a restored copy in which some names were altered, by content."""
+    table = _raw_table(spark, sf_dir)
+    altered = table.read().withColumn("name", F.when(F.col("id") % 1009 == 7, F.lit("altered")).otherwise(F.col("name")))
+    copy = snapshots.StoredTable(spark, run_root(spark), "employees")
+    snapshots.overwrite(copy, altered)
+    return quality.reconcile(table.read(), copy.read(), "id")
+
+
 @register
 def q_above_mean_subquery(spark, sf_dir):
     """Departments above the mean with an uncorrelated scalar subquery in SQL
