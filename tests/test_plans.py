@@ -78,7 +78,7 @@ def test_deltas_do_not_read_the_stored_fact(spark, root):
     counts = StoredTable(spark, root, "marts/hire_counts")
     overwrite(counts, marts.hire_counts(L["staging"], 1997))
     delta = spark.createDataFrame([(1, 1, 0, 0, 0, 1, 1)], "department_id long, job_id long, Q1 long, Q2 long, Q3 long, Q4 long, total_hires long")
-    plan = plan_of(marts.with_deltas(counts.read(), delta))
-    assert "orders" not in plan and "hire_counts" in plan
+    files = marts.with_deltas(counts.read(), delta).inputFiles()
+    assert files and all("hire_counts" in f for f in files)
     taken = marts.with_deltas(counts.read(), marts.hire_counts(L["staging"], 1997, sign=-1))
     assert taken.count() == 0
