@@ -201,7 +201,9 @@ def aligned_lines(df: DataFrame, text: str, doc_id: str, anchor_words: int, bloc
         for b in batches:
             later, sigs, earlier, found = [], [], [], []
             for x, sig, y, mine, words, theirs in zip(*(b.column(c).to_pylist() for c in ("later", "sig", "earlier", "b", "words", "a")), strict=True):
-                hit = moved(theirs, mine, words, block_words, blocks(patience(theirs, mine), words, block_words))
+                hit = blocks(patience(theirs, mine), words, block_words)
+                if len(hit) < len(mine):
+                    hit = moved(theirs, mine, words, block_words, hit)
                 if hit:
                     later.append(x)
                     sigs.append(sig)
