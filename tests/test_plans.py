@@ -82,3 +82,30 @@ def test_deltas_do_not_read_the_stored_fact(spark, root):
     assert files and all("hire_counts" in f for f in files)
     taken = marts.with_deltas(counts.read(), marts.hire_counts(L["staging"], 1997, sign=-1))
     assert taken.count() == 0
+
+
+def test_page_condition_reaches_the_files(spark, root):
+    from tiermill.plans import serving
+    keys = ["department", "job"]
+    rows = spark.range(5000).selectExpr("concat('d', lpad(id % 50, 3, '0')) AS department", "concat('j', lpad(id, 5, '0')) AS job", "id AS total_hires")
+    table = StoredTable(spark, root, "marts/pages")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the mart is too small for several files
+    try:
+        serving.store_in_order(table, rows, keys)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    mart, after, seen = table.read(), None, []
+    for _ in range(60):
+        page = serving.page(mart, keys, 100, after)
+        seen += [(r.department, r.job) for r in page.collect()]
+        after = serving.last_keys(page, keys)
+        if after is None:
+            break
+    assert seen == sorted((r.department, r.job) for r in rows.collect())
+    p = plan_of(serving.page(mart, keys, 100, ("d020", "j00120")))
+    assert "GreaterThanOrEqual(department,d020)" in p.split("PushedFilters")[1] and "TakeOrdered" in p
+    # each file holds a range of the keys
+    bounds = sorted((r.lo, r.hi) for r in mart.selectExpr("input_file_name() AS f", "department").groupBy("f").agg({"department": "min"}).join(
+        mart.selectExpr("input_file_name() AS f", "department").groupBy("f").agg({"department": "max"}), "f").toDF("f", "lo", "hi").collect())
+    assert len(bounds) > 1 and all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:]))
+    assert serving.page(mart.limit(0), keys, 5).count() == 0 and serving.last_keys(mart.limit(0), keys) is None

@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.text import in_year, parse_canonical
-from ..operators import dlq, ingest, marts, quality, snapshots, staging
+from ..operators import dlq, ingest, key_filter, marts, quality, snapshots, staging
 from ..session import ensure_conventions, scratch_path
-from ..sources import feed, readers, writers
+from ..sources import feed, lattice, readers, writers
 from ..sources.readers import testdata
 from ..streaming import ingest_stream
 from . import refresh as refresh_plan, serving
@@ -258,21 +258,13 @@ def q_dlq_envelope(spark, sf_dir):
     return dlq.envelopes(ingest.rejected_records(evaluated_feed(spark, sf_dir)), as_of=AS_OF)
 
 
-QUARANTINE_EXPORT = T.StructType([
-    T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
-    T.StructField("datetime", T.StringType()), T.StructField("department_id", T.LongType()),
-    T.StructField("job_id", T.LongType()), T.StructField("rejection_reason", T.StringType()),
-    T.StructField("quarantine_at", T.StringType()),
-])
-
-
 @register
 def q_quarantine_export(spark, sf_dir):
     ensure_conventions(spark)
     raw = feed.raw_employees(spark, sf_dir)
     path = dlq.write_quarantine_export(staging.quarantine_employees(raw, as_of=AS_OF),
                                        run_root(spark), as_of=AS_OF)
-    return readers.read_table(spark, path, fmt="json", schema=QUARANTINE_EXPORT)
+    return readers.read_table(spark, path, fmt="json", schema=dlq.EXPORT)
 
 
 def _raw_table(spark, sf_dir, key=None):
@@ -536,3 +528,85 @@ def q_batch_size_guard(spark, sf_dir):
     """Size rule of every batch: 1 to 1000 records."""
     sizes = q_batch_guard(spark, sf_dir).select("table", "batch_id", "n_records")
     return sizes.withColumn("size_ok", F.col("n_records").between(1, 1000))
+
+
+# -- keys by filters, paged serving, type lattice, incremental export -----------------
+
+
+@register
+def q_orphans_by_bloom(spark, sf_dir):
+    """Order lines whose order is not in staging, by the keys of all staged employees."""
+    lines = testdata(spark, sf_dir, "lineitem").select("l_orderkey")
+    return key_filter.orphans_by_bloom(lines, "l_orderkey", layers(spark, sf_dir)["staging"].select("id"))
+
+
+@register
+def q_unique_by_filter(spark, sf_dir):
+    """Duplicated ids of the raw table after two appends, of new ids and of ids that
+    are stored already, without a second count of what is stored."""
+    raw, root = layers(spark, sf_dir)["raw"], run_root(spark)
+    table = snapshots.StoredTable(spark, root, "employees", key="id")
+    late = F.coalesce(F.col("id") > DELETE_ABOVE_ID, F.lit(False))
+    snapshots.overwrite(table, raw.filter(~late))
+    keys = key_filter.UniqueKeys(table, root)
+    keys.build()
+    keys.append(raw.filter(late))
+    keys.append(raw.filter(F.col("id") % 1009 == 7))
+    return keys.duplicates()
+
+
+PAGE_ROWS, PAGES = 100, 3
+
+
+@register
+def q_serve_page(spark, sf_dir):
+    """The first pages of the quarterly mart, each after the last keys of the one before."""
+    L, keys = layers(spark, sf_dir), ["department", "job"]
+    table = snapshots.StoredTable(spark, run_root(spark), "marts/quarterly_hires")
+    serving.store_in_order(table, marts.quarterly_hires(L["staging"], L["departments"], L["jobs"], YEAR).select(*serving.QUARTERLY_COLUMNS), keys)
+    mart, after, served = table.read(), None, None
+    for k in range(PAGES):
+        rows = serving.page(mart, keys, PAGE_ROWS, after)
+        numbered = rows.withColumn("page", F.lit(k).cast("bigint"))
+        served = numbered if served is None else served.unionByName(numbered)
+        after = serving.last_keys(rows, keys)
+        if after is None:
+            break
+    return served
+
+
+@register
+def q_csv_type_conflicts(spark, sf_dir):
+    """Raw CSV files in 16 folders, one of them with ids in letters and one with
+    fractional departments: the types of each folder's columns and of all."""
+    k, own = F.col("o_orderkey") % 16, feed.employee_columns()
+    text = testdata(spark, sf_dir, "orders").select(k.cast("int").alias("part"), *own).select(
+        "part", F.when(F.col("part") == 3, F.concat(F.lit("E"), F.col("id").cast("string"))).otherwise(F.col("id").cast("string")).alias("id"),
+        "name", "datetime",
+        F.when(F.col("part") == 5, F.concat(F.col("department_id").cast("string"), F.lit(".5"))).otherwise(F.col("department_id").cast("string")).alias("department_id"),
+        "job_id")
+    path = run_root(spark) + "/raw/employees"
+    text.write.option("header", True).partitionBy("part").csv(path)
+    columns = RAW_COLUMNS
+    stored = spark.read.option("header", True).schema(", ".join(f"{c} string" for c in columns)).csv(path + "/*/*.csv")
+    folder = F.regexp_extract(F.input_file_name(), "(part=[0-9]+)", 1)
+    return lattice.type_conflicts(lattice.column_kinds(stored, columns, folder))
+
+
+@register
+def q_quarantine_export_runs(spark, sf_dir):
+    """Quarantined rows in three loads, of which two have one stamp; two export runs,
+    after the first and after the last, hold each row once."""
+    raw, root = layers(spark, sf_dir)["raw"], run_root(spark)
+    table = snapshots.StoredTable(spark, root, "quarantine/employees")
+    third = F.coalesce(F.pmod("department_id", F.lit(3)), F.lit(0))
+
+    def load(k, as_of):
+        return staging.quarantine_employees(raw.filter(third == k), as_of=as_of)
+
+    snapshots.overwrite(table, load(0, AS_OF))
+    dlq.export_new(table.read(), root)
+    snapshots.append(table, load(1, AS_OF))
+    snapshots.append(table, load(2, AS_OF_LATER))
+    dlq.export_new(table.read(), root)
+    return dlq.exported(spark, root)
