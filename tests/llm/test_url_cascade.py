@@ -59,6 +59,18 @@ def test_cascade_decides_the_rules(spark, monkeypatch):
     assert all(v == (None, "allow") for v in without.values()) and without != rows
 
 
+def test_host_list_decides_pages_without_a_rule(spark, monkeypatch):
+    rows = {r.page_id: (r.host, r.rule, r.verdict) for r in QUERIES["op4_url_cascade"](spark, SF_ORACLE).collect()}
+    blocked = {h for h, rule, v in rows.values() if rule is None and v == "block"}
+    assert "www.casino-win.example.org" in blocked and len(blocked) >= 3
+    assert all("-" in h for h in blocked)  # no other host of the table is listed
+    built = catalog.build_cascade
+    monkeypatch.setattr(catalog, "build_cascade", lambda keys, key, listed: Cascade([]) if key == "host" else built(keys, key, listed))
+    without = {r.page_id: (r.host, r.rule, r.verdict) for r in QUERIES["op4_url_cascade"](spark, SF_ORACLE).collect()}
+    changed = [i for i in rows if rows[i] != without[i]]
+    assert changed and all(rows[i][1] is None and without[i][2] == "allow" for i in changed)
+
+
 def test_rules_by_cascade_equal_the_plain_form(spark):
     rules = [("net", "/"), ("example.net", "/en/"), ("a.example.net", "/e"), ("org", ""), ("x.org", "/fr/"), ("", "/p"), ("é.org", "/ü/")]
     hosts = ["net", "example.net", "b.a.example.net", "badnet", "org", "x.org", "y.x.org", "", ".", "a..net", "é.org", "z.é.org"]

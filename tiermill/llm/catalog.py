@@ -24,6 +24,10 @@ from tiermill.llm.vector_codes import code_vectors, codebook_sha256
 #: Fixed URL rules (host, path) and their verdicts.
 URL_RULES = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
 
+#: A host is listed if one of its labels, cut at hyphens, holds one of these words.
+LISTED_WORDS = ("ads", "adult", "bets", "casino", "pills", "porn", "spam", "xxx")
+_LISTED_HOST = rf"(^|[.-])({'|'.join(LISTED_WORDS)})([.-]|$)"
+
 
 def op1_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -42,8 +46,8 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two cascades.  The rule of a page is its longest listed key: the universe
     is every key that a rule could have for some page, the rules' keys are listed.
-    Pages without a rule are judged by host: listed are the hosts that the rules
-    block for the most part (more than half of their pages), of all in the table."""
+    Pages without a rule are judged by host: the universe is every host of the
+    table, listed are those whose names hold one of ``LISTED_WORDS``."""
     host, path = split_url(F.col("url"))
     pages = table(spark, sf_dir, "pages").select("page_id", host.alias("host"), path.alias("path"))
     pages = pages.withColumn("keys", rule_keys(F.col("host"), F.col("path"), list(URL_RULES)))
@@ -51,7 +55,7 @@ def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     universe = pages.select(F.explode("keys").alias("rule")).distinct().join(F.broadcast(verdicts), "rule", "left")
     rules = build_cascade(universe.select("rule", F.col("own").isNotNull().alias("listed")), "rule", "listed")
     pages = pages.withColumn("rule", first_listed(rules, F.col("keys"))).drop("keys").join(F.broadcast(verdicts), "rule", "left")
-    hosts = pages.groupBy("host").agg((2 * F.count_if(F.col("own") == "block") > F.count(F.lit(1))).alias("listed"))
+    hosts = pages.select("host").distinct().select("host", F.col("host").rlike(_LISTED_HOST).alias("listed"))
     listed = is_listed(build_cascade(hosts, "host", "listed"), F.col("host"))
     return pages.select("page_id", "host", "path", "rule", F.coalesce("own", F.when(listed, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"))
 
@@ -137,9 +141,10 @@ parts AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)',
                  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut),
 ruled AS (SELECT *, CASE {_rules_sql()} END AS rule FROM parts),
 judged AS (SELECT *, CASE rule {verdict} END AS own FROM ruled),
-hosts AS (SELECT host, 2 * count(*) FILTER (own = 'block') > count(*) AS listed FROM judged GROUP BY host)
-SELECT page_id, host, path, rule, coalesce(own, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict
-FROM judged JOIN hosts USING (host)"""
+listed AS (SELECT DISTINCT host FROM (SELECT host, unnest(regexp_split_to_array(host, '[.-]')) AS word FROM judged)
+           WHERE word IN {LISTED_WORDS})
+SELECT page_id, host, path, rule, coalesce(own, CASE WHEN host IN (FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged"""
 
 
 def _op8_sql() -> str:
