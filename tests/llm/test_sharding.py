@@ -53,3 +53,22 @@ def test_all_rows_alike(spark):
 
 def test_empty(spark):
     assert histogram_shards(empty(spark)).collect() == []
+
+
+def test_rows_without_an_id_are_cut(spark):
+    given = [(i, f"text {i % 500} " * 3) for i in range(4000)] + [(None, None)] * 1000 + [(None, "the same text " * 5)] * 1000
+    rows = histogram_shards(spark.createDataFrame(given, "doc_id long, text string").repartition(6)).collect()
+    check(rows, given, 8, 0.001)
+    hot = [r for r in rows if r.doc_id is None and r.size > 1]
+    assert len({r.shard for r in hot}) > 1  # 71 bytes each, near a third of all
+
+
+def test_few_keys_with_many_rows(spark):
+    # a draw finds such a key seldom; the boundary is found whatever the draws
+    given = [(i % 3, "abc" * (1 + i % 3)) for i in range(6000)]
+    rows = histogram_shards(spark.createDataFrame(given, "doc_id long, text string"), shards=3).collect()
+    size = defaultdict(int)
+    for r in rows:
+        size[r.shard] += r.size
+    assert len(rows) == 6000 and max(size.values()) <= 2000 * 10 + 2000 * 4
+    assert all(len({r.shard for r in rows if r.doc_id == k}) == 1 for k in range(3))

@@ -13,6 +13,7 @@ rows as well, so that no task numbers a whole shard.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -81,7 +82,8 @@ def histogram_shards(df: DataFrame, text: str = "text", doc_id: str = "doc_id",
     key if a single key weighs more.  Returns doc_id, size, text_crc32, shard
     and slot (the place in the shard, gapless from 0, in key order).
 
-    Null text counts as empty (size 1, crc 0); a null id is a key of its own.
+    Null text counts as empty (size 1, crc 0).  Rows with a null id have a key
+    each, after the hash of the text, so any number of them can be cut.
     Rows that repeat an id and a text have one key, stay in one shard and get
     neighbouring slots.  An empty table gives no rows.  Other columns are
     ignored, whatever their names.
@@ -93,12 +95,13 @@ def histogram_shards(df: DataFrame, text: str = "text", doc_id: str = "doc_id",
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = cut(df.select(F.col(doc_id).alias("doc_id"), (F.octet_length(body) + F.lit(1)).cast("long").alias("size"),
                           F.crc32(body.cast("binary")).alias("text_crc32"), F.xxhash64(body).alias("h"),
-                          F.coalesce(F.xxhash64(F.col(doc_id)), F.lit(0)).alias("g")))
+                          F.when(F.col(doc_id).isNull(), F.xxhash64(F.monotonically_increasing_id())).otherwise(F.xxhash64(F.col(doc_id))).alias("g")))
     cells = max(shards, partitions(spark))
     ch = np.linspace(-2.0 ** 63, 2.0 ** 63, 4 * cells + 1)[1:-1].astype(np.int64)
     cuts = (ch, np.full(len(ch), -2 ** 63, dtype=np.int64))
-    known: set[int] = set()  # cuts that end an interval of one key
-    for salt in range(1, 1000):
+    known: set[tuple[int, int] | None] = set()  # cuts that begin an interval of one key
+    misses: dict[tuple[int, int] | None, int] = {}  # draws without a new key, by interval
+    for salt in count(1):  # each round adds a cut, raises a rate or ends an interval
         size, rows = _count(keyed, cuts)
         below = np.concatenate([[0], np.cumsum(size)])
         total, each = below[-1], max(1, rows.sum() // cells)
@@ -112,11 +115,15 @@ def histogram_shards(df: DataFrame, text: str = "text", doc_id: str = "doc_id",
             break
         rate = np.zeros(len(size))
         for i in unmet:
-            rate[i] = min(1.0, DRAWN / rows[i])
+            rate[i] = min(1.0, DRAWN * 2.0 ** misses.get(keys[i - 1] if i else None, 0) / rows[i])
         new = set(_draw(keyed, cuts, rate, salt)) - set(keys)
-        if not new:  # every key of these intervals is a cut already, or none was drawn
-            known |= {keys[i - 1] if i else None for i in unmet if rate[i] == 1.0 or salt > 20}
-            continue
+        met = set(_place(*np.array(sorted(new), dtype=np.int64).reshape(-1, 2).T, cuts).tolist())
+        for i in unmet - met:
+            begin = keys[i - 1] if i else None
+            if rate[i] == 1.0:  # every key of the interval was drawn, and is a cut already
+                known.add(begin)
+            else:
+                misses[begin] = misses.get(begin, 0) + 1
         keys = sorted(set(keys) | new)
         cuts = (np.array([k[0] for k in keys], dtype=np.int64), np.array([k[1] for k in keys], dtype=np.int64))
 
