@@ -45,3 +45,11 @@ def test_awkward_and_empty(spark):
     rows = substring_dedup(awkward(spark)).collect()
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in rows) == brute(AWKWARD, 13)
     assert substring_dedup(empty(spark)).collect() == []
+
+
+def test_rows_without_an_id_are_not_grouped(spark):
+    given = [(i, t) for i, t in corpus(60)] + [(None, "été à\u00a0la  plage\x1c\tfs \n x " * 5)] * 20 + [(None, None)] * 20
+    df = substring_dedup(spark.createDataFrame(given, "doc_id long, text string"))
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in df.collect()) == brute(given, 13)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnull(doc_id" in plan and "isnotnull(doc_id" in plan

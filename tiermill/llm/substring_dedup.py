@@ -143,8 +143,9 @@ def substring_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     block = (window + 1) // 2
     parts = partitions(df.sparkSession)
     groups = 2 * parts
-    docs = df.select(F.pmod(F.xxhash64(F.col(doc_id)), F.lit(groups)).cast("int").alias("g"),
+    rows = df.select(F.pmod(F.xxhash64(F.col(doc_id)), F.lit(groups)).cast("int").alias("g"),
                      F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = rows.where(F.col("doc_id").isNotNull())
 
     def probe(t: pa.Table) -> pa.Table:
         p = _probes(_group(t), block, parts)
@@ -242,4 +243,10 @@ def substring_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     around = docs.groupBy("g").cogroup(bits.groupBy("g")).applyInArrow(extend, _RUNS)
     first = around.groupBy("part").applyInArrow(owners, _BITS)
     out = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string"
-    return docs.groupBy("g").cogroup(bits.unionByName(first).groupBy("g")).applyInArrow(remove, out)
+    judged = docs.groupBy("g").cogroup(bits.unionByName(first).groupBy("g")).applyInArrow(remove, out)
+    # rows without an id take no part and stay where they are, however many
+    words = F.coalesce(F.regexp_extract_all(F.col("text"), F.lit(r"([^\x20\x09-\x0D]+)"), 1), F.array().cast("array<string>"))
+    alone = rows.where(F.col("doc_id").isNull()).select("doc_id", words.alias("words")).select(
+        "doc_id", F.size("words").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
+        F.array().cast("array<struct<start:long,end:long>>").alias("spans"), F.array_join("words", " ").alias("kept"))
+    return judged.unionByName(alone)
