@@ -1,9 +1,12 @@
+import random
 import re
 from collections import Counter
 
 import xxhash
+from pyspark.sql import functions as F
 
 from fixtures import AWKWARD, awkward, corpus, empty
+from tiermill.llm import decontaminate
 from tiermill.llm.decontaminate import contaminated
 
 
@@ -79,3 +82,26 @@ def test_awkward_and_empty(spark):
     assert [(r.doc_id, r.item_id) for r in rows] == [(8, 1)]
     assert contaminated(empty(spark), items).collect() == []
     assert contaminated(awkward(spark), items.limit(0)).collect() == []
+
+
+def test_overlap_counts_repeats(spark):
+    from tiermill.llm.decontaminate import most_often, repeated
+    rows = [([],), ([5],), ([1, 1, 2, 3, 3, 3],), ([7] * 6,)]
+    df = spark.createDataFrame(rows, "a array<long>").select("a", most_often(F.col("a")).alias("n"), *[repeated(F.col("a"), F.lit(k)).alias(f"r{k}") for k in (1, 2, 3)])
+    assert [tuple(r)[1:] for r in df.collect()] == [(0, [], [], []), (1, [5], [], []), (3, [1, 2, 3], [1, 3], [3]), (6, [7], [7], [7])]
+
+
+def test_long_item_and_items_too_many_to_send(spark, monkeypatch):
+    rng = random.Random(9)
+    text = [f"v{rng.randrange(300)}" if i % 7 else "again and again and again and again" for i in range(4000)]
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(text[:300])), (3, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(text[1000:1700])), (8, " ".join(text[10:60])), (9, "again and " * 400)], "item_id long, text string")
+
+    def found():
+        return sorted((r.doc_id, r.item_id, r.similarity, r.n_shingles) for r in contaminated(docs, items).collect())
+
+    rows = found()
+    assert [x[:3] for x in rows if x[1] != 9] == [(1, 7, 1.0), (1, 8, 1.0), (2, 8, 1.0)]
+    assert not [x for x in rows if x[1] == 9]
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert found() == rows

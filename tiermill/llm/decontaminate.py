@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from tiermill.llm.common import cut
 
 BLOCKS, BLOCK_BITS = 8, 8
-#: Benchmark shingles that are sent to every task; larger benchmarks are joined by shuffle.
-BROADCAST_SHINGLES = 1 << 20
+#: Rows of benchmark items (shingles, or index entries) that are sent to every task; more
+#: are joined by shuffle.
+BROADCAST_ROWS = 1 << 20
 
 
 def _let(value: Column, body) -> Column:
@@ -72,14 +73,34 @@ def _block(f: Column, i: int) -> Column:
     return F.shiftrightunsigned(f, BLOCK_BITS * i).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
 
 
+def _flips(radius: int) -> list[int]:
+    """All changes of up to ``radius // BLOCKS`` bits of a block."""
+    return [sum(1 << b for b in bits) for n in range(radius // BLOCKS + 1) for bits in combinations(range(BLOCK_BITS), n)]
+
+
 def _index(items: DataFrame, radius: int) -> DataFrame:
     """Every item under all block values within ``radius // BLOCKS`` bits of its own."""
-    off = [sum(1 << b for b in bits) for n in range(radius // BLOCKS + 1) for bits in combinations(range(BLOCK_BITS), n)]
-    keys = [F.struct(F.lit(i).alias("block"), _block(F.col("f"), i).bitwiseXOR(F.lit(x)).alias("value")) for i in range(BLOCKS) for x in off]
+    keys = [F.struct(F.lit(i).alias("block"), _block(F.col("f"), i).bitwiseXOR(F.lit(x)).alias("value")) for i in range(BLOCKS) for x in _flips(radius)]
     return items.select("item_id", "m", F.col("f").alias("item_f"), F.explode(F.array(*keys)).alias("k")).select(
         "item_id", "m", "item_f", F.col("k.block").alias("block"), F.col("k.value").alias("value"))
 
 
+def most_often(ordered: Column) -> Column:
+    """How often the most frequent value of a sorted array stands in it."""
+    run = F.aggregate(ordered, F.struct(F.lit(None).cast("long").alias("last"), F.lit(0).alias("n"), F.lit(0).alias("most")), _lengthen)
+    return run["most"]
+
+
+def _lengthen(run: Column, x: Column) -> Column:
+    n = F.when(run["last"] == x, run["n"] + 1).otherwise(F.lit(1))
+    return F.struct(x.alias("last"), n.alias("n"), F.greatest(run["most"], n).alias("most"))
+
+
+def repeated(ordered: Column, times: Column) -> Column:
+    """The distinct values that stand in a sorted array ``times`` times or more."""
+    return F.array_distinct(F.filter(ordered, lambda x, i: x == F.get(ordered, i + times - 1)))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text",
                  item_id: str = "item_id", size: int = 5, percent: int = 80, radius: int = 15) -> DataFrame:
     """The (document, item) pairs of which some window of the document is similar
@@ -96,9 +117,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     """
     items = cut(benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), shingles(F.col(item_text), size).alias("toks"))
                 .where(F.size("toks") > 0).distinct().withColumn("m", F.size("toks")))
-    total, longest = items.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))).first()
+    total, longest, n_items = items.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.max("m"), F.lit(0)), F.count(F.lit(1))).first()
     lanes = 4 if longest < 1 << 14 else 2
-    send = F.broadcast if total <= BROADCAST_SHINGLES else (lambda x: x)
+    entries = n_items * BLOCKS * len(_flips(radius))
+    send = F.broadcast if total <= BROADCAST_ROWS and entries <= BROADCAST_ROWS else (lambda x: x)
     items = cut(items.withColumn("f", simhash(F.col("toks"), lanes)))
 
     # places of the items' shingles in the documents, by window size
@@ -114,9 +136,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     last = F.size("toks")
     around = F.transform(F.filter("at", lambda p: p < last), lambda p: F.sequence(
         F.greatest(F.lit(0), p - F.col("m") + 1), F.least(p, F.greatest(F.lit(0), last - F.col("m")))))
+    # windows are cut after the explosion, so that no row holds all of them
     windows = (sized.withColumn("starts", F.array_distinct(F.flatten(around)))
-               .select("doc_id", "m", F.explode(F.transform("starts", lambda s: F.struct(s.alias("start"), F.slice("toks", s + 1, F.col("m")).alias("win")))).alias("w"))
-               .select("doc_id", "m", F.col("w.start").alias("start"), F.col("w.win").alias("win")))
+               .select("doc_id", "m", "toks", F.explode("starts").alias("start"))
+               .select("doc_id", "m", "start", F.slice("toks", F.col("start") + 1, F.col("m")).alias("win")))
     printed = windows.withColumn("f", simhash(F.col("win"), lanes))
 
     # the index, then the exact comparison
@@ -127,10 +150,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     first = F.coalesce(*[F.when(F.bit_count(_block(differ, i)) <= radius // BLOCKS, F.lit(i)) for i in range(BLOCKS)])
     near = near.where((F.bit_count(differ) <= radius) & (first == F.col("block"))).select(
         "doc_id", "item_id", "m", "start", "win", "item_f", F.bit_count(differ).alias("distance"))
-    own = items.select("item_id", "m", F.col("f").alias("item_f"), F.transform(F.array_distinct("toks"), lambda t: F.struct(
-        t.alias("tok"), F.size(F.filter("toks", lambda x: x == t)).alias("n"))).alias("counts"))
-    met = near.join(send(own), ["item_id", "m", "item_f"])
-    least = F.aggregate("counts", F.lit(0), lambda a, k: a + F.least(k["n"], F.size(F.filter("win", lambda x: x == k["tok"]))))
+    # level c of an item holds the shingles that stand in it c times or more; a window's are
+    # those that stand c - 1 places further in its sorted shingles as well
+    ordered = F.array_sort("toks")
+    levels = F.transform(F.sequence(F.lit(1), most_often(ordered)), lambda c: repeated(ordered, c))
+    own = items.select("item_id", "m", F.col("f").alias("item_f"), levels.alias("levels"))
+    met = near.withColumn("win", F.array_sort("win")).join(send(own), ["item_id", "m", "item_f"])
+    least = F.aggregate(F.transform("levels", lambda level, c: F.size(F.array_intersect(level, repeated(F.col("win"), c + 1)))),
+                        F.lit(0), lambda a, n: a + n)
     met = met.withColumn("least", least).withColumn("most", F.size("win") + F.col("m") - F.col("least"))
     met = met.where(100 * F.col("least") >= percent * F.col("most"))
     best = F.max(F.struct((F.col("least") / F.col("most")).alias("similarity"), (-F.col("start")).alias("before"),
