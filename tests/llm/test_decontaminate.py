@@ -93,9 +93,9 @@ def test_overlap_counts_repeats(spark):
 
 def test_long_item_and_items_too_many_to_send(spark, monkeypatch):
     rng = random.Random(9)
-    text = [f"v{rng.randrange(300)}" if i % 7 else "again and again and again and again" for i in range(4000)]
-    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(text[:300])), (3, "nothing of it")], "doc_id long, text string")
-    items = spark.createDataFrame([(7, " ".join(text[1000:1700])), (8, " ".join(text[10:60])), (9, "again and " * 400)], "item_id long, text string")
+    text = [f"v{rng.randrange(300)}" if i % 7 else "again and again and again and again" for i in range(900)]
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(text[:100])), (3, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(text[500:650])), (8, " ".join(text[10:60])), (9, "again and " * 40)], "item_id long, text string")
 
     def found():
         return sorted((r.doc_id, r.item_id, r.similarity, r.n_shingles) for r in contaminated(docs, items).collect())
