@@ -5,7 +5,8 @@ import pyarrow.parquet as pq
 from conftest import SF_ORACLE
 from fixtures import AWKWARD, CLASHES, awkward, empty
 from tiermill.llm.catalog import QUERIES
-from tiermill.llm.langid import fit_languages, label_language, train
+from tiermill.llm.common import hash_words
+from tiermill.llm.langid import _scores, fit_languages, label_language, train
 
 
 def test_held_out_accuracy(spark):
@@ -26,6 +27,15 @@ def test_words_of_a_switched_text():
     assert model.chain.trans[0, 0] > model.chain.trans[0, 1]
 
 
+def test_learns_from_the_middle_of_long_words():
+    ends, middle = "ab" * 40, {"xx": "kelomu" * 30, "yy": "tirasa" * 30}
+    model = train([(f"{ends}{middle[lang]}{k}{ends}", lang) for lang in middle for k in range(30)])
+    for lang in middle:
+        word = (ends + middle[lang] + "new" + ends).encode()
+        scores = _scores([word], hash_words([word]), model)[0]
+        assert model.langs[int(scores.argmax())] == lang and abs(scores[0] - scores[1]) > 1
+
+
 def test_awkward_rows(spark):
     model = train([("the cat and the dog", "en"), ("le chat et les chiens", "fr")] * 20)
     out = label_language(awkward(spark), model)

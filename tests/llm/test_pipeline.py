@@ -89,5 +89,5 @@ def test_stages_take_awkward_tables(spark, stage):
 def test_registered(spark):
     names = __spark_entry__.queries()
     assert "pipeline" in names and set(QUERIES) <= set(names)
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())

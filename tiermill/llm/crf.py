@@ -135,13 +135,34 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, chain: Chain) -> np.ndarray:
     return best
 
 
-def fit(items: np.ndarray, features: np.ndarray, labels: np.ndarray, counts: np.ndarray, size: int, n_labels: int,
+@dataclass
+class Ragged:
+    """Feature numbers of many rows, one after the other."""
+
+    flat: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, matrix: np.ndarray) -> Ragged:
+        """The rows of a matrix; number 0 is padding."""
+        held = matrix > 0
+        return cls(matrix[held], held.sum(axis=1))
+
+    def rows(self, own: np.ndarray) -> Ragged:
+        counts = self.counts[own]
+        start = (np.cumsum(self.counts) - self.counts)[own]
+        at = np.repeat(start - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        return Ragged(self.flat[at], counts)
+
+
+def fit(items: np.ndarray, features: np.ndarray | Ragged, labels: np.ndarray, counts: np.ndarray, size: int, n_labels: int,
         rounds: int = 8, parts: int = 8, rate: float = 0.3, decay: float = 1e-4) -> tuple[np.ndarray, Chain]:
     """Maximum likelihood by AdaGrad over batches of whole sequences.
 
-    ``features[items[i]]`` are the feature numbers (below ``size``; number 0 is
-    padding) of place i, so places that look alike share a row.  Returns
-    feature weights (size, n_labels) and the chain."""
+    Row ``items[i]`` of ``features`` holds the feature numbers (below ``size``;
+    number 0 is padding) of place i, so places that look alike share a row.
+    Returns feature weights (size, n_labels) and the chain."""
+    features = features if isinstance(features, Ragged) else Ragged.of(features)
     w, g_w = np.zeros((size, n_labels)), np.full((size, n_labels), 1e-6)
     trans, g_t = np.zeros((n_labels, n_labels)), np.full((n_labels, n_labels), 1e-6)
     start, g_s = np.zeros(n_labels), np.full(n_labels, 1e-6)
@@ -156,8 +177,10 @@ def fit(items: np.ndarray, features: np.ndarray, labels: np.ndarray, counts: np.
             own = np.sort(part)
             places = np.concatenate([np.arange(first[s], first[s] + counts[s]) for s in own])
             kinds, at = np.unique(items[places], return_inverse=True)
-            rows = features[kinds]
-            gamma, joint = marginals(w[rows].sum(axis=1)[at], counts[own], Chain(trans, start), pairs=True)
+            rows = features.rows(kinds)
+            of = np.repeat(np.arange(len(kinds)), rows.counts)
+            scores = np.stack([np.bincount(of, weights=w[rows.flat, label], minlength=len(kinds)) for label in range(n_labels)], axis=1)
+            gamma, joint = marginals(scores[at], counts[own], Chain(trans, start), pairs=True)
             y = labels[places]
             grad = -gamma
             grad[np.arange(len(y)), y] += 1.0
@@ -170,7 +193,7 @@ def fit(items: np.ndarray, features: np.ndarray, labels: np.ndarray, counts: np.
             scale = 1.0 / len(y)
             for label in range(n_labels):
                 of_kind = np.bincount(at, weights=grad[:, label], minlength=len(kinds))
-                d = np.bincount(rows.ravel(), weights=np.repeat(of_kind, rows.shape[1]), minlength=size) * scale
+                d = np.bincount(rows.flat, weights=of_kind[of], minlength=size) * scale
                 d -= decay * scale * w[:, label]
                 g_w[:, label] += d * d
                 w[:, label] += rate * d / np.sqrt(g_w[:, label])

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.llm.common import fresh, hash_words, mix, text_slices
-from tiermill.llm.crf import Chain, fit, marginals
+from tiermill.llm.crf import Chain, Ragged, fit, marginals
 
 #: Labelled documents to learn from, expected for each language.
 SAMPLE_PER_LANG = 200
@@ -74,25 +74,41 @@ def _known(hashes: np.ndarray, lexicon: np.ndarray) -> np.ndarray:
     return np.where(lexicon[at] == hashes, BUCKETS + 1 + (hashes % np.uint64(BUCKETS - 1)).astype(np.int64), 0)
 
 
-def _scores(words: list[bytes], hashes: np.ndarray, model: Model) -> np.ndarray:
-    """Emission scores of distinct words, a bounded matrix at a time."""
-    out = np.empty((len(words), len(model.langs)))
+def _blocks(words: list[bytes]) -> Iterator[list[int]]:
+    """Places of the words, shortest first, as many at once as a bounded matrix takes."""
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
     i = 0
     while i < len(order):
         j = i + 1
         while j < len(order) and (j - i + 1) * (len(words[order[j]]) + 2) <= 1 << 18:
             j += 1
-        own = order[i:j]
+        yield order[i:j]
+        i = j
+
+
+def _scores(words: list[bytes], hashes: np.ndarray, model: Model) -> np.ndarray:
+    """Emission scores of distinct words, a bounded matrix at a time."""
+    out = np.empty((len(words), len(model.langs)))
+    for own in _blocks(words):
         feats = _ngrams([words[r] for r in own])
         total = np.zeros((len(own), len(model.langs)))
         for c in range(0, feats.shape[1], 16):
             total += model.weights[feats[:, c:c + 16]].sum(axis=1)
         out[own] = total + model.weights[_known(hashes[own], model.lexicon)]
-        i = j
     return out
 
 
+def _features(words: list[bytes], hashes: np.ndarray, lexicon: np.ndarray) -> Ragged:
+    """All features of distinct words, whatever their length."""
+    known = _known(hashes, lexicon)
+    parts: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(words)
+    for own in _blocks(words):
+        for r, row in zip(own, _ngrams([words[r] for r in own]), strict=True):
+            parts[r] = np.append(row, known[r])
+            parts[r] = parts[r][parts[r] > 0]
+    return Ragged(np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64), np.array([len(x) for x in parts], dtype=np.int64))
+
+
 def train(rows: list[tuple[str, str]], switch: float = 0.15, chain_words: int = 200, seed: int = 11) -> Model:
     """Fit on (text, language) rows.  Chains of about ``chain_words`` words are
     spliced from lines; after a line, ``switch`` is the chance that the chain
@@ -133,9 +149,7 @@ def train(rows: list[tuple[str, str]], switch: float = 0.15, chain_words: int =
     seen = np.bincount(items, minlength=len(kinds))
     hashes = hash_words(kinds)
     lexicon = np.unique(hashes[seen >= 3])
-    short = [w if len(w) <= 64 else w[:32] + w[-32:] for w in kinds]  # a bounded matrix; learning only
-    feats = np.concatenate([_ngrams(short), _known(hashes, lexicon)[:, None]], axis=1) if kinds else np.zeros((0, 1), int)
-    weights, chain = fit(items, feats, np.array(tags, dtype=np.int64), np.array(counts, dtype=np.int64),
+    weights, chain = fit(items, _features(kinds, hashes, lexicon), np.array(tags, dtype=np.int64), np.array(counts, dtype=np.int64),
                          2 * BUCKETS, max(1, len(langs)), rounds=4, parts=8)
     return Model(langs, weights, lexicon, chain)
 
