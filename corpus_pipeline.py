@@ -8,9 +8,10 @@ read again as the next one's input.
 4. decontamination: documents that hold a benchmark item go.
 5. packing: what is left is tokenized and packed into sequences.
 
-Every stage but the last returns the columns of its input.  Rows with a null id
-can be told from no other row: they pass the stages 2 to 4 unchanged.  Rows that
-repeat an id and a text stay together.  Empty tables pass through.
+Every stage but the last returns the columns of its input.  Rows without an id are
+judged by their text in the stages 2 to 4, and count as later than all others;
+near_duplicates keeps one of those that repeat a text.  Rows that repeat an id
+and a text stay together.  Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose words are in a learned language."""
     model = fit_languages(docs, usable=~held_out())
     kept = label_language(_numbered(docs), model, text=_own(docs, "text")).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(docs.columns)])
+    return _named(kept, docs)
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -45,33 +46,50 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
 
 
+def _named(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The numbered columns under the names that ``docs`` gives them."""
+    return rows.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+
 def _own(docs: DataFrame, column: str) -> str:
     return f"_{docs.columns.index(column)}"
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Numbered columns and _key: the id or, without one, a number above 2^62 by the text."""
+    by_text = F.xxhash64(F.coalesce(F.col(_own(docs, "text")), F.lit(""))).bitwiseAND((1 << 62) - 1) + F.lit(1 << 62)
+    return _numbered(docs).withColumn("_key", F.coalesce(F.col(_own(docs, "doc_id")).cast("long"), by_text))
+
+
 def line_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete common blocks of lines; documents that were nothing else go."""
     text = _own(docs, "text")
-    done = line_dedup(_numbered(docs), text=text, doc_id=_own(docs, "doc_id"))
+    done = line_dedup(_keyed(docs), text=text, doc_id="_key")
     done = done.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     if "n_chars" in docs.columns:
         chars, kind = _own(docs, "n_chars"), docs.schema["n_chars"].dataType
         done = done.withColumn(chars, F.when(F.col("n_removed") > 0, F.char_length(text).cast(kind)).otherwise(F.col(chars)))
-    return done.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(docs.columns)])
+    return _named(done, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest id of each class of near duplicates: five-word
     shingles, similarity 0.8 or more."""
-    copies = jaccard_classes(docs, size=5, percent=80).where("component_id != doc_id").select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    own, text, id_ = _keyed(docs), _own(docs, "text"), F.col(_own(docs, "doc_id"))
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # only rows that lack an id are shuffled with their texts
+    once = own.where(id_.isNull() & worded).dropDuplicates(["_key", text])
+    own = own.where(id_.isNotNull() | ~worded).unionByName(once)
+    copies = jaccard_classes(own, text=text, doc_id="_key", size=5, percent=80).where("component_id != doc_id").select(F.col("doc_id").alias("_key"))
+    return _named(own.join(copies, "_key", "left_anti"), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = contaminated(docs, items).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    own = _keyed(docs)
+    leaks = contaminated(own, items, text=_own(docs, "text"), doc_id="_key").select(F.col("doc_id").alias("_key")).distinct()
+    return _named(own.join(leaks, "_key", "left_anti"), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
