@@ -48,7 +48,27 @@ def test_near_duplicates_leave_one(spark, steps):
     text = " ".join(f"word{i}" for i in range(60))
     rows = [(1, text + " end"), (2, text + " other"), (3, "quite another text of its own, with words"), (None, text), (4, None)]
     docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    assert sorted(ids(corpus_pipeline.near_duplicates(spark, docs, SF_ORACLE)), key=str) == [1, 3, 4, None]
+    assert sorted(ids(corpus_pipeline.near_duplicates(spark, docs, SF_ORACLE)), key=str) == [1, 3, 4]
+
+
+def test_rows_without_an_id_are_judged_by_text(spark):
+    item = next(r.text for r in spark.read.parquet(f"{SF_ORACLE}/benchmark.parquet").orderBy("item_id").collect() if len(r.text.split()) >= 12)
+    text = "\n".join(" ".join(f"w{i}x{k}" for i in range(12)) for k in range(6))
+    own = " ".join(f"own{i}" for i in range(60))  # 51 of 61 shingles are shared with the next
+    near = own.replace("own20", "other")
+    rows = [(1, text), (None, text), (None, text), (None, own), (None, own), (None, near), (None, f"some words before it {item} and after"), (None, None), (None, " "), (2, text + "\nnew words")]
+    docs = spark.createDataFrame([(*r, "en", "s", len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def left(out):
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    lines = corpus_pipeline.line_duplicates(spark, docs, SF_ORACLE)
+    assert left(lines) == sorted([r for r in rows if r[1] != text and r[0] != 2] + [(1, text), (2, "new words")], key=str)
+    kept = left(corpus_pipeline.near_duplicates(spark, docs, SF_ORACLE))
+    assert (1, text) in kept and (None, text) not in kept and (None, None) in kept and (None, " ") in kept
+    assert kept.count((None, own)) + kept.count((None, near)) == 1
+    clean = left(corpus_pipeline.decontamination(spark, docs, SF_ORACLE))
+    assert clean == sorted([r for r in rows if item not in (r[1] or "")], key=str)
 
 
 def test_decontamination_drops_leaks_only(steps, spark):
