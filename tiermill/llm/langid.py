@@ -28,7 +28,7 @@ SAMPLE_PER_LANG = 200
 #: Feature numbers of n-grams and affixes; as many again for known words.
 BUCKETS = 1 << 16
 #: Text in bytes whose chains are worked on together.
-CHAIN_BYTES = 3 << 20
+CHAIN_BYTES = 1 << 20
 
 _LETTER = re.compile(r"[^\W\d_]")
 
