@@ -6,8 +6,10 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from tiermill import schemas
 from tiermill.operators import snapshots
+from tiermill.plans.catalog import QUERIES
 
 ROWS = [(1, "a", "2021-01-01", 1, 1.0), (2, "b", "2021-01-01", 1, 2.0),
         (5000, "c", "2021-01-01", 2, 1.0), (None, "d", "2021-01-01", 2, 1.0)]
@@ -55,6 +57,22 @@ def test_truncate_keeps_schema(spark, root):
     assert t.read().count() == 0 and t.read().schema == schemas.RAW_EMPLOYEES
 
 
+def test_versions_name_their_operation(spark, root):
+    t = table_with_rows(spark, root)
+    snapshots.backup(t.read(), root, "employees", as_of="2024-05-02 14:30:22")
+    snapshots.delete_where(t, F.col("id") > 4540)
+    snapshots.truncate(t)
+    snapshots.restore(t, root, schema=schemas.RAW_EMPLOYEES)
+    assert [operation for operation, _ in t.history()] == ["overwrite", "delete", "truncate", "restore"]
+    assert [p for _, p in t.history()] == t.versions()
+
+
+def test_truncate_query_gives_operation_and_rows(spark):
+    out = QUERIES["truncate_table"](spark, SF_SMALL)
+    assert out.columns == ["version", "operation", "rows"]
+    assert rows(out) == [(0, "overwrite", spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()), (1, "truncate", 0)]
+
+
 def files_of(t):
     return {(str(f.relative_to(t.current())), f.stat().st_mtime_ns) for f in pathlib.Path(t.current()).rglob("part-*")}
 
