@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tiermill import schemas
 from tiermill.operators import snapshots
+from tiermill.plans import catalog
 from tiermill.plans.catalog import QUERIES
 
 ROWS = [(1, "a", "2021-01-01", 1, 1.0), (2, "b", "2021-01-01", 1, 2.0),
@@ -147,6 +148,19 @@ def test_upsert_reads_the_batch_once(spark, root):
     assert seen.value == 4
 
 
+def test_upsert_twice_evaluates_its_batch_once(spark, monkeypatch):
+    valid, seen = catalog.q_ingest_valid, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(catalog, "q_ingest_valid", lambda s, d: (v := valid(s, d)).mapInArrow(counted, v.schema))
+    out = QUERIES["upsert_twice"](spark, SF_SMALL)
+    assert out.count() > 0 and seen.value == valid(spark, SF_SMALL).count()
+
+
 def test_append_checks_the_schema(spark, root):
     t = table_with_rows(spark, root)
     more = spark.createDataFrame([(8, "h", "2021-01-01", 1, 1.0)], schemas.RAW_EMPLOYEES)
