@@ -8,6 +8,7 @@ import pytest
 from conftest import SF_SMALL
 from test_ingest import CLERK, line
 from tiermill.operators import ingest
+from tiermill.plans import catalog
 from tiermill.sources import feed
 from tiermill.streaming import ingest_stream
 
@@ -76,3 +77,27 @@ def test_repeated_lines_and_batch_ids_under_any_trigger(spark, root, limit):
     deliver("more", [line("employees", "7", [dict(CLERK, id=99)])])
     run()
     assert rows(ingest_stream.totals(spark, root + "/out")) == [("employees", "7", 5, 13, 4)]
+
+
+def test_stream_to_mart_makes_the_lines_once(spark, monkeypatch):
+    lines, seen = feed.request_lines, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(feed, "request_lines", lambda s, d: lines(s, d).mapInArrow(counted, "value string"))
+    assert catalog.QUERIES["stream_to_mart"](spark, SF_SMALL).count() > 0
+    assert seen.value == lines(spark, SF_SMALL).count()
+
+
+def test_records_do_not_carry_their_line(spark):
+    """A line is copied beside a record only if it has no records of its own."""
+    texts = [line("employees", "7", [dict(CLERK, id=k) for k in range(1, 4)]), line("employees", "8", []), "no request"]
+    out = ingest.evaluate(ingest.read_requests(spark.createDataFrame([(x,) for x in texts], "value string")))
+    assert rows(out.filter("request_error IS NOT NULL").select("record")) == sorted([(x,) for x in texts[1:]], key=repr)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    carried = next(x for x in plan.split("\n") if "Generate posexplode" in x)
+    before = plan[plan.index(carried) + len(carried):].split("\n")[1]
+    assert "AS line#" in before and "CASE WHEN" in before.split(" AS line#")[0]
