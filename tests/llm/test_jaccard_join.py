@@ -1,5 +1,6 @@
 import itertools
 import re
+import tracemalloc
 
 import pytest
 
@@ -84,3 +85,15 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_arrays_of_one_stretch_are_small():
+    """Workers run beside each other in an executor: one holds less than 64 MB of arrays."""
+    words = " ".join(f"w{i % 99991}" for i in range(jaccard_join.SORT_BYTES // 6)).encode()
+    step = len(words) // 16
+    texts = [words[i * step:(i + 1) * step] for i in range(16)]
+    tracemalloc.start()
+    jaccard_join.shingles(texts, 5)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 64 << 20

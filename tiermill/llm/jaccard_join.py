@@ -36,8 +36,8 @@ from tiermill.llm.blobs import pack, pack_sorted, range_of, run_numbers, runs, s
 from tiermill.llm.common import cut, mix, partitions, pieces, starts_of, text_slices, window_hashes, word_hashes
 from tiermill.llm.components import components
 
-#: Text in bytes whose shingles are sorted together.
-SORT_BYTES = 8 << 20
+#: Text in bytes whose shingles are sorted together; a worker's arrays take many times as much.
+SORT_BYTES = 2 << 20
 #: Larger sets are heavy whatever the counts: one would have over a million subsets.
 LIGHT_MOST = 48
 
